@@ -1,10 +1,7 @@
-"""Fixed-length arrays and vector arithmetic."""
+"""Fixed-length arrays."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +18,3 @@ def pad_lists_left(lists: Column, length: int, width: int, pad: int = 0) -> Colu
     fitted = F.transform(lists, lambda inner: F.slice(F.concat(inner, row), 1, width))
     fill = F.array_repeat(row, length)
     return F.slice(F.concat(fill, F.coalesce(fitted, F.slice(fill, 1, 0))), -length, length)
-
-
-def dot(left: Column, right: Column, dim: int) -> Column:
-    """Dot product of two arrays of ``dim`` numbers, unrolled so that it compiles into the stage."""
-    return reduce(add, [F.get(left, F.lit(i)).cast("double") * F.get(right, F.lit(i)).cast("double") for i in range(dim)])

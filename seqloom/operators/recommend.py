@@ -7,10 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from seqloom.functions.arrays import dot
 from seqloom.functions.encode import genre_text, time_slot_label, title_or_default
 from seqloom.operators.skew import first_rows_per_key
 
@@ -20,14 +23,13 @@ _ROWS_AT_ONCE = 1_024
 SCORE_DIGITS = 6
 
 
-def _mean_vector(dim: int, vector: str, weight: Column) -> list[Column]:
-    total = F.sum(weight)
-    return [
-        (F.sum(F.get(vector, F.lit(i)).cast("double") * weight) / total).alias(f"_v{i}") for i in range(dim)
-    ]
+def _mean_vector(vector: str, weight: Column) -> Column:
+    """Weighted mean of arrays as a mergeable aggregate."""
+    dense = array_to_vector(F.col(vector).cast("array<double>"))
+    return vector_to_array(Summarizer.mean(dense, weight))
 
 
-def user_vectors(history: DataFrame, item_vectors: DataFrame, dim: int) -> DataFrame:
+def user_vectors(history: DataFrame, item_vectors: DataFrame) -> DataFrame:
     """Mean of the vectors of a user's history, repeated items counted as often as they occur.
 
     The history is first reduced to one row per (user, item) with its count, so neither a hot user nor a hot item
@@ -35,8 +37,7 @@ def user_vectors(history: DataFrame, item_vectors: DataFrame, dim: int) -> DataF
     """
     counted = history.groupBy("user_id", "item").agg(F.count(F.lit(1)).alias("_w"))
     joined = counted.join(item_vectors.select("item", "vec"), "item")
-    means = joined.groupBy("user_id").agg(*_mean_vector(dim, "vec", F.col("_w")))
-    return means.select("user_id", F.array(*[f"_v{i}" for i in range(dim)]).alias("vec"))
+    return joined.groupBy("user_id").agg(_mean_vector("vec", F.col("_w").cast("double")).alias("vec"))
 
 
 def unseen_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
@@ -45,15 +46,30 @@ def unseen_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
     return candidates.join(seen, ["user_id", "item"], "left_anti")
 
 
-def score_candidates(candidates: DataFrame, users: DataFrame, item_vectors: DataFrame, dim: int) -> DataFrame:
-    """Dot product of user and item vector for each candidate row (user_id, item, ...)."""
-    items = item_vectors.select("item", F.col("vec").alias("_iv"))
-    return (
-        candidates.join(items, "item")
-        .join(users.select("user_id", F.col("vec").alias("_uv")), "user_id")
-        .withColumn("score", F.round(dot(F.col("_uv"), F.col("_iv"), dim), SCORE_DIGITS))
-        .drop("_iv", "_uv")
-    )
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), -1)
+
+
+def _add_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+        left, right = _matrix(columns.pop("_uv")), _matrix(columns.pop("_iv"))
+        columns["score"] = pa.array(np.round(np.einsum("ij,ij->i", left, right), SCORE_DIGITS) + 0.0)
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def score_candidates(candidates: DataFrame, users: DataFrame, item_vectors: DataFrame) -> DataFrame:
+    """Dot product of user and item vector for each candidate row (user_id, item, ...).
+
+    The user side comes first: candidates usually are partitioned by user already, and only narrow rows move. The
+    products are taken on whole Arrow batches; Spark's array lambdas are interpreted element by element.
+    """
+    # exploded candidates are far larger than their size estimate: without the hint they may get broadcast
+    vectors = users.select("user_id", F.col("vec").alias("_uv")).hint("shuffle_hash")
+    scored = candidates.join(vectors, "user_id").join(item_vectors.select("item", F.col("vec").alias("_iv")), "item")
+    kept = [f for f in scored.schema.fields if f.name not in ("_uv", "_iv")]
+    schema = StructType([*kept, StructField("score", DoubleType())])
+    return scored.select(*[f.name for f in kept], "_uv", "_iv").mapInArrow(_add_scores, schema)
 
 
 def masked_mean_pool(items: DataFrame, codes: str, vectors: DataFrame, dim: int) -> DataFrame:
@@ -63,8 +79,7 @@ def masked_mean_pool(items: DataFrame, codes: str, vectors: DataFrame, dim: int)
     """
     exploded = items.select("item", F.explode(codes).alias("code")).where("code > 0")
     known = exploded.join(vectors.select(F.col("item").alias("code"), "vec"), "code")
-    means = known.groupBy("item").agg(*_mean_vector(dim, "vec", F.lit(1)))
-    pooled = means.select("item", F.array(*[f"_v{i}" for i in range(dim)]).alias("pooled"))
+    pooled = known.groupBy("item").agg(_mean_vector("vec", F.lit(1.0)).alias("pooled"))
     zero = F.array_repeat(F.lit(0.0), dim)
     return items.select("item").join(pooled, "item", "left").withColumn("pooled", F.coalesce("pooled", zero))
 

@@ -36,6 +36,19 @@ VECTOR_DIM = 64
 RATING_ORDER = ["rating_timestamp", "event_id"]
 BIG_ORDER = ["rating_timestamp", "l_orderkey", "l_linenumber", "l_suppkey", "movie_id"]
 
+TABLE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
 PROFILE_VIEW = FeatureView(
     "profile", "user_id", "event_timestamp", ["gender_idx", "age_idx", "occupation"], tie=["occupation"], static=True
 )
@@ -64,7 +77,11 @@ class Tables:
         return f"{self.root}/{name}.parquet"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table by its declared schema, or by the schema in its files."""
+        reader = self.spark.read
+        if name in TABLE_SCHEMAS:
+            reader = reader.schema(TABLE_SCHEMAS[name])
+        return reader.parquet(self.path(name))
 
     @cached_property
     def events(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions import encode
@@ -20,7 +20,12 @@ from seqloom.plans.bindings import (
 )
 from seqloom.plans.registry import as_text, query
 
-_SEC = F.unix_seconds("event_timestamp").alias("event_sec")
+
+
+def _sec() -> Column:
+    return F.unix_seconds("event_timestamp").alias("event_sec")
+
+
 _SEC_SQL = "CAST(epoch(event_timestamp) AS BIGINT) AS event_sec"
 _AGE_SQL = "CASE age WHEN 1 THEN 0 WHEN 18 THEN 1 WHEN 25 THEN 2 WHEN 35 THEN 3 WHEN 45 THEN 4 WHEN 50 THEN 5 ELSE 6 END"
 
@@ -31,7 +36,7 @@ _AGE_SQL = "CASE age WHEN 1 THEN 0 WHEN 18 THEN 1 WHEN 25 THEN 2 WHEN 35 THEN 3
 )
 def encode_user_fixed(t: Tables) -> DataFrame:
     gender, age = encode.gender_code_strict(F.col("gender")), encode.age_bucket(F.col("age"))
-    return t.user_rows.select("user_id", _SEC, gender.alias("gender_idx"), age.alias("age_idx"))
+    return t.user_rows.select("user_id", _sec(), gender.alias("gender_idx"), age.alias("age_idx"))
 
 
 @query(
@@ -39,7 +44,7 @@ def encode_user_fixed(t: Tables) -> DataFrame:
     "user_rows",
 )
 def encode_user_label(t: Tables) -> DataFrame:
-    return t.user_rows.select("user_id", _SEC, encode.gender_code(F.col("gender")).alias("gender_idx"))
+    return t.user_rows.select("user_id", _sec(), encode.gender_code(F.col("gender")).alias("gender_idx"))
 
 
 @query("SELECT user_id, age, CAST(dense_rank() OVER (ORDER BY age) - 1 AS INTEGER) AS age_idx FROM users", "users")
@@ -49,7 +54,7 @@ def label_encode(t: Tables) -> DataFrame:
 
 @query(f"SELECT movie_id, {_SEC_SQL}, {', '.join(f'{genre_sql(k)} AS g{k}' for k in range(3))} FROM movie_rows", "movie_rows")
 def encode_genres(t: Tables) -> DataFrame:
-    codes = t.movie_rows.select("movie_id", _SEC, encode.genre_codes(F.col("genres"), PART_GENRES).alias("g"))
+    codes = t.movie_rows.select("movie_id", _sec(), encode.genre_codes(F.col("genres"), PART_GENRES).alias("g"))
     return codes.select("movie_id", "event_sec", *[F.get("g", F.lit(k)).alias(f"g{k}") for k in range(3)])
 
 
@@ -63,14 +68,14 @@ def parse_encode_genres(t: Tables) -> DataFrame:
     spaced = F.concat(F.when(F.col("p_size") % 7 == 0, " ").otherwise(""), F.array_join("genres", " "))
     text = t.movie_rows.withColumn("text", F.when(F.col("p_size") % 3 == 0, piped).otherwise(spaced))
     codes = encode.genre_codes(encode.split_genres(F.col("text")), PART_GENRES)
-    return text.select("movie_id", _SEC, codes.alias("g")).select(
+    return text.select("movie_id", _sec(), codes.alias("g")).select(
         "movie_id", "event_sec", *[F.get("g", F.lit(k)).alias(f"g{k}") for k in range(3)]
     )
 
 
 @query(f"SELECT * EXCLUDE (event_timestamp), {_SEC_SQL} FROM movie_features", "movie_features")
 def movie_features(t: Tables) -> DataFrame:
-    return t.movie_features.withColumn("event_sec", _SEC).drop("event_timestamp")
+    return t.movie_features.withColumn("event_sec", _sec()).drop("event_timestamp")
 
 
 @query(f"SELECT event_id, {SLOT_SQL} AS time_slot FROM ratings", "ratings")
@@ -132,7 +137,7 @@ def training_features(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT event_id, internal_movie_id, coalesce(array_to_string([genre_idx_0, genre_idx_1, genre_idx_2], ','), '0,0,0') AS genres
+    """SELECT event_id, internal_movie_id, CASE WHEN movie_id IS NULL THEN '[0,0,0]' ELSE CAST(to_json([genre_idx_0, genre_idx_1, genre_idx_2]) AS VARCHAR) END AS genres
     FROM (SELECT event_id, movie_id + 1 AS internal_movie_id FROM ratings)
     LEFT JOIN movie_features USING (internal_movie_id)""",
     "ratings",
@@ -180,16 +185,16 @@ def item_id_map(t: Tables) -> DataFrame:
     "user_rows",
 )
 def user_features(t: Tables) -> DataFrame:
-    return features.user_features(t.user_rows).withColumn("event_sec", _SEC).drop("event_timestamp")
+    return features.user_features(t.user_rows).withColumn("event_sec", _sec()).drop("event_timestamp")
 
 
 @query(
-    """SELECT movie_id, array_to_string(genres, ',') AS genres, CAST(epoch(max(event_timestamp)) AS BIGINT) AS event_sec
+    """SELECT movie_id, CAST(to_json(genres) AS VARCHAR) AS genres, CAST(epoch(max(event_timestamp)) AS BIGINT) AS event_sec
     FROM movie_rows GROUP BY movie_id, genres""",
     "movie_rows",
 )
 def movie_versions(t: Tables) -> DataFrame:
-    return features.movie_versions(t.movie_rows).select("movie_id", as_text("genres").alias("genres"), _SEC)
+    return features.movie_versions(t.movie_rows).select("movie_id", as_text("genres").alias("genres"), _sec())
 
 
 @query(
@@ -219,7 +224,7 @@ def time_slot_distribution(t: Tables) -> DataFrame:
 )
 def latest_features(t: Tables) -> DataFrame:
     latest = features.latest_per_key(t.user_rows, ["user_id"], ["event_timestamp"])
-    return latest.withColumn("event_sec", _SEC).drop("event_timestamp")
+    return latest.withColumn("event_sec", _sec()).drop("event_timestamp")
 
 
 _WINDOW_END = "2023-12-24 00:00:00"
@@ -233,7 +238,7 @@ _WINDOW_END = "2023-12-24 00:00:00"
 )
 def materialize_window(t: Tables) -> DataFrame:
     rows = features.materialize_window(t.encoded_users, PROFILE_VIEW, _WINDOW_END)
-    return rows.withColumn("event_sec", _SEC).drop("event_timestamp")
+    return rows.withColumn("event_sec", _sec()).drop("event_timestamp")
 
 
 def _purchases(t: Tables) -> DataFrame:
@@ -327,7 +332,7 @@ def online_upsert(t: Tables) -> DataFrame:
     """The first versions as the table, the second versions as what is written to it."""
     later = t.user_rows.join(t.users.select("user_id", "event_timestamp"), ["user_id", "event_timestamp"], "left_anti")
     merged = features.online_upsert(t.users, later, "user_id", ["event_timestamp"])
-    return merged.withColumn("event_sec", _SEC).drop("event_timestamp")
+    return merged.withColumn("event_sec", _sec()).drop("event_timestamp")
 
 
 @query(

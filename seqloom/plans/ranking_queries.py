@@ -20,12 +20,12 @@ def _eval_samples(t: Tables) -> DataFrame:
 
 
 def _candidate_rows(t: Tables) -> DataFrame:
-    return _eval_samples(t).select("user_id", "split", F.posexplode("candidates").alias("k", "item"))
+    return _eval_samples(t).select("user_id", "split", F.posexplode_outer("candidates").alias("k", "item"))
 
 
 def _scored(t: Tables) -> DataFrame:
-    users = recommend.user_vectors(t.vector_events, t.item_vectors, VECTOR_DIM)
-    return recommend.score_candidates(_candidate_rows(t), users, t.item_vectors, VECTOR_DIM)
+    users = recommend.user_vectors(t.vector_events, t.item_vectors)
+    return recommend.score_candidates(_candidate_rows(t), users, t.item_vectors)
 
 
 _CANDIDATES = """eval AS (SELECT user_id, split, from_end, target, item_seq,
@@ -38,7 +38,7 @@ _CANDIDATES = """eval AS (SELECT user_id, split, from_end, target, item_seq,
 
 
 @query(
-    f"""WITH {_CANDIDATES} SELECT user_id, split, target, array_to_string(candidates, ',') AS candidates, FALSE AS short FROM cand""",
+    f"""WITH {_CANDIDATES} SELECT user_id, split, target, CAST(to_json(candidates) AS VARCHAR) AS candidates, FALSE AS short FROM cand""",
     "vector_samples",
 )
 def negative_candidates(t: Tables) -> DataFrame:
@@ -51,7 +51,7 @@ _VECTORS = f"""user_dims AS (SELECT user_id, i, avg(vec[i]) AS x FROM vector_eve
     user_vec AS (SELECT user_id, list(x ORDER BY i) AS uvec FROM user_dims GROUP BY user_id)"""
 _SCORES = f"""{_VECTORS}, {_CANDIDATES},
     rows AS (SELECT user_id, split, unnest(candidates) AS item, unnest(range(100)) AS k FROM cand),
-    scored AS (SELECT user_id, split, CAST(k AS INTEGER) AS k, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) AS score
+    scored AS (SELECT user_id, split, CAST(k AS INTEGER) AS k, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) + 0.0 AS score
         FROM rows JOIN user_vec USING (user_id) JOIN item_vectors USING (item))"""
 _RANKS = f"""{_SCORES}, ranks AS (SELECT user_id, split, max(score) FILTER (WHERE k = 0) AS target_score,
         CAST(1 + count(*) FILTER (WHERE score > ts) AS INTEGER) AS rank
@@ -146,7 +146,7 @@ def masked_mean_pool(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {_VECTORS}, pairs AS (
-        SELECT user_id, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) AS score FROM user_vec, item_vectors
+        SELECT user_id, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) + 0.0 AS score FROM user_vec, item_vectors
         WHERE NOT EXISTS (SELECT 1 FROM vector_events e WHERE e.user_id = user_vec.user_id AND e.item = item_vectors.item)),
     best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item) AS rank FROM pairs)
     SELECT user_id, CAST(rank AS INTEGER) AS rank, movie_id, coalesce(title, 'Movie ' || movie_id) AS title,
@@ -158,6 +158,6 @@ def masked_mean_pool(t: Tables) -> DataFrame:
 )
 def recommend_topk(t: Tables) -> DataFrame:
     """The ten best unseen items of the whole catalog for every user."""
-    users = recommend.user_vectors(t.vector_events, t.item_vectors, VECTOR_DIM)
+    users = recommend.user_vectors(t.vector_events, t.item_vectors)
     ranked = recommend.top_k_items(users, t.item_vectors, t.vector_events, TOP_K)
     return recommend.describe_recommendations(ranked, t.vector_index, t.movies)

@@ -44,10 +44,6 @@ def oracles() -> dict[str, str]:
     return {name: q.sql for name, q in QUERIES.items() if q.sql}
 
 
-def as_text(array: str | Column) -> Column:
-    """A list as text, so that results compare in any engine."""
-    return F.array_join(F.col(array).cast("array<string>") if isinstance(array, str) else array.cast("array<string>"), ",")
-
-
-def lists_as_text(array: str) -> Column:
-    return F.array_join(F.transform(array, lambda inner: as_text(inner)), ";")
+def as_text(array: str) -> Column:
+    """A list, nested or not, as JSON text, so that results compare in any engine."""
+    return F.to_json(array)

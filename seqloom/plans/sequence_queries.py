@@ -7,24 +7,24 @@ from pyspark.sql import functions as F
 
 from seqloom.operators import sampling, sequences
 from seqloom.plans.bindings import BIG_ORDER, RATING_ORDER, Tables, samples_cte
-from seqloom.plans.registry import as_text, lists_as_text, query
+from seqloom.plans.registry import as_text, query
 from seqloom.session import scratch_path
 
-_LISTS = """array_to_string(item_seq, ',') AS item_seq, array_to_string(time_seq, ',') AS time_seq,
-    array_to_string(list_transform(genre_seq, lambda g: array_to_string(g, ',')), ';') AS genre_seq"""
+_LISTS = """CAST(to_json(item_seq) AS VARCHAR) AS item_seq, CAST(to_json(time_seq) AS VARCHAR) AS time_seq,
+    CAST(to_json(genre_seq) AS VARCHAR) AS genre_seq"""
 
 
 def _as_rows(samples: DataFrame) -> DataFrame:
     return samples.withColumns(
-        {"item_seq": as_text("item_seq"), "time_seq": as_text("time_seq"), "genre_seq": lists_as_text("genre_seq")}
+        {"item_seq": as_text("item_seq"), "time_seq": as_text("time_seq"), "genre_seq": as_text("genre_seq")}
     )
 
 
 @query(
     """SELECT user_id, (pos - 1) // 25 AS part, max(n) AS seq_len,
-    array_to_string(list(item ORDER BY pos), ',') AS item_seq, array_to_string(list(slot ORDER BY pos), ',') AS time_seq,
-    array_to_string(list(array_to_string(genres, ',') ORDER BY pos), ';') AS genre_seq,
-    array_to_string(list(rating_timestamp ORDER BY pos), ',') AS timestamps
+    CAST(to_json(list(item ORDER BY pos)) AS VARCHAR) AS item_seq, CAST(to_json(list(slot ORDER BY pos)) AS VARCHAR) AS time_seq,
+    CAST(to_json(list(genres ORDER BY pos)) AS VARCHAR) AS genre_seq,
+    CAST(to_json(list(rating_timestamp ORDER BY pos)) AS VARCHAR) AS timestamps
     FROM sequence_events WHERE n >= 5 GROUP BY user_id, part""",
     "sequence_events",
 )
@@ -69,8 +69,8 @@ def training_samples_big(t: Tables) -> DataFrame:
 
 @query(
     """SELECT user_id, from_end,
-    array_to_string(list_concat(list_transform(range(50 - len(item_seq)), lambda x: 0), item_seq), ',') AS item_seq,
-    array_to_string(list_concat(list_transform(range(50 - len(time_seq)), lambda x: 0), time_seq), ',') AS time_seq
+    CAST(to_json(list_concat(list_transform(range(50 - len(item_seq)), lambda x: 0), item_seq)) AS VARCHAR) AS item_seq,
+    CAST(to_json(list_concat(list_transform(range(50 - len(time_seq)), lambda x: 0), time_seq)) AS VARCHAR) AS time_seq
     FROM raw_samples""",
     "raw_samples",
 )
@@ -80,9 +80,8 @@ def pad_sequences(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, from_end, array_to_string(list_transform(
-        list_concat(list_transform(range(50 - len(genre_seq)), lambda x: [0, 0, 0]), genre_seq),
-        lambda g: array_to_string(g, ',')), ';') AS genre_seq FROM raw_samples""",
+    """SELECT user_id, from_end, CAST(to_json(
+        list_concat(list_transform(range(50 - len(genre_seq)), lambda x: [0, 0, 0]), genre_seq)) AS VARCHAR) AS genre_seq FROM raw_samples""",
     "raw_samples",
 )
 def pad_genre_sequences(t: Tables) -> DataFrame:

@@ -9,7 +9,7 @@ from seqloom.functions import encode
 from seqloom.operators import clean, contract
 from seqloom.plans.bindings import PROFILE_VIEW, SERVICE, Tables
 from seqloom.operators.features import select_service
-from seqloom.plans.registry import as_text, lists_as_text, query
+from seqloom.plans.registry import as_text, query
 from seqloom.session import scratch_path
 from seqloom.sources import delimited, events, tables
 
@@ -37,7 +37,7 @@ def parse_delimited_users(t: Tables) -> DataFrame:
 
 
 @query(
-    "SELECT movie_id, title, array_to_string(genres, ',') AS genres FROM movies WHERE movie_id % 50 <> 49", "movies"
+    "SELECT movie_id, title, CAST(to_json(genres) AS VARCHAR) AS genres FROM movies WHERE movie_id % 50 <> 49", "movies"
 )
 def parse_delimited_movies(t: Tables) -> DataFrame:
     fields = [*_text("movie_id", "title"), F.array_join("genres", "|")]
@@ -191,16 +191,16 @@ def entity_semi_filter(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, last_timestamp AS event_sec, array_to_string(item_seq, ',') AS item_seq,
-    array_to_string(list_transform(genre_seq, lambda g: array_to_string(g, ',')), ';') AS genre_seq,
-    array_to_string(time_seq, ',') AS time_seq, target, target_time, age_idx, gender_idx, CAST(occupation AS INTEGER) AS occupation
+    """SELECT user_id, last_timestamp AS event_sec, CAST(to_json(item_seq) AS VARCHAR) AS item_seq,
+    CAST(to_json(genre_seq) AS VARCHAR) AS genre_seq,
+    CAST(to_json(time_seq) AS VARCHAR) AS time_seq, target, target_time, age_idx, gender_idx, CAST(occupation AS INTEGER) AS occupation
     FROM samples""",
     "samples",
 )
 def flatten_samples(t: Tables) -> DataFrame:
     rows = clean.flatten_samples(t.samples)
     return rows.withColumns(
-        {"item_seq": as_text("item_seq"), "time_seq": as_text("time_seq"), "genre_seq": lists_as_text("genre_seq")}
+        {"item_seq": as_text("item_seq"), "time_seq": as_text("time_seq"), "genre_seq": as_text("genre_seq")}
     ).select(F.unix_seconds("event_timestamp").alias("event_sec"), *[c for c in rows.columns if c != "event_timestamp"])
 
 
