@@ -153,25 +153,18 @@ def point_in_time_join(
     """
     spine = [F.col(entity).alias("_entity"), F.col(time).alias("_time")]
     slots = {v.name: f"_f_{v.name}" for _, v in views}
-    streams = [
-        events.select(*spine, F.lit(1).alias("_kind"), F.struct().alias("_tie"), F.struct(*events.columns).alias("_event"))
-    ]
+    stacked = events.select(*spine, F.lit(1).alias("_kind"), F.struct(*events.columns).alias("_event"))
     for frame, v in views:
         row = F.struct(F.col(v.time).alias("time"), *v.features)
-        streams.append(
-            frame.select(
-                F.col(v.entity).alias("_entity"),
-                F.col(v.time).alias("_time"),
-                F.lit(0).alias("_kind"),
-                *[F.col(t).alias(f"_t_{v.name}_{i}") for i, t in enumerate(v.tie)],
-                row.alias(slots[v.name]),
-            )
+        rows = frame.select(
+            F.col(v.entity).alias("_entity"),
+            F.col(v.time).alias("_time"),
+            F.lit(0).alias("_kind"),
+            *[F.col(t).alias(f"_t_{v.name}_{i}") for i, t in enumerate(v.tie)],
+            row.alias(slots[v.name]),
         )
+        stacked = stacked.unionByName(rows, allowMissingColumns=True)
     ties = [f"_t_{v.name}_{i}" for _, v in views for i in range(len(v.tie))]
-    streams[0] = streams[0].drop("_tie")
-    stacked = streams[0]
-    for s in streams[1:]:
-        stacked = stacked.unionByName(s, allowMissingColumns=True)
     filled = fill_forward(
         stacked, ["_entity"], ["_time", "_kind", *ties], list(slots.values()), max_rows=max_rows
     ).where(F.col("_kind") == 1)
@@ -185,6 +178,21 @@ def point_in_time_join(
     return filled.select(*out)
 
 
+def attach_views(
+    events: DataFrame, entity: str, time: str, views: list[tuple[DataFrame, FeatureView]], *, max_rows: int | None = None
+) -> DataFrame:
+    """Features of several views: a latest-row lookup for static views, a point-in-time join for the others."""
+    moving = [(df, v) for df, v in views if not v.static]
+    out = point_in_time_join(events, entity, time, moving, max_rows=max_rows) if moving else events
+    for df, v in views:
+        if v.static:
+            named = latest_per_key(df, [v.entity], [v.time, *v.tie]).select(
+                F.col(v.entity).alias(entity), *[F.col(f).alias(f"{v.name}__{f}") for f in v.features]
+            )
+            out = out.join(named, entity, "left")
+    return out
+
+
 def materialize_window(features: DataFrame, view: FeatureView, end: str, days: int = 7) -> DataFrame:
     """Newest row per entity inside ``[end - days, end]``, the content of the online table."""
     upto = F.lit(end).cast("timestamp")

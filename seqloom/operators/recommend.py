@@ -18,7 +18,7 @@ from seqloom.functions.encode import genre_text, time_slot_label, title_or_defau
 from seqloom.operators.skew import first_rows_per_key
 
 ITEM_BLOCK = 8_192
-USER_SLICE = 16_384
+USER_SLICE = 4_096
 _ROWS_AT_ONCE = 1_024
 SCORE_DIGITS = 6
 
@@ -128,15 +128,19 @@ def top_k_items(
     *,
     item_block: int = ITEM_BLOCK,
     user_slice: int = USER_SLICE,
+    size_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per user the ``k`` best unseen items of the whole catalog, ranked 1..k.
 
     Catalog and users are hashed into blocks of bounded size; a task multiplies one slice of users with one block of
     items and returns ``k`` rows per user, so scored pairs never leave the task, nothing is broadcast and the
-    catalog may grow. Scores are compared after rounding, ties go to the smaller item.
+    catalog may grow. Scores are compared after rounding, ties go to the smaller item. ``size_from`` may name a
+    cheaper frame that has all the users, to size the slices from.
     """
+    sized = users if size_from is None else size_from
+    n_users = sized.agg(F.approx_count_distinct("user_id")).first()[0]
     blocks = max(1, math.ceil(item_vectors.count() / item_block))
-    slices = max(1, math.ceil(users.count() / user_slice))
+    slices = max(1, math.ceil(n_users / user_slice))
 
     def block(item: str) -> Column:
         return F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")

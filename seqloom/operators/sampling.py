@@ -49,9 +49,18 @@ def eligible_subset(items: DataFrame, key: str, n: int = 200, seed: int = 42) ->
 
 
 def training_export(
-    samples: DataFrame, path: str, *, key: list[str], files: int, batch: int = 256, seed: int = 42
+    samples: DataFrame, path: str, *, key: list[str], shards: int, batch: int = 256, shuffled: bool = True, seed: int = 42
 ) -> None:
-    """Write samples as shuffled Parquet files of at most ``batch`` rows each, one training batch per file."""
-    shuffled = samples.withColumn("_h", seeded_hash(seed, *[F.col(k) for k in key]))
-    shuffled = shuffled.repartition(files, "_h").sortWithinPartitions("_h", *key).drop("_h")
-    shuffled.write.mode("overwrite").option("maxRecordsPerFile", batch).parquet(path)
+    """Write samples for a training loop: ``shards`` files, rows numbered into batches of ``batch`` rows.
+
+    Rows come in seeded random order, or in key order for evaluation. A shard is sorted before it is numbered, so a
+    task that is run again writes the same batches.
+    """
+    by = seeded_hash(seed, *[F.col(k) for k in key]) if shuffled else F.lit(0)
+    ordered = samples.withColumn("_by", by)
+    ordered = ordered.repartition(shards, "_by") if shuffled else ordered.repartitionByRange(shards, *key)
+    in_shard = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ordered.sortWithinPartitions("_by", *key).withColumns(
+        {"shard": F.spark_partition_id(), "batch": F.floor(in_shard / batch)}
+    )
+    numbered.drop("_by").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

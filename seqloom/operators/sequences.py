@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import arrays
-from seqloom.operators.skew import last_rows_per_key, number_rows
+from seqloom.operators.skew import RANK_LIMIT, last_rows_per_key, number_rows
 
 MIN_SEQ_LEN = 5
 MAX_SEQ_LEN = 50
@@ -17,7 +17,7 @@ HISTORY_BLOCK = 100_000
 STEP = ["item", "slot", "genres"]
 
 
-def _split_label(from_end) -> F.Column:
+def _split_label(from_end: Column) -> Column:
     return F.when(from_end == 1, "test").when(from_end == 2, "val").otherwise("train")
 
 
@@ -27,6 +27,7 @@ def user_sequences(
     *,
     min_len: int = MIN_SEQ_LEN,
     chunk: int = SEQUENCE_CHUNK,
+    size_from: DataFrame | None = None,
     max_rows: int | None = None,
 ) -> DataFrame:
     """Ordered lists of items, genres, slots and times per user with at least ``min_len`` events.
@@ -34,7 +35,8 @@ def user_sequences(
     A history longer than ``chunk`` comes out as several rows with consecutive ``part`` numbers, so no row grows
     with the most active user; ``seq_len`` is the length of the whole history.
     """
-    numbered = number_rows(events, ["user_id"], order, max_rows=max_rows).where(F.col("n") >= min_len)
+    numbered = number_rows(events, ["user_id"], order, size_from=size_from, max_rows=max_rows)
+    numbered = numbered.where(F.col("n") >= min_len)
     step = F.struct("pos", *STEP, "rating_timestamp")
     return (
         numbered.groupBy("user_id", F.floor((F.col("pos") - 1) / chunk).alias("part"))
@@ -52,12 +54,17 @@ def user_sequences(
 
 
 def leave_one_out_split(
-    events: DataFrame, order: list[str], *, min_len: int = MIN_SEQ_LEN, max_rows: int | None = None
+    events: DataFrame,
+    order: list[str],
+    *,
+    min_len: int = MIN_SEQ_LEN,
+    size_from: DataFrame | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Each event of users with enough history, labelled train, val (second to last) or test (last)."""
     need = max(min_len, 3)
     return (
-        number_rows(events, ["user_id"], order, max_rows=max_rows)
+        number_rows(events, ["user_id"], order, size_from=size_from, max_rows=max_rows)
         .where(F.col("n") >= need)
         .withColumn("split", _split_label(F.col("n") - F.col("pos") + 1))
     )
@@ -85,7 +92,13 @@ def _capped_samples(events: DataFrame, order: list[str], min_len: int, max_seq_l
 
 
 def _all_samples(
-    events: DataFrame, order: list[str], min_len: int, max_seq_len: int, block: int, max_rows: int | None
+    events: DataFrame,
+    order: list[str],
+    min_len: int,
+    max_seq_len: int,
+    block: int,
+    size_from: DataFrame | None,
+    max_rows: int | None,
 ) -> DataFrame:
     """Samples for every position.
 
@@ -94,7 +107,8 @@ def _all_samples(
     """
     if block < max_seq_len:
         raise ValueError("a block must hold at least one full history")
-    numbered = number_rows(events, ["user_id"], order, max_rows=max_rows).where(F.col("n") >= max(min_len, 3))
+    numbered = number_rows(events, ["user_id"], order, size_from=size_from, max_rows=max_rows)
+    numbered = numbered.where(F.col("n") >= max(min_len, 3))
     home = F.floor((F.col("pos") - 1) / block)
     ahead = F.floor((F.col("pos") - 1 + max_seq_len) / block)
     placed = numbered.withColumn("_home", home).withColumn("_block", F.explode(F.sequence(home, ahead)))
@@ -120,17 +134,22 @@ def training_samples(
     max_seq_len: int = MAX_SEQ_LEN,
     max_train_per_user: int | None = MAX_TRAIN_PER_USER,
     block: int = HISTORY_BLOCK,
+    size_from: DataFrame | None = None,
     max_rows: int | None = None,
 ) -> DataFrame:
     """One row per target position with its history of up to ``max_seq_len`` earlier events.
 
     ``events`` has user_id, item, slot, genres, rating_timestamp and the unique ``order`` columns. With
     ``max_train_per_user`` only the last so many train positions of a user are used, ``None`` uses all.
+    ``size_from`` may name a cheaper frame with at least as many rows per user, see ``split_hot_groups``.
     """
-    if max_train_per_user is None:
-        samples = _all_samples(events, order, min_len, max_seq_len, block, max_rows)
-    else:
+    tail = None if max_train_per_user is None else max(max_train_per_user + 2 + max_seq_len, min_len)
+    if tail is not None and tail <= RANK_LIMIT:
         samples = _capped_samples(events, order, min_len, max_seq_len, max_train_per_user)
+    else:
+        samples = _all_samples(events, order, min_len, max_seq_len, block, size_from, max_rows)
+        if max_train_per_user is not None:
+            samples = samples.where(F.col("from_end") <= max_train_per_user + 2)
     return samples.select(
         "user_id",
         _split_label(F.col("from_end")).alias("split"),

@@ -19,6 +19,8 @@ from seqloom.session import materialize
 HOT_GROUP_ROWS = "spark.seqloom.hotGroupRows"
 DEFAULT_HOT_GROUP_ROWS = 5_000_000
 CHUNK = "_chunk"
+# Spark's default for the largest rank filter it applies before the exchange
+RANK_LIMIT = 1_000
 
 
 def hot_group_rows(spark: SparkSession) -> int:
@@ -166,8 +168,8 @@ def fill_forward(
 def last_rows_per_key(df: DataFrame, keys: list[str], order: list[str], n: int, rank: str = "_rn") -> DataFrame:
     """The ``n`` highest rows per key by ``order``, with their rank (1 = last).
 
-    The rank filter lets Spark cut every map task to ``n`` rows per key before the exchange, so a hot key sends at
-    most ``n`` rows per task.
+    Up to ``RANK_LIMIT``, the rank filter lets Spark cut every map task to ``n`` rows per key before the exchange, so
+    a hot key sends at most ``n`` rows per task.
     """
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)

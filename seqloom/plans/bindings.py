@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import encode
-from seqloom.operators import features, index, sequences
+from seqloom.operators import clean, features, index, sequences
 from seqloom.operators.features import DAY, FeatureService, FeatureView
+from seqloom.session import materialize
 
 # Vocabulary of the sample catalog, index = position starting at 1.
 PART_GENRES = [
@@ -225,10 +226,13 @@ class Tables:
     @cached_property
     def staged_samples(self) -> DataFrame:
         """Samples as the flat rows the classifier is trained on."""
-        from seqloom.operators import clean
-
         return clean.staging_projection(clean.flatten_samples(self.samples))
 
+    @cached_property
+    def staged_table(self) -> DataFrame:
+        """The same rows staged as files, for jobs that read them more than once."""
+        return materialize(self.staged_samples, "staged-samples")
+
     @cached_property
     def vector_index(self) -> DataFrame:
         return index.dense_index(self.read("embeddings").select(F.col("vec_id").alias("movie_id")), "movie_id")

@@ -290,7 +290,7 @@ def _requests(t: Tables) -> DataFrame:
 
 
 def _online(t: Tables) -> DataFrame:
-    return features.materialize_window(t.staged_samples, SAMPLE_VIEW, _ONLINE_END)
+    return features.materialize_window(t.staged_table, SAMPLE_VIEW, _ONLINE_END)
 
 
 _ONLINE_SQL = f"""requests AS (SELECT c_custkey AS user_id FROM customer UNION ALL SELECT -1 - s_suppkey FROM supplier),
@@ -319,7 +319,7 @@ def online_lookup(t: Tables) -> DataFrame:
 )
 def online_lookup_with_fallback(t: Tables) -> DataFrame:
     return features.online_lookup_with_fallback(
-        _requests(t), _online(t), t.staged_samples, [SAMPLE_VIEW.time, *SAMPLE_VIEW.tie]
+        _requests(t), _online(t), t.staged_table, [SAMPLE_VIEW.time, *SAMPLE_VIEW.tie]
     )
 
 

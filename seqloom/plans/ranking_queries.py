@@ -159,5 +159,5 @@ def masked_mean_pool(t: Tables) -> DataFrame:
 def recommend_topk(t: Tables) -> DataFrame:
     """The ten best unseen items of the whole catalog for every user."""
     users = recommend.user_vectors(t.vector_events, t.item_vectors)
-    ranked = recommend.top_k_items(users, t.item_vectors, t.vector_events, TOP_K)
+    ranked = recommend.top_k_items(users, t.item_vectors, t.vector_events, TOP_K, size_from=t.ratings)
     return recommend.describe_recommendations(ranked, t.vector_index, t.movies)

@@ -29,7 +29,7 @@ def _as_rows(samples: DataFrame) -> DataFrame:
     "sequence_events",
 )
 def user_sequences(t: Tables) -> DataFrame:
-    rows = sequences.user_sequences(t.sequence_events, RATING_ORDER, chunk=25)
+    rows = sequences.user_sequences(t.sequence_events, RATING_ORDER, chunk=25, size_from=t.ratings)
     return _as_rows(rows).withColumn("timestamps", as_text("timestamps"))
 
 
@@ -39,7 +39,7 @@ def user_sequences(t: Tables) -> DataFrame:
     "sequence_events",
 )
 def leave_one_out_split(t: Tables) -> DataFrame:
-    rows = sequences.leave_one_out_split(t.sequence_events, RATING_ORDER)
+    rows = sequences.leave_one_out_split(t.sequence_events, RATING_ORDER, size_from=t.ratings)
     return rows.select("user_id", "event_id", "item", "pos", "split")
 
 
@@ -58,7 +58,10 @@ _SAMPLE_COLUMNS = f"user_id, split, from_end, {_LISTS}, target, target_time, las
 @query(f"SELECT {_SAMPLE_COLUMNS} FROM ({samples_cte('sequence_events', all_positions=True)})", "sequence_events")
 def training_samples_all(t: Tables) -> DataFrame:
     """Samples for every train position."""
-    return _as_rows(sequences.training_samples(t.sequence_events, RATING_ORDER, max_train_per_user=None))
+    samples = sequences.training_samples(
+        t.sequence_events, RATING_ORDER, max_train_per_user=None, size_from=t.ratings
+    )
+    return _as_rows(samples)
 
 
 @query(f"SELECT {_SAMPLE_COLUMNS} FROM ({samples_cte('sequence_events_big')})", "sequence_events_big")
@@ -109,5 +112,5 @@ def eligible_subset(t: Tables) -> DataFrame:
 def training_export(t: Tables) -> DataFrame:
     """Samples written as shuffled batches and read back."""
     path = scratch_path(t.spark, "export")
-    sampling.training_export(t.samples, path, key=["user_id", "from_end"], files=8)
+    sampling.training_export(t.samples, path, key=["user_id", "from_end"], shards=8)
     return t.spark.read.parquet(path).select("user_id", "split", "from_end", "target")

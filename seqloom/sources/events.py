@@ -72,8 +72,13 @@ def add_date_partition(df: DataFrame, time: str = "event_timestamp") -> DataFram
 
 
 def append_raw(df: DataFrame, path: str) -> None:
-    """Append to a raw table under ``year=/month=/day=``."""
-    add_date_partition(df).write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    """Append to a raw table under ``year=/month=/day=``.
+
+    Rows of one date are brought together first, so that a load over many dates does not leave one small file per
+    task and date; the rebalance step splits a date that is too large for one task.
+    """
+    rows = add_date_partition(df).hint("rebalance", *PARTITION_COLUMNS)
+    rows.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

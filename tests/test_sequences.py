@@ -59,7 +59,7 @@ def collected(samples):
 ORDER = ["rating_timestamp", "event_id"]
 
 
-@pytest.mark.parametrize("cap", [0, 3, 20, 500])
+@pytest.mark.parametrize("cap", [0, 3, 20, 500, 2_000])
 def test_capped_samples(events, history, cap):
     assert collected(sequences.training_samples(events, ORDER, max_train_per_user=cap)) == expected(history, cap)
 
@@ -117,11 +117,17 @@ def test_empty(spark, events):
     assert sequences.user_sequences(empty, ORDER).count() == 0
 
 
-def test_export_is_complete_and_batched(spark, events, tmp_path):
+@pytest.mark.parametrize("shuffled", [True, False])
+def test_export_is_complete_and_batched(spark, events, tmp_path, shuffled):
     samples = sequences.training_samples(events, ORDER)
     path = str(tmp_path / "export")
-    sampling.training_export(samples, path, key=["user_id", "from_end"], files=3, batch=8)
+    sampling.training_export(samples, path, key=["user_id", "from_end"], shards=3, batch=8, shuffled=shuffled)
     back = spark.read.parquet(path)
-    assert back.count() == samples.count()
-    sizes = back.groupBy(F.input_file_name()).count().collect()
-    assert max(r["count"] for r in sizes) <= 8
+    assert back.count() == samples.count() == back.select("user_id", "from_end").distinct().count()
+    sizes = {(r.shard, r.batch): r["count"] for r in back.groupBy("shard", "batch").count().collect()}
+    for shard in {s for s, _ in sizes}:
+        mine = [sizes[k] for k in sorted(sizes) if k[0] == shard]
+        assert all(n == 8 for n in mine[:-1]) and 1 <= mine[-1] <= 8
+    if not shuffled:
+        ordered = [(r.user_id, r.from_end) for r in back.orderBy("shard", "batch", "user_id", "from_end").collect()]
+        assert ordered == sorted(ordered)

@@ -79,8 +79,6 @@ def test_rank_filter_cuts_before_the_exchange(frame):
     assert plan.count("WindowGroupLimit") == 2
 
 
-EVENTS = "id int, user_id int, ts timestamp"
-FEATURES = "user_id int, ts timestamp, tie int, v double"
 
 
 def _pit(spark, events, feats, ttl, max_rows=None):
@@ -124,3 +122,12 @@ def test_point_in_time_against_search(spark, max_rows):
         newest = max(past, key=lambda f: (f[1], f[2]), default=None)
         want[i] = newest[3] if newest and t - newest[1] <= 40 else None
     assert _pit(spark, events, feats, 40, max_rows) == want
+
+
+def test_attach_views_looks_static_views_up(spark):
+    events = spark.createDataFrame([(1, 5), (2, 5)], "user_id int, s int").withColumn("ts", F.timestamp_seconds("s"))
+    rows = spark.createDataFrame([(1, 9, 7), (1, 1, 6)], "user_id int, s int, v int").withColumn("ts", F.timestamp_seconds("s"))
+    moving = FeatureView("m", "user_id", "ts", ["v"])
+    fixed = FeatureView("f", "user_id", "ts", ["v"], static=True)
+    got = features.attach_views(events, "user_id", "ts", [(rows, moving), (rows, fixed)])
+    assert {(r.user_id, r.m__v, r.f__v) for r in got.collect()} == {(1, 6, 7), (2, None, None)}
