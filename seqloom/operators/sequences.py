@@ -70,7 +70,9 @@ def leave_one_out_split(
     )
 
 
-def _capped_samples(events: DataFrame, order: list[str], min_len: int, max_seq_len: int, per_user: int) -> DataFrame:
+def _capped_samples(
+    events: DataFrame, order: list[str], min_len: int, max_seq_len: int, per_user: int, profiles: DataFrame | None
+) -> DataFrame:
     """Samples for the last ``per_user + 2`` positions of every user.
 
     Nothing older than ``per_user + 2 + max_seq_len`` rows can appear in a sample, so every map task drops the rest
@@ -80,11 +82,15 @@ def _capped_samples(events: DataFrame, order: list[str], min_len: int, max_seq_l
     recent = last_rows_per_key(events, ["user_id"], order, keep)
     steps = F.collect_list(F.struct(F.col("_rn").alias("rn"), *STEP, "rating_timestamp"))
     tail = recent.groupBy("user_id").agg(F.sort_array(steps, asc=False).alias("s")).where(F.size("s") >= max(min_len, 3))
+    kept = ["user_id"]
+    if profiles is not None:
+        # one row per user here, many per user below
+        tail, kept = attach_profile(tail, profiles), ["user_id", "user_profile"]
     first = F.greatest(F.lit(2), F.size("s") - per_user - 1)
-    at = tail.select("user_id", "s", F.explode(F.sequence(first, F.size("s"))).alias("at"))
+    at = tail.select(*kept, "s", F.explode(F.sequence(first, F.size("s"))).alias("at"))
     start = F.greatest(F.lit(1), F.col("at") - max_seq_len)
     return at.select(
-        "user_id",
+        *kept,
         F.get("s", F.col("at") - 1).alias("t"),
         F.slice("s", start, F.col("at") - start).alias("h"),
         (F.size("s") - F.col("at") + 1).alias("from_end"),
@@ -133,6 +139,7 @@ def training_samples(
     min_len: int = MIN_SEQ_LEN,
     max_seq_len: int = MAX_SEQ_LEN,
     max_train_per_user: int | None = MAX_TRAIN_PER_USER,
+    profiles: DataFrame | None = None,
     block: int = HISTORY_BLOCK,
     size_from: DataFrame | None = None,
     max_rows: int | None = None,
@@ -141,15 +148,18 @@ def training_samples(
 
     ``events`` has user_id, item, slot, genres, rating_timestamp and the unique ``order`` columns. With
     ``max_train_per_user`` only the last so many train positions of a user are used, ``None`` uses all.
+    With ``profiles``, samples get the struct of their user and users without a complete profile are left out.
     ``size_from`` may name a cheaper frame with at least as many rows per user, see ``split_hot_groups``.
     """
     tail = None if max_train_per_user is None else max(max_train_per_user + 2 + max_seq_len, min_len)
     if tail is not None and tail <= RANK_LIMIT:
-        samples = _capped_samples(events, order, min_len, max_seq_len, max_train_per_user)
+        samples = _capped_samples(events, order, min_len, max_seq_len, max_train_per_user, profiles)
     else:
         samples = _all_samples(events, order, min_len, max_seq_len, block, size_from, max_rows)
         if max_train_per_user is not None:
             samples = samples.where(F.col("from_end") <= max_train_per_user + 2)
+        if profiles is not None:
+            samples = attach_profile(samples, profiles)
     return samples.select(
         "user_id",
         _split_label(F.col("from_end")).alias("split"),
@@ -160,11 +170,12 @@ def training_samples(
         F.col("t.item").alias("target"),
         F.col("t.slot").alias("target_time"),
         F.col("t.rating_timestamp").alias("last_timestamp"),
+        *(["user_profile"] if profiles is not None else []),
     )
 
 
 def attach_profile(samples: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Add the user profile as a struct; samples of users without a complete profile are dropped."""
+    """Add the user profile as a struct; rows of users without a complete profile are dropped."""
     fields = ["age_idx", "gender_idx", "occupation"]
     known = profiles.select("user_id", *fields).na.drop()
     return samples.join(known, "user_id").withColumn("user_profile", F.struct(*fields)).drop(*fields)

@@ -221,7 +221,7 @@ class Tables:
 
     @cached_property
     def samples(self) -> DataFrame:
-        return sequences.attach_profile(sequences.training_samples(self.sequence_events, RATING_ORDER), self.profiles)
+        return sequences.training_samples(self.sequence_events, RATING_ORDER, profiles=self.profiles)
 
     @cached_property
     def staged_samples(self) -> DataFrame:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import sampling, sequences
+from seqloom.operators import contract, sampling, sequences
 
 SIZES = {1: 1, 2: 3, 3: 4, 4: 5, 5: 60, 6: 230, 7: 22}
 
@@ -102,7 +102,11 @@ def test_profiles_and_padding(spark, events):
     profiles = spark.createDataFrame(
         [(5, 1, 0, 4), (6, None, 0, 4), (7, 2, 1, 5)], "user_id int, age_idx int, gender_idx int, occupation int"
     )
-    samples = sequences.attach_profile(sequences.training_samples(events, ORDER), profiles)
+    samples = sequences.training_samples(events, ORDER, profiles=profiles)
+    for cap in (20, 2_000, None):
+        joined = sequences.training_samples(events, ORDER, max_train_per_user=cap, profiles=profiles)
+        after = sequences.attach_profile(sequences.training_samples(events, ORDER, max_train_per_user=cap), profiles)
+        assert contract.difference(joined, after).count() == 0
     assert {r.user_id for r in samples.select("user_id").distinct().collect()} == {5, 7}
     row = sequences.pad_samples(samples).where("user_id = 7 AND split = 'train'").orderBy("from_end", ascending=False).first()
     assert len(row.item_seq) == len(row.time_seq) == len(row.genre_seq) == 50
