@@ -84,8 +84,10 @@ def _capped_samples(
     tail = recent.groupBy("user_id").agg(F.sort_array(steps, asc=False).alias("s")).where(F.size("s") >= max(min_len, 3))
     kept = ["user_id"]
     if profiles is not None:
-        # one row per user here, many per user below
-        tail, kept = attach_profile(tail, profiles), ["user_id", "user_profile"]
+        # One row per user here, many per user below. The rows are partitioned by user already; the hint keeps Spark
+        # from moving them on the strength of their small size before they are spread out.
+        tail = attach_profile(tail, profiles.hint("shuffle_hash"))
+        kept = ["user_id", "user_profile"]
     first = F.greatest(F.lit(2), F.size("s") - per_user - 1)
     at = tail.select(*kept, "s", F.explode(F.sequence(first, F.size("s"))).alias("at"))
     start = F.greatest(F.lit(1), F.col("at") - max_seq_len)
