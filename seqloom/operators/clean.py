@@ -44,9 +44,10 @@ def restrict_to_entities(df: DataFrame, entities: DataFrame, key: str = "user_id
     return df.join(entities.select(key), key, "left_semi")
 
 
-def flatten_samples(samples: DataFrame) -> DataFrame:
-    """Samples with a nested profile as plain rows with an event time."""
+def flatten_samples(samples: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Samples with a nested profile as plain rows with an event time; ``keep`` names further columns."""
     return samples.select(
+        *(keep or []),
         "user_id",
         F.timestamp_seconds("last_timestamp").alias("event_timestamp"),
         "item_seq",

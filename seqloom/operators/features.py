@@ -211,6 +211,17 @@ def online_lookup(requests: DataFrame, online: DataFrame, key: str = "user_id",
     return found.withColumn("is_miss", F.forall(F.array(*[F.col(c).isNull() for c in features]), lambda x: x))
 
 
+def newest_missed(
+    looked_up: DataFrame, offline: DataFrame, order: list[str], key: str = "user_id"
+) -> DataFrame:
+    """Newest offline row of every id that missed; only rows of those ids take part in the search.
+
+    These are also the rows to write back, with ``online_upsert``, so that the next lookup finds them.
+    """
+    missed = looked_up.where("is_miss").select(key).distinct()
+    return latest_per_key(offline.join(missed, key, "left_semi"), [key], order)
+
+
 def online_lookup_with_fallback(
     requests: DataFrame,
     online: DataFrame,
@@ -219,13 +230,9 @@ def online_lookup_with_fallback(
     key: str = "user_id",
     features: list[str] = FEATURE_COLS,
 ) -> DataFrame:
-    """Online features, and for misses the newest offline row; ``feature_source`` tells which was used.
-
-    Only offline rows of requested ids take part in the search for the newest row.
-    """
+    """Online features, and for misses the newest offline row; ``feature_source`` tells which was used."""
     looked_up = online_lookup(requests, online, key, features)
-    missed = looked_up.where("is_miss").select(key).distinct()
-    newest = latest_per_key(offline.join(missed, key, "left_semi"), [key], order).select(
+    newest = newest_missed(looked_up, offline, order, key).select(
         key, F.lit(True).alias("_in_offline"), *[F.col(c).alias(f"_off_{c}") for c in features]
     )
     joined = looked_up.join(newest, key, "left")

@@ -323,6 +323,22 @@ def online_lookup_with_fallback(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {_ONLINE_SQL}, offline AS (SELECT * FROM staged
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, target DESC) = 1),
+    filled AS (SELECT * FROM online UNION ALL
+        SELECT * FROM offline WHERE user_id IN (SELECT user_id FROM requests) AND user_id NOT IN (SELECT user_id FROM online))
+    SELECT user_id, {_SEC_SQL}, gender_idx, age_idx, CAST(occupation AS INTEGER) AS occupation, target_time, target FROM filled""",
+    "staged",
+)
+def online_write_back(t: Tables) -> DataFrame:
+    """The online table after the rows that a lookup missed were written back."""
+    online, order = _online(t), [SAMPLE_VIEW.time, *SAMPLE_VIEW.tie]
+    missed = features.newest_missed(features.online_lookup(_requests(t), online), t.staged_table, order)
+    merged = features.online_upsert(online, missed, "user_id", order)
+    return merged.withColumn("event_sec", _sec()).drop("event_timestamp")
+
+
 @query(
     f"""SELECT user_id, {_SEC_SQL}, gender, age, CAST(occupation AS INTEGER) AS occupation FROM user_rows
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC) = 1""",

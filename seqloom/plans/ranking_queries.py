@@ -144,20 +144,32 @@ def masked_mean_pool(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    f"""WITH {_VECTORS}, pairs AS (
-        SELECT user_id, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) + 0.0 AS score FROM user_vec, item_vectors
-        WHERE NOT EXISTS (SELECT 1 FROM vector_events e WHERE e.user_id = user_vec.user_id AND e.item = item_vectors.item)),
+def _recommend_sql(eligible: str = "TRUE") -> str:
+    return f"""WITH {_VECTORS}, subset AS (SELECT item FROM item_vectors
+        ORDER BY CAST('0x' || substr(md5('42:' || item), 1, 8) AS BIGINT), item LIMIT 200),
+    pairs AS (SELECT user_id, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) + 0.0 AS score FROM user_vec, item_vectors
+        WHERE {eligible} AND NOT EXISTS (
+            SELECT 1 FROM vector_events e WHERE e.user_id = user_vec.user_id AND e.item = item_vectors.item)),
     best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item) AS rank FROM pairs)
     SELECT user_id, CAST(rank AS INTEGER) AS rank, movie_id, coalesce(title, 'Movie ' || movie_id) AS title,
     coalesce(array_to_string(genres, '|'), 'Unknown') AS genres, score, 'Prime Time (18:00-21:59)' AS time_slot
-    FROM best JOIN vector_index ON item = item_idx LEFT JOIN movies USING (movie_id) WHERE rank <= {TOP_K}""",
-    "vector_events",
-    "item_vectors",
-    "movies",
-)
-def recommend_topk(t: Tables) -> DataFrame:
-    """The ten best unseen items of the whole catalog for every user."""
+    FROM best JOIN vector_index ON item = item_idx LEFT JOIN movies USING (movie_id) WHERE rank <= {TOP_K}"""
+
+
+def _recommend(t: Tables, item_vectors: DataFrame) -> DataFrame:
     users = recommend.user_vectors(t.vector_events, t.item_vectors)
-    ranked = recommend.top_k_items(users, t.item_vectors, t.vector_events, TOP_K, size_from=t.ratings)
+    ranked = recommend.top_k_items(users, item_vectors, t.vector_events, TOP_K, size_from=t.ratings)
     return recommend.describe_recommendations(ranked, t.vector_index, t.movies)
+
+
+@query(_recommend_sql(), "vector_events", "item_vectors", "movies")
+def recommend_topk(t: Tables) -> DataFrame:
+    """The ten best unseen items of the whole catalog for every user."""
+    return _recommend(t, t.item_vectors)
+
+
+@query(_recommend_sql("item IN (SELECT item FROM subset)"), "vector_events", "item_vectors", "movies")
+def recommend_topk_eligible(t: Tables) -> DataFrame:
+    """The same among the items of the seeded subset."""
+    subset = sampling.eligible_subset(t.item_vectors, "item")
+    return _recommend(t, t.item_vectors.join(subset, "item", "left_semi"))

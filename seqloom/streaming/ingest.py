@@ -13,7 +13,6 @@ from seqloom.sources.events import add_date_partition, derive_event_time, parse_
 from seqloom.sources.schemas import PARTITION_COLUMNS, TOPIC_KEYS, TOPIC_SCHEMAS
 
 MESSAGE_SCHEMA = "topic string, key string, value string"
-ROWS_PER_BATCH = 1_000
 
 
 def read_kafka(
@@ -120,7 +119,6 @@ def start_single_table(messages: DataFrame, topic: str, path: str, checkpoint: s
 
 __all__ = [
     "MESSAGE_SCHEMA",
-    "ROWS_PER_BATCH",
     "decode_topic",
     "raw_rows",
     "read_kafka",
