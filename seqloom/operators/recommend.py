@@ -29,15 +29,18 @@ def _mean_vector(vector: str, weight: Column) -> Column:
     return vector_to_array(Summarizer.mean(dense, weight))
 
 
-def user_vectors(history: DataFrame, item_vectors: DataFrame) -> DataFrame:
-    """Mean of the vectors of a user's history, repeated items counted as often as they occur.
+def interaction_counts(history: DataFrame) -> DataFrame:
+    """One row per (user, item) with the number of interactions.
 
-    The history is first reduced to one row per (user, item) with its count, so neither a hot user nor a hot item
-    reaches the vector join with all its rows.
+    Everything below works on these pairs, so neither a hot user nor a hot item arrives with all its rows.
     """
-    counted = history.groupBy("user_id", "item").agg(F.count(F.lit(1)).alias("_w"))
-    joined = counted.join(item_vectors.select("item", "vec"), "item")
-    return joined.groupBy("user_id").agg(_mean_vector("vec", F.col("_w").cast("double")).alias("vec"))
+    return history.groupBy("user_id", "item").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def user_vectors(pairs: DataFrame, item_vectors: DataFrame) -> DataFrame:
+    """Mean of the vectors of a user's items, repeated items counted as often as they occur."""
+    joined = pairs.join(item_vectors.select("item", "vec"), "item")
+    return joined.groupBy("user_id").agg(_mean_vector("vec", F.col("weight").cast("double")).alias("vec"))
 
 
 def unseen_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
@@ -123,22 +126,20 @@ def _best_rows(users: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int)
 def top_k_items(
     users: DataFrame,
     item_vectors: DataFrame,
-    history: DataFrame,
+    pairs: DataFrame,
     k: int = 10,
     *,
     item_block: int = ITEM_BLOCK,
     user_slice: int = USER_SLICE,
-    size_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per user the ``k`` best unseen items of the whole catalog, ranked 1..k.
 
     Catalog and users are hashed into blocks of bounded size; a task multiplies one slice of users with one block of
     items and returns ``k`` rows per user, so scored pairs never leave the task, nothing is broadcast and the
-    catalog may grow. Scores are compared after rounding, ties go to the smaller item. ``size_from`` may name a
-    cheaper frame that has all the users, to size the slices from.
+    catalog may grow. Scores are compared after rounding, ties go to the smaller item. ``pairs`` are the interaction
+    counts of the users; stage them, they are read here and for the user vectors.
     """
-    sized = users if size_from is None else size_from
-    n_users = sized.agg(F.approx_count_distinct("user_id")).first()[0]
+    n_users = pairs.agg(F.approx_count_distinct("user_id")).first()[0]
     blocks = max(1, math.ceil(item_vectors.count() / item_block))
     slices = max(1, math.ceil(n_users / user_slice))
 
@@ -147,8 +148,7 @@ def top_k_items(
 
     # a block holds its items once, so a user's seen list per block is no longer than the block
     seen = (
-        history.select("user_id", "item")
-        .distinct()
+        pairs.select("user_id", "item")
         .join(item_vectors.select("item"), "item", "left_semi")
         .groupBy("user_id", block("item").alias("_block"))
         .agg(F.collect_list("item").alias("seen"))

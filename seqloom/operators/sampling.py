@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.hashing import seeded_hash
+from seqloom.operators.skew import fill_forward, number_rows
 
 NUM_NEGATIVES = 99
 
@@ -37,6 +38,43 @@ def negative_candidates(
     )
 
 
+def negatives_outside_history(
+    samples: DataFrame, pairs: DataFrame, num_items: Column, *, negatives: int = NUM_NEGATIVES, seed: int = 42
+) -> DataFrame:
+    """As ``negative_candidates``, but no item that the user ever had is eligible, however long the history is.
+
+    ``pairs`` holds each (user_id, item) once and covers the targets. The i-th seen item e has e - i eligible items
+    below it, so the r-th eligible item is r plus the number of seen items with e - i < r. Seen items and draws are
+    put in one line per user and that number is carried forward to the draws: no list of the history is built, and hot
+    users are cut into chunks.
+    """
+    seen = number_rows(pairs.select("user_id", "item"), ["user_id"], ["item"], position="_i", total=None)
+    sizes = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_seen"))
+    sized = samples.join(sizes, "user_id").withColumn("_left", num_items - F.col("_seen"))
+    drawn = (
+        sized.where("_left > 0")
+        .select("user_id", "from_end", "_left", F.explode(F.sequence(F.lit(1), F.lit(negatives))).alias("_k"))
+        .withColumn("_r", F.lit(1) + F.pmod(seeded_hash(seed, F.col("user_id"), F.col("from_end"), F.col("_k")), F.col("_left")))
+    )
+    line = drawn.select("user_id", F.col("_r").alias("_at"), F.lit(0).alias("_kind"), "from_end", "_k").unionByName(
+        seen.select("user_id", (F.col("item") - F.col("_i")).alias("_at"), F.lit(1).alias("_kind"), "_i"),
+        allowMissingColumns=True,
+    )
+    # a draw comes before the seen items at its own place: only those strictly below it count
+    placed = fill_forward(line, ["user_id"], ["_at", "_kind", "_i", "from_end", "_k"], ["_i"]).where("_kind = 0")
+    item = (F.col("_at") + F.coalesce("_i", F.lit(0))).alias("item")
+    lists = placed.groupBy("user_id", "from_end").agg(
+        F.sort_array(F.collect_list(F.struct("_k", item))).alias("_drawn")
+    )
+    drawn_items = F.coalesce(F.col("_drawn.item"), F.array().cast("array<bigint>"))
+    return (
+        samples.join(lists, ["user_id", "from_end"], "left")
+        .withColumn("candidates", F.concat(F.array("target"), drawn_items))
+        .withColumn("short", F.size("candidates") <= negatives)
+        .drop("_drawn")
+    )
+
+
 def hash_split(df: DataFrame, key: list[str], *, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Label rows train or test by a hash of their key, the same under any partitioning."""
     bucket = F.pmod(seeded_hash(seed, *[F.col(k) for k in key]), F.lit(10_000))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import encode
-from seqloom.operators import clean, features, index, sequences
+from seqloom.operators import clean, features, index, recommend, sequences
 from seqloom.operators.features import DAY, FeatureService, FeatureView
 from seqloom.session import materialize
 
@@ -258,6 +258,11 @@ class Tables:
             )
         )
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Interactions per user and item, staged because several steps of a recommendation read them."""
+        return materialize(recommend.interaction_counts(self.vector_events), "pairs")
+
     @cached_property
     def log(self) -> DataFrame:
         return self.events.select(

@@ -24,7 +24,7 @@ def _candidate_rows(t: Tables) -> DataFrame:
 
 
 def _scored(t: Tables) -> DataFrame:
-    users = recommend.user_vectors(t.vector_events, t.item_vectors)
+    users = recommend.user_vectors(recommend.interaction_counts(t.vector_events), t.item_vectors)
     return recommend.score_candidates(_candidate_rows(t), users, t.item_vectors)
 
 
@@ -46,6 +46,23 @@ def negative_candidates(t: Tables) -> DataFrame:
     return rows.select("user_id", "split", "target", as_text("candidates").alias("candidates"), "short")
 
 
+@query(
+    """WITH seen AS (SELECT user_id, list_sort(list(DISTINCT item)) AS ex FROM vector_events GROUP BY user_id),
+    sized AS (SELECT s.*, ex, (SELECT count(DISTINCT vec_id) FROM embeddings) - len(ex) AS left_over
+        FROM vector_samples s JOIN seen USING (user_id) WHERE split <> 'train')
+    SELECT user_id, split, target, CAST(to_json(list_prepend(target, list_transform(range(1, 100), lambda i: list_reduce(
+        list_prepend(1 + CAST('0x' || substr(md5('42:' || user_id || ':' || from_end || ':' || i), 1, 8) AS BIGINT) % left_over, ex),
+        lambda x, e: CASE WHEN e <= x THEN x + 1 ELSE x END)))) AS VARCHAR) AS candidates, FALSE AS short FROM sized""",
+    "vector_samples",
+)
+def negatives_outside_history(t: Tables) -> DataFrame:
+    """Candidates that exclude everything the user ever had."""
+    samples = sequences.training_samples(t.vector_events, RATING_ORDER, max_train_per_user=0).where("split <> 'train'")
+    items = t.read("embeddings").agg(F.count_distinct("vec_id").alias("n")).scalar()
+    rows = sampling.negatives_outside_history(samples, t.pairs, items)
+    return rows.select("user_id", "split", "target", as_text("candidates").alias("candidates"), "short")
+
+
 _VECTORS = f"""user_dims AS (SELECT user_id, i, avg(vec[i]) AS x FROM vector_events JOIN item_vectors USING (item),
         (SELECT unnest(range(1, {VECTOR_DIM + 1})) AS i) GROUP BY user_id, i),
     user_vec AS (SELECT user_id, list(x ORDER BY i) AS uvec FROM user_dims GROUP BY user_id)"""
@@ -157,8 +174,8 @@ def _recommend_sql(eligible: str = "TRUE") -> str:
 
 
 def _recommend(t: Tables, item_vectors: DataFrame) -> DataFrame:
-    users = recommend.user_vectors(t.vector_events, t.item_vectors)
-    ranked = recommend.top_k_items(users, item_vectors, t.vector_events, TOP_K, size_from=t.ratings)
+    users = recommend.user_vectors(t.pairs, t.item_vectors)
+    ranked = recommend.top_k_items(users, item_vectors, t.pairs, TOP_K)
     return recommend.describe_recommendations(ranked, t.vector_index, t.movies)
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import ranking, recommend, sampling
+from seqloom.operators import ranking, recommend, sampling, skew
 
 SAMPLES = "user_id int, from_end int, target long, item_seq array<bigint>"
 
@@ -26,6 +26,26 @@ def test_negatives_are_eligible_and_complete(spark):
     assert min(counts.values()) > 10
 
 
+@pytest.mark.parametrize("hot", ["20", "1000000"])
+def test_negatives_outside_a_long_history(spark, hot):
+    spark.conf.set(skew.HOT_GROUP_ROWS, hot)
+    try:
+        seen = {1: {7}, 2: set(range(1, 200, 2)), 3: set(range(1, 201)), 4: {1, 2, 3, 199, 200}, 5: set(range(1, 200))}
+        rows = [(u, e, max(items), []) for u, items in seen.items() for e in (1, 2)]
+        pairs = spark.createDataFrame([(u, i) for u, items in seen.items() for i in items], "user_id int, item long")
+        out = sampling.negatives_outside_history(spark.createDataFrame(rows, SAMPLES), pairs, F.lit(200)).collect()
+        assert len(out) == 10
+        for r in out:
+            allowed = set(range(1, 201)) - seen[r.user_id]
+            assert r.candidates[0] == max(seen[r.user_id]) and r.short == (not allowed)
+            assert len(r.candidates) == (100 if allowed else 1) and set(r.candidates[1:]) <= allowed
+            # the list-based draw over the same exclusion gives the same items
+            listed = spark.createDataFrame([(r.user_id, r.from_end, r.target, sorted(seen[r.user_id]))], SAMPLES)
+            assert sampling.negative_candidates(listed, F.lit(200)).first().candidates == r.candidates
+    finally:
+        spark.conf.unset(skew.HOT_GROUP_ROWS)
+
+
 def test_negatives_do_not_depend_on_partitioning(spark):
     df = spark.range(40).select(
         F.col("id").cast("int").alias("user_id"), F.lit(1).alias("from_end"), F.lit(3).cast("long").alias("target"),
@@ -65,8 +85,9 @@ def test_top_k_against_full_scores(spark, vectors, item_block, user_slice):
     history[13] = [*range(1, 37), 1, 1]
     rows = [(u, i) for u, items in history.items() for i in items]
     events = spark.createDataFrame(rows, "user_id long, item long")
-    users = recommend.user_vectors(events, _items(spark, vectors))
-    got = recommend.top_k_items(users, _items(spark, vectors), events, 10, item_block=item_block, user_slice=user_slice)
+    pairs = recommend.interaction_counts(events)
+    users = recommend.user_vectors(pairs, _items(spark, vectors))
+    got = recommend.top_k_items(users, _items(spark, vectors), pairs, 10, item_block=item_block, user_slice=user_slice)
     found = {}
     for r in got.collect():
         found.setdefault(r.user_id, {})[r.rank] = (r.item, r.score)
