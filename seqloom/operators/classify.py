@@ -28,7 +28,8 @@ def train_classifier(
     """Fit on 80 % of the rows and return the model with its predictions on the rest.
 
     An unknown ``model_type`` trains a forest; ``hyperparams`` go to the Spark ML class unchanged. The prediction
-    column holds original labels. Raises when there is no row to train on.
+    column holds original labels. Raises when there is no row to train on. Pass a staged table: training reads the rows
+    several times. The distinct labels, at most the catalog, are kept on the driver by the label indexer.
     """
     rows = samples.na.drop(subset=[*features, target]).withColumn("_label", F.col(target).cast("string"))
     parts = hash_split(rows, key, seed=seed)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import encode
@@ -122,26 +122,18 @@ class Tables:
         """Two versions of every third movie: the later one has its type in front of the genres."""
         none = F.array().cast("array<string>")
         genres = F.concat(
+            F.when(F.col("version") == 1, F.array("p_type")).otherwise(none),
             F.split("p_name", " "),
             F.when(F.col("p_size") % 2 == 0, F.array("p_type")).otherwise(none),
             F.when(F.col("p_size") % 5 == 0, F.array("p_brand")).otherwise(none),
         )
-        first = F.timestamp_seconds(F.lit(1_701_388_800) + (F.col("p_partkey") % 30) * DAY)
-        base = self.read("part").select(
+        return _versions(self.read("part"), F.col("p_size") % 3 == 0).select(
             F.col("p_partkey").alias("movie_id"),
             F.col("p_name").alias("title"),
             genres.alias("genres"),
-            first.alias("event_timestamp"),
+            _version_time(F.col("p_partkey")).alias("event_timestamp"),
             "p_size",
-            "p_type",
         )
-        later = base.where("p_size % 3 = 0").withColumns(
-            {
-                "genres": F.concat(F.array("p_type"), F.col("genres")),
-                "event_timestamp": F.timestamp_seconds(F.unix_seconds("event_timestamp") + DAY),
-            }
-        )
-        return base.unionByName(later).drop("p_type")
 
     @cached_property
     def movies(self) -> DataFrame:
@@ -152,28 +144,24 @@ class Tables:
         return features.movie_features(self.movie_rows, PART_GENRES)
 
     @cached_property
-    def users(self) -> DataFrame:
+    def user_rows(self) -> DataFrame:
+        """Users with a second version, one day later, for every even id."""
         key = F.col("c_custkey")
         gender = F.when(F.col("c_acctbal") < 0, "F").when(key % 7 == 0, " f ").when(key % 11 == 5, "?").otherwise("M")
         ages = F.array(*[F.lit(a) for a in (1, 18, 25, 35, 45, 50, 56)])
-        return self.read("customer").select(
+        return _versions(self.read("customer"), key % 2 == 0).select(
             key.alias("user_id"),
             gender.alias("gender"),
             F.get(ages, F.col("c_nationkey") % 7).alias("age"),
-            (F.col("c_nationkey") % 21).alias("occupation"),
-            F.timestamp_seconds(F.lit(1_701_388_800) + (key % 30) * DAY).alias("event_timestamp"),
+            (F.col("c_nationkey") % 21 + F.col("version")).alias("occupation"),
+            _version_time(key).alias("event_timestamp"),
+            "version",
         )
 
     @cached_property
-    def user_rows(self) -> DataFrame:
-        """Users with a second version, one day later, for every even id."""
-        later = self.users.where("user_id % 2 = 0").withColumns(
-            {
-                "occupation": F.col("occupation") + 1,
-                "event_timestamp": F.timestamp_seconds(F.unix_seconds("event_timestamp") + DAY),
-            }
-        )
-        return self.users.unionByName(later)
+    def users(self) -> DataFrame:
+        """First versions only, one row per customer."""
+        return self.user_rows.where("version = 0").drop("version")
 
     @cached_property
     def encoded_users(self) -> DataFrame:
@@ -296,6 +284,16 @@ class Tables:
         )
 
 
+def _versions(rows: DataFrame, twice: Column) -> DataFrame:
+    """Rows as version 0 and, where ``twice`` holds, as version 1 too."""
+    return rows.withColumn("version", F.explode(F.sequence(F.lit(0), F.when(twice, 1).otherwise(0))))
+
+
+def _version_time(key: Column) -> Column:
+    """A day of December 2023 by the key; version 1 is a day later."""
+    return F.timestamp_seconds(F.lit(1_701_388_800) + (key % 30 + F.col("version")) * DAY)
+
+
 # --- the same bindings as DuckDB SQL -----------------------------------------------------------------------------
 
 _VOCAB = "[" + ", ".join(f"'{g}'" for g in PART_GENRES) + "]"

@@ -223,7 +223,7 @@ def time_slot_distribution(t: Tables) -> DataFrame:
     "user_rows",
 )
 def latest_features(t: Tables) -> DataFrame:
-    latest = features.latest_per_key(t.user_rows, ["user_id"], ["event_timestamp"])
+    latest = features.latest_per_key(t.user_rows.drop("version"), ["user_id"], ["event_timestamp"])
     return latest.withColumn("event_sec", _sec()).drop("event_timestamp")
 
 
@@ -346,7 +346,7 @@ def online_write_back(t: Tables) -> DataFrame:
 )
 def online_upsert(t: Tables) -> DataFrame:
     """The first versions as the table, the second versions as what is written to it."""
-    later = t.user_rows.join(t.users.select("user_id", "event_timestamp"), ["user_id", "event_timestamp"], "left_anti")
+    later = t.user_rows.where("version = 1").drop("version")
     merged = features.online_upsert(t.users, later, "user_id", ["event_timestamp"])
     return merged.withColumn("event_sec", _sec()).drop("event_timestamp")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import encode
@@ -38,7 +38,7 @@ def stage_features(spark: SparkSession, raw_root: str, out: str, vocabulary: lis
         f"{out}/rating_events",
     )
     write_document(index.reverse_index(staged, "movie_id", "internal_movie_id"), f"{out}/id_map")
-    catalog = features.latest_per_key(raw["movies"], ["movie_id"], ["event_timestamp", "title"])
+    catalog = features.latest_per_key(raw["movies"], ["movie_id"], ["event_timestamp", "title", "genres"])
     write_document(catalog.select("movie_id", "title", "genres"), f"{out}/movies")
     write_document(features.vocabulary_sizes(raw["users"], raw["movies"], len(vocabulary)), f"{out}/metadata")
 
@@ -48,12 +48,16 @@ def encoded_tables(raw: dict[str, DataFrame], vocabulary: list[str] = GENRES) ->
 
     Numbers that cannot be read become null, rows without keys go, one row per key stays: the newest.
     """
-    newest = [F.col("event_timestamp").desc()]
+
+    def newest(df: DataFrame) -> list[Column]:
+        # rows of one time are told apart by their content
+        return [F.col("event_timestamp").desc(), F.xxhash64(*df.columns)]
+
     users = clean.coerce_numeric(raw["users"], {"user_id": "bigint", "age": "int", "occupation": "int"})
-    users = clean.dedup_by_key(clean.drop_null_keys(users, ["user_id"]), ["user_id"], newest)
+    users = clean.dedup_by_key(clean.drop_null_keys(users, ["user_id"]), ["user_id"], newest(users))
     users = index.label_encode(users.select("user_id", "gender", "age", "occupation"), "age", "age_idx")
     movies = clean.coerce_numeric(raw["movies"], {"movie_id": "bigint"})
-    movies = clean.dedup_by_key(clean.drop_null_keys(movies, ["movie_id"]), ["movie_id"], newest)
+    movies = clean.dedup_by_key(clean.drop_null_keys(movies, ["movie_id"]), ["movie_id"], newest(movies))
     kinds = {"user_id": "bigint", "movie_id": "bigint", "rating": "double", "rating_timestamp": "bigint"}
     ratings = clean.drop_null_keys(clean.coerce_numeric(raw["ratings"], kinds), ["user_id", "movie_id", "rating"])
     return {
