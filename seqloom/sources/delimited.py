@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.functions.encode import split_genres
-
 SEPARATOR = "::"
 
 
@@ -64,5 +62,3 @@ def parse_ratings(lines: DataFrame) -> DataFrame:
         .orderBy("rating_timestamp", "user_id", "movie_id")
     )
 
-
-__all__ = ["parse_movies", "parse_ratings", "parse_users", "read_lines", "split_genres"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from seqloom.sources.events import add_date_partition, derive_event_time, parse_value, table_name
+from seqloom.sources.events import add_date_partition, derive_event_time, parse_value
 from seqloom.sources.schemas import PARTITION_COLUMNS, TOPIC_KEYS, TOPIC_SCHEMAS
 
 MESSAGE_SCHEMA = "topic string, key string, value string"
@@ -116,15 +116,3 @@ def start_single_table(messages: DataFrame, topic: str, path: str, checkpoint: s
         .start()
     )
 
-
-__all__ = [
-    "MESSAGE_SCHEMA",
-    "decode_topic",
-    "raw_rows",
-    "read_kafka",
-    "read_message_files",
-    "rejected_rows",
-    "start_ingest",
-    "start_single_table",
-    "table_name",
-]
