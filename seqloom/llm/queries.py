@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import mixing, packing, simhash
-from seqloom.llm.common import table
+from seqloom.llm import language, mixing, packing, simhash, toxicity
+from seqloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,21 @@ def oracles() -> dict[str, str]:
     return dict(SQL)
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, ~held_out("doc_id", 5, 0))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 5, 0).alias("held_out"),
+        "score",
+        "predicted",
+        "n_sentences",
+        F.size("toxic_spans").alias("n_toxic_sentences"),
+    )
+
+
 @query
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -78,3 +93,11 @@ FROM placed
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.select("doc_id", "text", "lang"), ~held_out("doc_id", 4, 2))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
