@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import language, mixing, packing, simhash, toxicity
+from seqloom.llm import language, mixing, packing, secrets, simhash, toxicity
 from seqloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs.select("doc_id", "text", "lang"), ~held_out("doc_id", 4, 2))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
