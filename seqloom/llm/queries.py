@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import language, mixing, packing, secrets, simhash, toxicity
+from seqloom.llm import language, licences, mixing, packing, secrets, simhash, toxicity
 from seqloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
