@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import language, licences, mixing, packing, secrets, simhash, toxicity
+from seqloom.llm import language, licences, mixing, packing, quality, secrets, simhash, toxicity
 from seqloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels, ~held_out("doc_id", 4, 2))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 4, 2).alias("held_out"),
+        "score",
+        "predicted",
+        "n_lines",
+        F.size("bad_lines").alias("n_bad_lines"),
+    )
+
+
 @query
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
