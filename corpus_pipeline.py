@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import mixing, packing, simhash
+from seqloom.llm import mixing, packing, secrets, simhash, toxicity
+from seqloom.llm.common import held_out, table
 from seqloom.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go; it learns from the labelled rows of the whole ``documents`` table."""
+    usable = ~held_out("doc_id", 5, 0)
+    model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), usable)
+    scored = toxicity.score(docs.select("*", F.col("text").alias("kept_text")), model)
+    return scored.where("predicted = 0").withColumn("text", F.col("kept_text")).select(*COLUMNS)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest doc_id."""
     found = simhash.near_duplicates(docs)
@@ -19,6 +28,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
 
 
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; documents without one stay as they are."""
+    hidden = secrets.redact(secrets.scan(docs.select(*COLUMNS).withColumn("was", F.col("text"))))
+    changed = ~F.col("text").eqNullSafe(F.col("was"))
+    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return hidden.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     taken = mixing.systematic_sample(docs).where("copies > 0").select(F.col("doc_id").alias("taken"), "copies")
@@ -33,7 +50,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", clean),
     ("near_duplicates", near_duplicates),
+    ("secrets", hide_secrets),
     ("mix", mix),
     ("pack", pack),
 ]
@@ -41,7 +60,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage is written to the shared folder and read again by the next one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import language, licences, mixing, packing, quality, secrets, simhash, toxicity
+from seqloom.llm import editprint, language, licences, mixing, packing, quality, secrets, simhash, toxicity, vectors
 from seqloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.digest(licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
