@@ -77,10 +77,11 @@ def map_texts(
     """``df`` without ``text`` and with the columns ``added`` (a DDL string) that ``fn`` returns for each text.
 
     ``fn`` gets lists of texts (null is the empty text) and returns a dict of columns of the same length. Rows pass
-    through Arrow batches inside the task that reads them; nothing is shuffled.
+    through Arrow batches inside the task that reads them; nothing is shuffled. A column of ``df`` that has the name of an
+    added one gives way to it.
     """
-    kept = [f for f in df.schema.fields if f.name != text]
     new = T.StructType.fromDDL(added).fields
+    kept = [f for f in df.schema.fields if f.name not in (text, *(n.name for n in new))]
     from pyspark.sql.pandas.types import to_arrow_type
 
     types = {f.name: to_arrow_type(f.dataType) for f in new}

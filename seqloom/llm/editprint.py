@@ -212,10 +212,14 @@ def in_order(docs: DataFrame, chunks: int) -> DataFrame:
     ids = place.select("place").where("place is not null").repartitionByRange(chunks, "place")
     tops = ids.groupBy(F.spark_partition_id()).agg(F.min("place").alias("low")).select("low").collect()
     borders = [float("-inf"), *sorted({r["low"] for r in tops})[1:], float("inf")]
-    cut = Bucketizer(splits=borders, inputCol="place", outputCol="chunk", handleInvalid="keep")
-    place = cut.transform(place).withColumn("chunk", F.coalesce(F.col("chunk").cast("int"), F.lit(len(borders) - 1)))
+    last = len(borders) - 1  # the chunk of the null ids
+    if len(borders) > 2:
+        cut = Bucketizer(splits=borders, inputCol="place", outputCol="range", handleInvalid="keep")
+        place = cut.transform(place)
+    else:
+        place = place.withColumn("range", F.when(F.col("place").isNotNull(), F.lit(0)))
+    place = place.withColumn("chunk", F.coalesce(F.col("range").cast("int"), F.lit(last)))
     firsts = place.groupBy("chunk").agg(F.max("doc_id").alias("first")).collect()
-    last = len(borders) - 1
     row = sorted(firsts, key=lambda r: (r["chunk"] == last, -r["chunk"]))
     chain = [(row[(k + 1) % len(row)]["first"], r["chunk"]) for k, r in enumerate(row)]
     kind = dict(docs.dtypes)["doc_id"]

@@ -83,7 +83,7 @@ def fit(docs: DataFrame, usable: Column, limit: int = TRAIN_DOCS) -> Model:
     summed in the tasks that read them and then per language and dimension. What reaches the driver is one vector per
     language.
     """
-    named = docs.where(usable & F.col("lang").isNotNull())
+    named = docs.select("doc_id", "text", "lang").where(usable & F.col("lang").isNotNull())
     counts = named.groupBy("lang").count().select(F.col("lang").alias("of"), (F.lit(float(limit)) / F.col("count")).alias("share"))
     drawn = named.join(counts, F.col("lang") == F.col("of")).where(
         unit_draw(F.lit(SEED), F.col("doc_id")) < F.col("share")
