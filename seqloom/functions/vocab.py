@@ -32,9 +32,6 @@ TIME_SLOT_LABELS = {
     2: "Late Night (22:00-5:59)",
 }
 
-# Topics of the ingest stream.
-TOPICS = ["raw-events", "new-user", "new-movie", "new-rating"]
-
 # Columns of the classifier and its label.
 FEATURE_COLS = ["gender_idx", "age_idx", "occupation", "target_time"]
 TARGET_COL = "target"

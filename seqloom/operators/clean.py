@@ -41,7 +41,8 @@ def entity_frame(events: DataFrame, entity: str = "user_id", time: str = "event_
 
 def restrict_to_entities(df: DataFrame, entities: DataFrame, key: str = "user_id") -> DataFrame:
     """Rows whose key is in ``entities``; the id list is a table, however long it is."""
-    return df.join(entities.select(key), key, "left_semi")
+    # a listed id may repeat, and that side of a semi join is not split when it is skewed
+    return df.join(entities.select(key).distinct(), key, "left_semi")
 
 
 def flatten_samples(samples: DataFrame, keep: list[str] | None = None) -> DataFrame:

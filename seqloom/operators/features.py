@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from seqloom.functions import encode
 from seqloom.functions.vocab import FEATURE_COLS, GENRES
 from seqloom.operators.index import apply_index, dense_index
 from seqloom.operators.skew import fill_forward, last_rows_per_key
+from seqloom.session import materialize
 
 DAY = 86_400
 
@@ -74,13 +76,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 def movie_features(movies: DataFrame, vocabulary: list[str] = GENRES) -> DataFrame:
     """Latest genres per movie, encoded into three columns, with the dense movie index."""
-    latest = latest_per_key(movies.select("movie_id", "genres", "event_timestamp"), ["movie_id"], ["event_timestamp", "genres"])
+    known = movies.select("movie_id", "genres", "event_timestamp").where("movie_id is not null")
+    latest = latest_per_key(known, ["movie_id"], ["event_timestamp", "genres"])
     codes = encode.genre_codes(F.col("genres"), vocabulary)
-    return apply_index(
-        latest.select("movie_id", "event_timestamp", codes.alias("g")),
-        dense_index(movies, "movie_id", "internal_movie_id"),
-        "movie_id",
-    ).select(
+    # one row per movie is left here, and the index is numbered from the same written rows
+    staged = materialize(latest.select("movie_id", "event_timestamp", codes.alias("g")), "latest-movies")
+    return apply_index(staged, dense_index(staged, "movie_id", "internal_movie_id", distinct=True), "movie_id").select(
         "movie_id",
         "internal_movie_id",
         "event_timestamp",
@@ -149,8 +150,13 @@ def point_in_time_join(
 
     Events and all views are stacked and each view's row is carried forward along the entity's time line: one
     exchange and one sort however many views there are, linear in the rows. Hot entities are cut into chunks.
-    Feature columns come out as ``<view>__<feature>`` with ``<view>__time``.
+    Feature columns come out as ``<view>__<feature>`` with ``<view>__time``. An event without an entity has no features, and
+    feature rows without one are left out; neither takes part in the exchange. A view's rows of one entity and time must be
+    told apart by its ``tie``.
     """
+    named = F.col(entity).isNotNull()
+    nameless, events = events.where(~named), events.where(named)
+    views = [(frame.where(F.col(v.entity).isNotNull()), v) for frame, v in views]
     spine = [F.col(entity).alias("_entity"), F.col(time).alias("_time")]
     slots = {v.name: f"_f_{v.name}" for _, v in views}
     stacked = events.select(*spine, F.lit(1).alias("_kind"), F.struct(*events.columns).alias("_event"))
@@ -165,8 +171,15 @@ def point_in_time_join(
         )
         stacked = stacked.unionByName(rows, allowMissingColumns=True)
     ties = [f"_t_{v.name}_{i}" for _, v in views for i in range(len(v.tie))]
+    entities = [events.select(F.col(entity).alias("_entity"))]
+    entities += [frame.select(F.col(v.entity).alias("_entity")) for frame, v in views]
     filled = fill_forward(
-        stacked, ["_entity"], ["_time", "_kind", *ties], list(slots.values()), max_rows=max_rows
+        stacked,
+        ["_entity"],
+        ["_time", "_kind", *ties],
+        list(slots.values()),
+        size_from=reduce(DataFrame.unionByName, entities),
+        max_rows=max_rows,
     ).where(F.col("_kind") == 1)
 
     out = ["_event.*"]
@@ -175,7 +188,7 @@ def point_in_time_join(
         fresh = F.col("_time") <= slot["time"] + F.make_dt_interval(secs=F.lit(v.ttl_seconds))
         out.append(F.when(fresh, slot["time"]).alias(f"{v.name}__time"))
         out += [F.when(fresh, slot[f]).alias(f"{v.name}__{f}") for f in v.features]
-    return filled.select(*out)
+    return filled.select(*out).unionByName(nameless, allowMissingColumns=True)
 
 
 def attach_views(
@@ -206,7 +219,10 @@ def online_upsert(online: DataFrame, rows: DataFrame, key: str, order: list[str]
 
 
 def online_lookup(requests: DataFrame, online: DataFrame, key: str = "user_id", features: list[str] = FEATURE_COLS) -> DataFrame:
-    """Requested ids with their online features; ``is_miss`` when every feature is null."""
+    """Requested ids with their online features; ``is_miss`` when every feature is null.
+
+    Columns of the requests, such as an ordinal to sort the answer by, are kept.
+    """
     found = requests.join(online.select(key, *features), key, "left")
     return found.withColumn("is_miss", F.forall(F.array(*[F.col(c).isNull() for c in features]), lambda x: x))
 

@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.operators.skew import number_rows
+from seqloom.operators.skew import hot_group_rows, number_rows
+from seqloom.session import materialize
 
+#: Ids that one task numbers; more are numbered range by range.
+IDS_PER_TASK = 500_000
 
-def dense_index(df: DataFrame, key: str, index: str = "item_idx", start: int = 1) -> DataFrame:
+
+def dense_index(
+    df: DataFrame, key: str, index: str = "item_idx", start: int = 1, *, distinct: bool = False
+) -> DataFrame:
     """Distinct non-null values of ``key`` in ascending order, numbered from ``start`` without gaps.
 
-    The ids are de-duplicated before anything is ordered; beyond the hot-group size they are numbered range by
-    range, so no task sees all of them.
+    The distinct ids are written once, counted there and numbered from there; beyond ``IDS_PER_TASK`` they are numbered
+    range by range, so no task sees all of them. ``distinct`` says that ``df`` is a written table with one row per key.
     """
-    ids = df.select(key).where(F.col(key).isNotNull()).distinct()
-    numbered = number_rows(ids, [], [key], position=index, total=None)
+    ids = df.select(key).where(F.col(key).isNotNull())
+    if not distinct:
+        ids = materialize(ids.distinct(), "ids")
+    limit = min(IDS_PER_TASK, hot_group_rows(df.sparkSession))
+    numbered = number_rows(ids, [], [key], position=index, total=None, max_rows=limit)
     return numbered if start == 1 else numbered.withColumn(index, F.col(index) + (start - 1))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.encode import metric_column
@@ -13,15 +13,18 @@ KS = (5, 10, 20)
 def target_rank(scored: DataFrame, sample_key: list[str]) -> DataFrame:
     """Rank of the target: 1 + the number of candidates that score strictly higher.
 
-    ``scored`` has one row per sample and candidate with ``score`` and ``is_target``; both parts come from a single
-    aggregation because the target score joins its candidates inside the sample's own group.
+    ``scored`` has one row per sample and candidate with ``score`` and ``is_target``. The target's score is spread over its
+    sample by a window and the candidates above it are counted over the same partitioning, without lists. A candidate
+    without a score beats nobody; a target without one comes last, behind all other candidates.
     """
-    grouped = scored.groupBy(*sample_key).agg(
-        F.max(F.when(F.col("is_target"), F.col("score"))).alias("target_score"),
-        F.collect_list(F.when(~F.col("is_target"), F.col("score"))).alias("others"),
+    sample = Window.partitionBy(*sample_key)
+    target = F.max(F.when(F.col("is_target"), F.col("score"))).over(sample)
+    beats = ~F.col("is_target") & (F.col("target_score").isNull() | (F.col("score") > F.col("target_score")))
+    return (
+        scored.withColumn("target_score", target)
+        .groupBy(*sample_key)
+        .agg(F.max("target_score").alias("target_score"), (F.count_if(beats) + 1).cast("int").alias("rank"))
     )
-    beaten_by = F.size(F.filter("others", lambda s: s > F.col("target_score")))
-    return grouped.select(*sample_key, "target_score", (beaten_by + 1).alias("rank"))
 
 
 def ranking_metrics(ranks: DataFrame, ks: tuple[int, ...] = KS) -> DataFrame:

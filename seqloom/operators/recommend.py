@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from seqloom.functions.encode import genre_text, time_slot_label, title_or_default
 from seqloom.operators.skew import first_rows_per_key
 
-ITEM_BLOCK = 8_192
-USER_SLICE = 4_096
-_ROWS_AT_ONCE = 1_024
+#: Memory of one block of item vectors and of one slice of user vectors in a task, as float32.
+BLOCK_BYTES = 128 << 20
+#: Users and items whose products are taken at once.
+_USERS_AT_ONCE, _ITEMS_AT_ONCE = 512, 8_192
 SCORE_DIGITS = 6
 
 
@@ -49,27 +51,41 @@ def unseen_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
     return candidates.join(seen, ["user_id", "item"], "left_anti")
 
 
-def _matrix(lists: pa.Array) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), -1)
+def _matrix(lists: pa.Array, size: int) -> np.ndarray:
+    """Vectors of ``size`` as rows; another length is an error, since it would shift all vectors behind it."""
+    if set(pc.list_value_length(lists).unique().to_pylist()) - {size}:
+        raise ValueError("vectors must have the same length")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), size)
 
 
 def _add_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = dict(zip(batch.schema.names, batch.columns, strict=True))
-        left, right = _matrix(columns.pop("_uv")), _matrix(columns.pop("_iv"))
-        columns["score"] = pa.array(np.round(np.einsum("ij,ij->i", left, right), SCORE_DIGITS) + 0.0)
+        left, right = columns.pop("_uv"), columns.pop("_iv")
+        known = pc.and_(pc.is_valid(left), pc.is_valid(right))
+        score = np.full(len(batch), np.nan)
+        if pc.any(known).as_py():
+            at = known.to_numpy(zero_copy_only=False)
+            left, right = left.filter(known), right.filter(known)
+            size = pc.list_value_length(left)[0].as_py()
+            products = np.einsum("ij,ij->i", _matrix(left, size), _matrix(right, size))
+            score[at] = np.round(products, SCORE_DIGITS) + 0.0
+        # a score that is no number is no score
+        columns["score"] = pa.array(score, mask=~np.isfinite(score))
         yield pa.RecordBatch.from_pydict(columns)
 
 
 def score_candidates(candidates: DataFrame, users: DataFrame, item_vectors: DataFrame) -> DataFrame:
     """Dot product of user and item vector for each candidate row (user_id, item, ...).
 
-    The user side comes first: candidates usually are partitioned by user already, and only narrow rows move. The
+    Every candidate stays: the score is null if the user or the item has no vector or the product is not finite. The item
+    comes first, so that a moved candidate carries an item's vector, and the user's joins where the rows end up. The
     products are taken on whole Arrow batches; Spark's array lambdas are interpreted element by element.
     """
     # exploded candidates are far larger than their size estimate: without the hint they may get broadcast
     vectors = users.select("user_id", F.col("vec").alias("_uv")).hint("shuffle_hash")
-    scored = candidates.join(vectors, "user_id").join(item_vectors.select("item", F.col("vec").alias("_iv")), "item")
+    items = item_vectors.select("item", F.col("vec").alias("_iv"))
+    scored = candidates.join(items, "item", "left").join(vectors, "user_id", "left")
     kept = [f for f in scored.schema.fields if f.name not in ("_uv", "_iv")]
     schema = StructType([*kept, StructField("score", DoubleType())])
     return scored.select(*[f.name for f in kept], "_uv", "_iv").mapInArrow(_add_scores, schema)
@@ -93,9 +109,9 @@ def _best_of_block(k: int):
         if len(users) and len(items):
             items = items.sort_values("item")
             ids = items["item"].to_numpy()
-            matrix = np.stack(items["vec"].to_numpy()).astype(np.float64)
-            for lo in range(0, len(users), _ROWS_AT_ONCE):
-                out.extend(_best_rows(users.iloc[lo : lo + _ROWS_AT_ONCE], ids, matrix, k))
+            matrix = _stack(items["vec"])
+            for lo in range(0, len(users), _USERS_AT_ONCE):
+                out.append(_best_rows(users.iloc[lo : lo + _USERS_AT_ONCE], ids, matrix, k))
         if not out:
             return pd.DataFrame({"user_id": [], "item": [], "score": []}).astype(
                 {"user_id": "int64", "item": "int64", "score": "float64"}
@@ -105,43 +121,79 @@ def _best_of_block(k: int):
     return best
 
 
-def _best_rows(users: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
-    scores = np.round(np.stack(users["vec"].to_numpy()) @ matrix.T, SCORE_DIGITS) + 0.0
-    for row, seen in enumerate(users["seen"]):
-        if seen is not None and len(seen):
-            scores[row, np.searchsorted(ids, np.asarray(seen))] = -np.inf
-    # ids ascend, so a stable sort of the negated scores breaks ties by the smaller id
-    top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    best = np.take_along_axis(scores, top, axis=1)
-    keep = np.isfinite(best)
-    yield pd.DataFrame(
+def _stack(vectors: pd.Series) -> np.ndarray:
+    """Vectors as float32 rows; a missing one is a row of NaN."""
+    size = next((len(v) for v in vectors if v is not None), 0)
+    if any(v is not None and len(v) != size for v in vectors):
+        raise ValueError("vectors must have the same length")
+    return np.stack([np.full(size, np.nan, np.float32) if v is None else np.asarray(v, np.float32) for v in vectors])
+
+
+def _best_rows(users: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> pd.DataFrame:
+    """The best ``k`` unseen items of each user; items are worked through in parts and the best so far are carried on.
+
+    Seen items are masked by position. A product that is not finite has no score and ranks behind all that have one.
+    """
+    vectors = np.stack(users["vec"].to_numpy()).astype(np.float64)
+    seen = [np.zeros(0, np.int64) if s is None else np.searchsorted(ids, np.asarray(s, np.int64)) for s in users["seen"]]
+    # keys ascend: (no item or seen, no score, -score, item)
+    open_, score, item = (np.zeros((len(users), 0), kind) for kind in (bool, np.float64, np.int64))
+    for lo in range(0, len(ids), _ITEMS_AT_ONCE):
+        part = matrix[lo : lo + _ITEMS_AT_ONCE]
+        new = np.round(vectors @ part.T.astype(np.float64), SCORE_DIGITS) + 0.0
+        new[~np.isfinite(new)] = np.nan
+        free = np.ones(new.shape, dtype=bool)
+        for row, s in enumerate(seen):
+            free[row, s[(s >= lo) & (s < lo + len(part))] - lo] = False
+        open_ = np.concatenate([open_, free], axis=1)
+        score = np.concatenate([score, new], axis=1)
+        item = np.concatenate([item, np.broadcast_to(ids[lo : lo + len(part)], new.shape)], axis=1)
+        # kept and new items ascend, so stable sorts break ties by the smaller id; NaN sorts last
+        best = np.argsort(-score, axis=1, kind="stable")
+        best = np.take_along_axis(best, np.argsort(~np.take_along_axis(open_, best, axis=1), axis=1, kind="stable"), 1)
+        best = best[:, :k]
+        open_, score, item = (np.take_along_axis(x, best, axis=1) for x in (open_, score, item))
+    return pd.DataFrame(
         {
-            "user_id": np.repeat(users["user_id"].to_numpy(), keep.sum(axis=1)),
-            "item": ids[top][keep],
-            "score": best[keep],
+            "user_id": np.repeat(users["user_id"].to_numpy(), open_.sum(axis=1)),
+            "item": item[open_],
+            "score": score[open_],
         }
     )
 
 
+def rows_per_block(size: int, memory: int = BLOCK_BYTES) -> int:
+    """Vectors of ``size`` float32 numbers that fit into ``memory``."""
+    return max(1, memory // (4 * max(1, size)))
+
+
 def top_k_items(
     users: DataFrame,
     item_vectors: DataFrame,
     pairs: DataFrame,
     k: int = 10,
     *,
-    item_block: int = ITEM_BLOCK,
-    user_slice: int = USER_SLICE,
+    size: int,
+    n_items: int,
+    n_users: int,
+    item_block: int | None = None,
+    user_slice: int | None = None,
 ) -> DataFrame:
     """Per user the ``k`` best unseen items of the whole catalog, ranked 1..k.
 
-    Catalog and users are hashed into blocks of bounded size; a task multiplies one slice of users with one block of
-    items and returns ``k`` rows per user, so scored pairs never leave the task, nothing is broadcast and the
-    catalog may grow. Scores are compared after rounding, ties go to the smaller item. ``pairs`` are the interaction
-    counts of the users; stage them, they are read here and for the user vectors.
+    Catalog and users are hashed into blocks that fill ``BLOCK_BYTES`` with vectors of ``size`` numbers; a task multiplies one
+    slice of users with one block of items and returns ``k`` rows per user, so scored pairs never leave the task, nothing
+    is broadcast and the catalog may grow. Users are copied once per block of items and items once per slice of users.
+    Scores are compared after rounding, ties go to the smaller item. An item whose score is not finite is ranked behind
+    all others, with a null score. ``pairs`` are the interaction counts of the users; stage them, they are read here and for
+    the user vectors. ``n_items`` and ``n_users`` (or upper bounds) only size the blocks.
     """
-    n_users = pairs.agg(F.approx_count_distinct("user_id")).first()[0]
-    blocks = max(1, math.ceil(item_vectors.count() / item_block))
-    slices = max(1, math.ceil(n_users / user_slice))
+    blocks = max(1, math.ceil(n_items / (item_block or rows_per_block(size))))
+    slices = max(1, math.ceil(n_users / (user_slice or rows_per_block(size))))
+    tasks = item_vectors.sparkSession.sparkContext.defaultParallelism
+    if user_slice is None and blocks * slices < tasks:
+        # small inputs: still one slice for each core
+        slices = math.ceil(tasks / blocks)
 
     def block(item: str) -> Column:
         return F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
@@ -161,7 +213,7 @@ def top_k_items(
     ).join(seen, ["user_id", "_block"], "left")
     right = item_vectors.select(
         "item",
-        F.transform("vec", lambda x: x.cast("double")).alias("vec"),
+        F.col("vec").cast("array<float>").alias("vec"),
         block("item").alias("_block"),
         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"),
     )
@@ -170,8 +222,9 @@ def top_k_items(
         .cogroup(right.groupBy("_block", "_slice"))
         .applyInPandas(_best_of_block(k), "user_id long, item long, score double")
     )
-    ranked = first_rows_per_key(best, ["user_id"], [F.col("score").desc(), F.col("item")], k, "rank")
-    return ranked.select("user_id", "rank", "item", "score")
+    best = best.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
+    order = [F.col("score").desc_nulls_last(), F.col("item")]
+    return first_rows_per_key(best, ["user_id"], order, k, "rank").select("user_id", "rank", "item", "score")
 
 
 def describe_recommendations(

@@ -50,7 +50,8 @@ def negatives_outside_history(
     """
     seen = number_rows(pairs.select("user_id", "item"), ["user_id"], ["item"], position="_i", total=None)
     sizes = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_seen"))
-    sized = samples.join(sizes, "user_id").withColumn("_left", num_items - F.col("_seen"))
+    # a user without pairs draws from all items
+    sized = samples.join(sizes, "user_id", "left").withColumn("_left", num_items - F.coalesce("_seen", F.lit(0)))
     drawn = (
         sized.where("_left > 0")
         .select("user_id", "from_end", "_left", F.explode(F.sequence(F.lit(1), F.lit(negatives))).alias("_k"))
@@ -75,9 +76,15 @@ def negatives_outside_history(
     )
 
 
+def _zone_free(df: DataFrame, key: list[str]) -> list[Column]:
+    """Key columns with timestamps as microseconds, so that their hash does not depend on the session's time zone."""
+    kinds = dict(df.dtypes)
+    return [F.unix_micros(k) if kinds[k] == "timestamp" else F.col(k) for k in key]
+
+
 def hash_split(df: DataFrame, key: list[str], *, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Label rows train or test by a hash of their key, the same under any partitioning."""
-    bucket = F.pmod(seeded_hash(seed, *[F.col(k) for k in key]), F.lit(10_000))
+    bucket = F.pmod(seeded_hash(seed, *_zone_free(df, key)), F.lit(10_000))
     return df.withColumn("split", F.when(bucket < int(test_share * 10_000), "test").otherwise("train"))
 
 
@@ -94,7 +101,7 @@ def training_export(
     Rows come in seeded random order, or in key order for evaluation. A shard is sorted before it is numbered, so a
     task that is run again writes the same batches.
     """
-    by = seeded_hash(seed, *[F.col(k) for k in key]) if shuffled else F.lit(0)
+    by = seeded_hash(seed, *_zone_free(samples, key)) if shuffled else F.lit(0)
     ordered = samples.withColumn("_by", by)
     ordered = ordered.repartition(shards, "_by") if shuffled else ordered.repartitionByRange(shards, *key)
     in_shard = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))

@@ -10,8 +10,6 @@ from seqloom.operators.skew import RANK_LIMIT, last_rows_per_key, number_rows
 
 MIN_SEQ_LEN = 5
 MAX_SEQ_LEN = 50
-MAX_TRAIN_PER_USER = 20
-SEQUENCE_CHUNK = 1_000
 HISTORY_BLOCK = 100_000
 
 STEP = ["item", "slot", "genres"]
@@ -25,31 +23,36 @@ def user_sequences(
     events: DataFrame,
     order: list[str],
     *,
+    chunk: int,
     min_len: int = MIN_SEQ_LEN,
-    chunk: int = SEQUENCE_CHUNK,
+    profiles: DataFrame | None = None,
     size_from: DataFrame | None = None,
     max_rows: int | None = None,
 ) -> DataFrame:
     """Ordered lists of items, genres, slots and times per user with at least ``min_len`` events.
 
     A history longer than ``chunk`` comes out as several rows with consecutive ``part`` numbers, so no row grows
-    with the most active user; ``seq_len`` is the length of the whole history.
+    with the most active user; ``seq_len`` is the length of the whole history. With ``profiles``, every row gets the struct
+    of its user and users without a complete profile are left out.
     """
     numbered = number_rows(events, ["user_id"], order, size_from=size_from, max_rows=max_rows)
     numbered = numbered.where(F.col("n") >= min_len)
     step = F.struct("pos", *STEP, "rating_timestamp")
-    return (
-        numbered.groupBy("user_id", F.floor((F.col("pos") - 1) / chunk).alias("part"))
-        .agg(F.sort_array(F.collect_list(step)).alias("s"), F.first("n").alias("seq_len"))
-        .select(
-            "user_id",
-            "part",
-            "seq_len",
-            F.col("s.item").alias("item_seq"),
-            F.col("s.genres").alias("genre_seq"),
-            F.col("s.slot").alias("time_seq"),
-            F.col("s.rating_timestamp").alias("timestamps"),
-        )
+    parts = numbered.groupBy("user_id", F.floor((F.col("pos") - 1) / chunk).alias("part")).agg(
+        F.sort_array(F.collect_list(step)).alias("s"), F.first("n").alias("seq_len")
+    )
+    kept = []
+    if profiles is not None:
+        parts, kept = attach_profile(parts, profiles), ["user_profile"]
+    return parts.select(
+        "user_id",
+        "part",
+        "seq_len",
+        F.col("s.item").alias("item_seq"),
+        F.col("s.genres").alias("genre_seq"),
+        F.col("s.slot").alias("time_seq"),
+        F.col("s.rating_timestamp").alias("timestamps"),
+        *kept,
     )
 
 
@@ -105,6 +108,7 @@ def _all_samples(
     min_len: int,
     max_seq_len: int,
     block: int,
+    profiles: DataFrame | None,
     size_from: DataFrame | None,
     max_rows: int | None,
 ) -> DataFrame:
@@ -117,6 +121,10 @@ def _all_samples(
         raise ValueError("a block must hold at least one full history")
     numbered = number_rows(events, ["user_id"], order, size_from=size_from, max_rows=max_rows)
     numbered = numbered.where(F.col("n") >= max(min_len, 3))
+    kept = []
+    if profiles is not None:
+        # rows are narrow and numbered here; later each of them carries a history
+        numbered, kept = attach_profile(numbered, profiles), ["user_profile"]
     home = F.floor((F.col("pos") - 1) / block)
     ahead = F.floor((F.col("pos") - 1 + max_seq_len) / block)
     placed = numbered.withColumn("_home", home).withColumn("_block", F.explode(F.sequence(home, ahead)))
@@ -127,6 +135,7 @@ def _all_samples(
         .where((F.col("_block") == F.col("_home")) & (F.col("pos") >= 2))
         .select(
             "user_id",
+            *kept,
             F.struct(*STEP, "rating_timestamp").alias("t"),
             "h",
             (F.col("n") - F.col("pos") + 1).cast("int").alias("from_end"),
@@ -140,7 +149,7 @@ def training_samples(
     *,
     min_len: int = MIN_SEQ_LEN,
     max_seq_len: int = MAX_SEQ_LEN,
-    max_train_per_user: int | None = MAX_TRAIN_PER_USER,
+    max_train_per_user: int | None = None,
     profiles: DataFrame | None = None,
     block: int = HISTORY_BLOCK,
     size_from: DataFrame | None = None,
@@ -148,8 +157,9 @@ def training_samples(
 ) -> DataFrame:
     """One row per target position with its history of up to ``max_seq_len`` earlier events.
 
-    ``events`` has user_id, item, slot, genres, rating_timestamp and the unique ``order`` columns. With
-    ``max_train_per_user`` only the last so many train positions of a user are used, ``None`` uses all.
+    ``events`` has user_id, item, slot, genres, rating_timestamp and the unique ``order`` columns. All positions are
+    used; ``max_train_per_user`` keeps only the last so many train positions of a user, to bound what a classifier is
+    fitted on.
     With ``profiles``, samples get the struct of their user and users without a complete profile are left out.
     ``size_from`` may name a cheaper frame with at least as many rows per user, see ``split_hot_groups``.
     """
@@ -157,11 +167,9 @@ def training_samples(
     if tail is not None and tail <= RANK_LIMIT:
         samples = _capped_samples(events, order, min_len, max_seq_len, max_train_per_user, profiles)
     else:
-        samples = _all_samples(events, order, min_len, max_seq_len, block, size_from, max_rows)
+        samples = _all_samples(events, order, min_len, max_seq_len, block, profiles, size_from, max_rows)
         if max_train_per_user is not None:
             samples = samples.where(F.col("from_end") <= max_train_per_user + 2)
-        if profiles is not None:
-            samples = attach_profile(samples, profiles)
     return samples.select(
         "user_id",
         _split_label(F.col("from_end")).alias("split"),

@@ -34,6 +34,8 @@ PART_GENRES = [
     "PROMO",
 ]
 VECTOR_DIM = 64
+#: Train positions per user that a classifier is fitted on; bounds the labelled rows of the fit.
+FIT_POSITIONS = 20
 RATING_ORDER = ["rating_timestamp", "event_id"]
 BIG_ORDER = ["rating_timestamp", "l_orderkey", "l_linenumber", "l_suppkey", "movie_id"]
 
@@ -209,11 +211,26 @@ class Tables:
 
     @cached_property
     def samples(self) -> DataFrame:
-        return sequences.training_samples(self.sequence_events, RATING_ORDER, profiles=self.profiles)
+        """Samples of all positions with profiles."""
+        return sequences.training_samples(
+            self.sequence_events, RATING_ORDER, profiles=self.profiles, size_from=self.ratings
+        )
+
+    @cached_property
+    def capped_samples(self) -> DataFrame:
+        """Samples of the last positions, to bound what a classifier is fitted on."""
+        return sequences.training_samples(
+            self.sequence_events, RATING_ORDER, max_train_per_user=FIT_POSITIONS, profiles=self.profiles
+        )
+
+    @cached_property
+    def fit_table(self) -> DataFrame:
+        """The flat rows a classifier is fitted on, staged."""
+        return materialize(clean.staging_projection(clean.flatten_samples(self.capped_samples)), "fit-rows")
 
     @cached_property
     def staged_samples(self) -> DataFrame:
-        """Samples as the flat rows the classifier is trained on."""
+        """Samples as flat rows."""
         return clean.staging_projection(clean.flatten_samples(self.samples))
 
     @cached_property
@@ -223,7 +240,8 @@ class Tables:
 
     @cached_property
     def vector_index(self) -> DataFrame:
-        return index.dense_index(self.read("embeddings").select(F.col("vec_id").alias("movie_id")), "movie_id")
+        ids = self.read("embeddings").select(F.col("vec_id").alias("movie_id"))
+        return materialize(index.dense_index(ids, "movie_id"), "vector-index")
 
     @cached_property
     def item_vectors(self) -> DataFrame:
@@ -393,6 +411,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
         """SELECT item_idx AS item, CAST(embedding AS DOUBLE[]) AS vec
         FROM embeddings JOIN vector_index ON vec_id = movie_id""",
     ),
+    "some_vectors": (["item_vectors"], "SELECT * FROM item_vectors WHERE item % 7 <> 0"),
     "vector_events": (
         ["ratings", "vector_index"],
         f"""SELECT user_id, item_idx AS item, [] AS genres, {SLOT_SQL} AS slot, rating_timestamp, event_id,
@@ -408,9 +427,9 @@ _CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def samples_cte(events: str, all_positions: bool = False, cap: int = 20) -> str:
+def samples_cte(events: str, cap: int | None = None) -> str:
     """Samples with their histories over one of the ``*_events`` CTEs."""
-    limit = "" if all_positions else f" AND (pos > n - 2 OR pos > n - 2 - {cap})"
+    limit = "" if cap is None else f" AND pos > n - 2 - {cap}"
     frame = "OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING)"
     return f"""SELECT user_id, CASE WHEN pos = n THEN 'test' WHEN pos = n - 1 THEN 'val' ELSE 'train' END AS split,
         CAST(n - pos + 1 AS INTEGER) AS from_end, item_seq, genre_seq, time_seq, target, target_time, last_timestamp
@@ -425,6 +444,7 @@ _CTES["samples"] = (
     """SELECT s.*, p.age_idx, p.gender_idx, p.occupation FROM raw_samples s JOIN profiles p USING (user_id)
     WHERE p.age_idx IS NOT NULL AND p.gender_idx IS NOT NULL AND p.occupation IS NOT NULL""",
 )
+_CTES["capped_samples"] = (["samples"], f"SELECT * FROM samples WHERE from_end <= {FIT_POSITIONS + 2}")
 _CTES["staged"] = (
     ["samples"],
     """SELECT user_id, CAST(to_timestamp(last_timestamp) AT TIME ZONE 'UTC' AS TIMESTAMP) AS event_timestamp,

@@ -245,6 +245,15 @@ def _purchases(t: Tables) -> DataFrame:
     return t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
 
 
+def _orders(t: Tables) -> DataFrame:
+    return t.read("orders").select(
+        F.col("o_custkey").alias("user_id"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 25 YEARS")).cast("timestamp").alias("ts"),
+        "o_totalprice",
+        "o_orderkey",
+    )
+
+
 def _views(t: Tables) -> DataFrame:
     return t.events.where("event_type = 'view'").select("event_id", "user_id", "ts", "value")
 
@@ -267,25 +276,37 @@ def pit_join(t: Tables) -> DataFrame:
     FROM pit ASOF LEFT JOIN spend s ON pit.user_id = s.o_custkey AND pit.ts >= s.ts"""
 )
 def pit_join_multi_view(t: Tables) -> DataFrame:
-    orders = t.read("orders").select(
-        F.col("o_custkey").alias("user_id"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 25 YEARS")).cast("timestamp").alias("ts"),
-        "o_totalprice",
-        "o_orderkey",
-    )
     joined = features.point_in_time_join(
-        _purchases(t), "user_id", "ts", [(_views(t), VIEW_VALUE), (orders, ORDER_VALUE)]
+        _purchases(t), "user_id", "ts", [(_views(t), VIEW_VALUE), (_orders(t), ORDER_VALUE)]
     )
     return joined.select("event_id", "user_id", "seen__value", "spend__o_totalprice")
 
 
+@query(
+    """WITH spine AS (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN user_id END AS user_id, ts FROM events),
+    spend AS (SELECT CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS o_custkey, o_orderdate + INTERVAL 25 YEAR AS ts,
+        max_by(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY ALL)
+    SELECT event_id, spine.user_id, CASE WHEN s.ts >= spine.ts - INTERVAL 365 DAY THEN s.o_totalprice END AS spend__o_totalprice
+    FROM spine ASOF LEFT JOIN spend s ON spine.user_id = s.o_custkey AND spine.ts >= s.ts"""
+)
+def pit_join_orders(t: Tables) -> DataFrame:
+    """All events against all orders; users that are not known, on either side, match nothing."""
+    events = t.events.select("event_id", F.when(F.col("event_id") % 50 != 0, F.col("user_id")).alias("user_id"), "ts")
+    orders = _orders(t).withColumn("user_id", F.when(F.col("o_orderkey") % 50 != 0, F.col("user_id")))
+    joined = features.point_in_time_join(events, "user_id", "ts", [(orders, ORDER_VALUE)])
+    return joined.select("event_id", "user_id", "spend__o_totalprice")
+
+
 _ONLINE_END = "2024-01-28 00:00:00"
 
 
 def _requests(t: Tables) -> DataFrame:
-    """Every customer, and an id that no customer has for every supplier."""
-    known = t.read("customer").select(F.col("c_custkey").alias("user_id"))
-    unknown = t.read("supplier").select((-1 - F.col("s_suppkey")).alias("user_id"))
+    """Every customer, every tenth once more, and an id that no customer has for every supplier; ``ord`` is the order."""
+    key, supplier = F.col("c_custkey"), F.col("s_suppkey")
+    times = F.array(F.lit(0)), F.array(F.lit(0), F.lit(1_000_000_000))
+    again = t.read("customer").select(key, F.explode(F.when(key % 10 == 0, times[1]).otherwise(times[0])).alias("at"))
+    known = again.select((key + F.col("at")).alias("ord"), key.alias("user_id"))
+    unknown = t.read("supplier").select((-1 - supplier).alias("ord"), (-1 - supplier).alias("user_id"))
     return known.unionByName(unknown)
 
 
@@ -293,13 +314,15 @@ def _online(t: Tables) -> DataFrame:
     return features.materialize_window(t.staged_table, SAMPLE_VIEW, _ONLINE_END)
 
 
-_ONLINE_SQL = f"""requests AS (SELECT c_custkey AS user_id FROM customer UNION ALL SELECT -1 - s_suppkey FROM supplier),
+_ONLINE_SQL = f"""requests AS (SELECT c_custkey AS ord, c_custkey AS user_id FROM customer
+        UNION ALL SELECT c_custkey + 1000000000, c_custkey FROM customer WHERE c_custkey % 10 = 0
+        UNION ALL SELECT -1 - s_suppkey, -1 - s_suppkey FROM supplier),
     online AS (SELECT * FROM staged WHERE event_timestamp BETWEEN TIMESTAMP '{_ONLINE_END}' - INTERVAL 7 DAY AND TIMESTAMP '{_ONLINE_END}'
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, target DESC) = 1)"""
 
 
 @query(
-    f"""WITH {_ONLINE_SQL} SELECT user_id, gender_idx, age_idx, CAST(occupation AS INTEGER) AS occupation, target_time,
+    f"""WITH {_ONLINE_SQL} SELECT ord, user_id, gender_idx, age_idx, CAST(occupation AS INTEGER) AS occupation, target_time,
     gender_idx IS NULL AND age_idx IS NULL AND occupation IS NULL AND target_time IS NULL AS is_miss
     FROM requests LEFT JOIN online USING (user_id)""",
     "staged",
@@ -311,7 +334,7 @@ def online_lookup(t: Tables) -> DataFrame:
 @query(
     f"""WITH {_ONLINE_SQL}, offline AS (SELECT * FROM staged
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, target DESC) = 1)
-    SELECT r.user_id, coalesce(o.gender_idx, f.gender_idx) AS gender_idx, coalesce(o.age_idx, f.age_idx) AS age_idx,
+    SELECT r.ord, r.user_id, coalesce(o.gender_idx, f.gender_idx) AS gender_idx, coalesce(o.age_idx, f.age_idx) AS age_idx,
     CAST(coalesce(o.occupation, f.occupation) AS INTEGER) AS occupation, coalesce(o.target_time, f.target_time) AS target_time,
     CASE WHEN o.user_id IS NOT NULL THEN 'online' WHEN f.user_id IS NOT NULL THEN 'offline' ELSE 'missing' END AS feature_source
     FROM requests r LEFT JOIN online o USING (user_id) LEFT JOIN offline f USING (user_id)""",

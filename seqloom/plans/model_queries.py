@@ -71,7 +71,7 @@ def train_classifier(t: Tables) -> DataFrame:
     """Accuracy of forest and regression on held-out samples, with the gate's decision."""
     out = None
     for kind, params in (("random_forest", _FOREST), ("logistic_regression", {"maxIter": 5})):
-        _, scored = classify.train_classifier(t.staged_table, kind, params, key=["user_id", "event_timestamp"])
+        _, scored = classify.train_classifier(t.fit_table, kind, params, key=["user_id", "event_timestamp"])
         row = classify.promotion_gate(classify.accuracy(scored)).withColumn("model_type", F.lit(kind))
         out = row if out is None else out.unionByName(row)
     return out
@@ -80,7 +80,7 @@ def train_classifier(t: Tables) -> DataFrame:
 @query()
 def batch_predict(t: Tables) -> DataFrame:
     """Predictions for every request, through online table, offline fallback and model."""
-    model, _ = classify.train_classifier(t.staged_table, "random_forest", _FOREST, key=["user_id", "event_timestamp"])
+    model, _ = classify.train_classifier(t.fit_table, "random_forest", _FOREST, key=["user_id", "event_timestamp"])
     resolved = features.online_lookup_with_fallback(
         _requests(t), _online(t), t.staged_table, [SAMPLE_VIEW.time, *SAMPLE_VIEW.tie]
     )

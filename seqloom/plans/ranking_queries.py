@@ -23,9 +23,11 @@ def _candidate_rows(t: Tables) -> DataFrame:
     return _eval_samples(t).select("user_id", "split", F.posexplode_outer("candidates").alias("k", "item"))
 
 
-def _scored(t: Tables) -> DataFrame:
-    users = recommend.user_vectors(recommend.interaction_counts(t.vector_events), t.item_vectors)
-    return recommend.score_candidates(_candidate_rows(t), users, t.item_vectors)
+def _scored(t: Tables, item_vectors: DataFrame | None = None, split: str | None = None) -> DataFrame:
+    vectors = item_vectors if item_vectors is not None else t.item_vectors
+    users = recommend.user_vectors(recommend.interaction_counts(t.vector_events), vectors)
+    candidates = _candidate_rows(t)
+    return recommend.score_candidates(candidates.where(F.col("split") == split) if split else candidates, users, vectors)
 
 
 _CANDIDATES = """eval AS (SELECT user_id, split, from_end, target, item_seq,
@@ -69,9 +71,9 @@ _VECTORS = f"""user_dims AS (SELECT user_id, i, avg(vec[i]) AS x FROM vector_eve
 _SCORES = f"""{_VECTORS}, {_CANDIDATES},
     rows AS (SELECT user_id, split, unnest(candidates) AS item, unnest(range(100)) AS k FROM cand),
     scored AS (SELECT user_id, split, CAST(k AS INTEGER) AS k, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) + 0.0 AS score
-        FROM rows JOIN user_vec USING (user_id) JOIN item_vectors USING (item))"""
+        FROM rows LEFT JOIN user_vec USING (user_id) LEFT JOIN item_vectors USING (item))"""
 _RANKS = f"""{_SCORES}, ranks AS (SELECT user_id, split, max(score) FILTER (WHERE k = 0) AS target_score,
-        CAST(1 + count(*) FILTER (WHERE score > ts) AS INTEGER) AS rank
+        CAST(1 + count(*) FILTER (WHERE k > 0 AND (ts IS NULL OR score > ts)) AS INTEGER) AS rank
         FROM (SELECT *, max(score) FILTER (WHERE k = 0) OVER (PARTITION BY user_id, split) AS ts FROM scored)
         GROUP BY user_id, split)"""
 
@@ -92,8 +94,8 @@ def unseen_candidates(t: Tables) -> DataFrame:
     return kept.select("user_id", "split", "k", "item")
 
 
-def _ranks(t: Tables) -> DataFrame:
-    scored = _scored(t).withColumn("is_target", F.col("k") == 0)
+def _ranks(t: Tables, item_vectors: DataFrame | None = None, split: str | None = None) -> DataFrame:
+    scored = _scored(t, item_vectors, split).withColumn("is_target", F.col("k") == 0)
     return ranking.target_rank(scored, ["user_id", "split"])
 
 
@@ -102,6 +104,14 @@ def target_rank(t: Tables) -> DataFrame:
     return _ranks(t)
 
 
+@query(
+    f"WITH {_RANKS.replace('JOIN item_vectors', 'JOIN some_vectors')} SELECT * FROM ranks", "vector_samples", "some_vectors"
+)
+def target_rank_missing_vectors(t: Tables) -> DataFrame:
+    """Ranks where every seventh item has no vector: such a target comes last."""
+    return _ranks(t, t.item_vectors.where("item % 7 <> 0"))
+
+
 def _metric_sql(k: int) -> str:
     return f"""round(avg(CASE WHEN rank <= {k} THEN 1.0 ELSE 0.0 END), 9) AS "Hit@{k}",
     round(avg(CASE WHEN rank <= {k} THEN 1 / log2(rank + 1) ELSE 0.0 END), 9) AS "NDCG@{k}",
@@ -113,7 +123,7 @@ _METRICS = ", ".join(_metric_sql(k) for k in ranking.KS)
 
 @query(f"WITH {_RANKS} SELECT {_METRICS} FROM ranks WHERE split = 'test'", "vector_samples", "item_vectors")
 def ranking_metrics(t: Tables) -> DataFrame:
-    metrics = ranking.ranking_metrics(_ranks(t).where("split = 'test'"))
+    metrics = ranking.ranking_metrics(_ranks(t, split="test"))
     return metrics.select(*[F.round(f"`{c}`", 9).alias(c) for c in metrics.columns])
 
 
@@ -124,7 +134,7 @@ def ranking_metrics(t: Tables) -> DataFrame:
     "item_vectors",
 )
 def ranking_metrics_long(t: Tables) -> DataFrame:
-    metrics = ranking.ranking_metrics(_ranks(t).where("split = 'test'"))
+    metrics = ranking.ranking_metrics(_ranks(t, split="test"))
     return ranking.ranking_metrics_long(metrics).withColumn("value", F.round("value", 9))
 
 
@@ -161,13 +171,13 @@ def masked_mean_pool(t: Tables) -> DataFrame:
     )
 
 
-def _recommend_sql(eligible: str = "TRUE") -> str:
+def _recommend_sql(eligible: str = "TRUE", score: str = "list_dot_product(uvec, vec)") -> str:
     return f"""WITH {_VECTORS}, subset AS (SELECT item FROM item_vectors
         ORDER BY CAST('0x' || substr(md5('42:' || item), 1, 8) AS BIGINT), item LIMIT 200),
-    pairs AS (SELECT user_id, item, round(list_dot_product(uvec, vec), {SCORE_DIGITS}) + 0.0 AS score FROM user_vec, item_vectors
+    pairs AS (SELECT user_id, item, round({score}, {SCORE_DIGITS}) + 0.0 AS score FROM user_vec, item_vectors
         WHERE {eligible} AND NOT EXISTS (
             SELECT 1 FROM vector_events e WHERE e.user_id = user_vec.user_id AND e.item = item_vectors.item)),
-    best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item) AS rank FROM pairs)
+    best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC NULLS LAST, item) AS rank FROM pairs)
     SELECT user_id, CAST(rank AS INTEGER) AS rank, movie_id, coalesce(title, 'Movie ' || movie_id) AS title,
     coalesce(array_to_string(genres, '|'), 'Unknown') AS genres, score, 'Prime Time (18:00-21:59)' AS time_slot
     FROM best JOIN vector_index ON item = item_idx LEFT JOIN movies USING (movie_id) WHERE rank <= {TOP_K}"""
@@ -175,7 +185,16 @@ def _recommend_sql(eligible: str = "TRUE") -> str:
 
 def _recommend(t: Tables, item_vectors: DataFrame) -> DataFrame:
     users = recommend.user_vectors(t.pairs, t.item_vectors)
-    ranked = recommend.top_k_items(users, item_vectors, t.pairs, TOP_K)
+    # both counts come from the files' metadata; pairs bound the number of users
+    ranked = recommend.top_k_items(
+        users,
+        item_vectors,
+        t.pairs,
+        TOP_K,
+        size=VECTOR_DIM,
+        n_items=t.vector_index.count(),
+        n_users=t.pairs.count(),
+    )
     return recommend.describe_recommendations(ranked, t.vector_index, t.movies)
 
 
@@ -190,3 +209,15 @@ def recommend_topk_eligible(t: Tables) -> DataFrame:
     """The same among the items of the seeded subset."""
     subset = sampling.eligible_subset(t.item_vectors, "item")
     return _recommend(t, t.item_vectors.join(subset, "item", "left_semi"))
+
+
+@query(
+    _recommend_sql("item <= 9", "CASE WHEN item % 4 <> 0 THEN list_dot_product(uvec, vec) END"),
+    "vector_events",
+    "item_vectors",
+    "movies",
+)
+def recommend_topk_nonfinite(t: Tables) -> DataFrame:
+    """A catalog of nine items, two of them with vectors that are not numbers: those come last, without a score."""
+    broken = F.when(F.col("item") % 4 == 0, F.transform("vec", lambda x: F.lit(float("nan")).cast("float")))
+    return _recommend(t, t.item_vectors.where("item <= 9").withColumn("vec", broken.otherwise(F.col("vec"))))

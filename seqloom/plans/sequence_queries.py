@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators import sampling, sequences
-from seqloom.plans.bindings import BIG_ORDER, RATING_ORDER, Tables, samples_cte
+from seqloom.plans.bindings import BIG_ORDER, FIT_POSITIONS, RATING_ORDER, Tables, samples_cte
 from seqloom.plans.registry import as_text, query
 from seqloom.session import scratch_path
 
@@ -24,13 +24,31 @@ def _as_rows(samples: DataFrame) -> DataFrame:
     """SELECT user_id, (pos - 1) // 25 AS part, max(n) AS seq_len,
     CAST(to_json(list(item ORDER BY pos)) AS VARCHAR) AS item_seq, CAST(to_json(list(slot ORDER BY pos)) AS VARCHAR) AS time_seq,
     CAST(to_json(list(genres ORDER BY pos)) AS VARCHAR) AS genre_seq,
-    CAST(to_json(list(rating_timestamp ORDER BY pos)) AS VARCHAR) AS timestamps
-    FROM sequence_events WHERE n >= 5 GROUP BY user_id, part""",
+    CAST(to_json(list(rating_timestamp ORDER BY pos)) AS VARCHAR) AS timestamps,
+    max(age_idx) AS age_idx, max(gender_idx) AS gender_idx, CAST(max(occupation) AS INTEGER) AS occupation
+    FROM sequence_events JOIN profiles USING (user_id)
+    WHERE n >= 5 AND age_idx IS NOT NULL AND gender_idx IS NOT NULL AND occupation IS NOT NULL GROUP BY user_id, part""",
     "sequence_events",
+    "profiles",
 )
 def user_sequences(t: Tables) -> DataFrame:
-    rows = sequences.user_sequences(t.sequence_events, RATING_ORDER, chunk=25, size_from=t.ratings)
-    return _as_rows(rows).withColumn("timestamps", as_text("timestamps"))
+    """Whole histories in parts of 25, each with its user's profile."""
+    rows = sequences.user_sequences(
+        t.sequence_events, RATING_ORDER, chunk=25, profiles=t.profiles, size_from=t.ratings
+    )
+    return _as_rows(rows).withColumn("timestamps", as_text("timestamps")).select("*", "user_profile.*").drop("user_profile")
+
+
+@query(
+    """SELECT user_id, CAST(to_json(list(item ORDER BY pos)) AS VARCHAR) AS item_seq
+    FROM sequence_events WHERE n >= 5 GROUP BY user_id""",
+    "sequence_events",
+)
+def user_sequences_joined(t: Tables) -> DataFrame:
+    """The parts put together again give each user's whole history in order."""
+    parts = sequences.user_sequences(t.sequence_events, RATING_ORDER, chunk=7, size_from=t.ratings)
+    whole = parts.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("part", "item_seq"))).alias("p"))
+    return whole.select("user_id", F.to_json(F.flatten("p.item_seq")).alias("item_seq"))
 
 
 @query(
@@ -44,30 +62,29 @@ def leave_one_out_split(t: Tables) -> DataFrame:
 
 
 @query(
-    f"SELECT user_id, split, from_end, {_LISTS}, target, target_time, last_timestamp, gender_idx, age_idx, CAST(occupation AS INTEGER) AS occupation FROM samples",
-    "samples",
+    f"SELECT user_id, split, from_end, {_LISTS}, target, target_time, last_timestamp, gender_idx, age_idx, CAST(occupation AS INTEGER) AS occupation FROM capped_samples",
+    "capped_samples",
 )
 def training_samples(t: Tables) -> DataFrame:
-    """Capped samples with profiles: the flagship job."""
-    return _as_rows(t.samples).select("*", "user_profile.*").drop("user_profile")
+    """Capped samples with profiles, what a classifier is fitted on: the flagship job."""
+    return _as_rows(t.capped_samples).select("*", "user_profile.*").drop("user_profile")
 
 
 _SAMPLE_COLUMNS = f"user_id, split, from_end, {_LISTS}, target, target_time, last_timestamp"
 
 
-@query(f"SELECT {_SAMPLE_COLUMNS} FROM ({samples_cte('sequence_events', all_positions=True)})", "sequence_events")
+@query(f"SELECT {_SAMPLE_COLUMNS} FROM ({samples_cte('sequence_events')})", "sequence_events")
 def training_samples_all(t: Tables) -> DataFrame:
     """Samples for every train position."""
-    samples = sequences.training_samples(
-        t.sequence_events, RATING_ORDER, max_train_per_user=None, size_from=t.ratings
-    )
-    return _as_rows(samples)
+    return _as_rows(sequences.training_samples(t.sequence_events, RATING_ORDER, size_from=t.ratings))
 
 
-@query(f"SELECT {_SAMPLE_COLUMNS} FROM ({samples_cte('sequence_events_big')})", "sequence_events_big")
+@query(f"SELECT {_SAMPLE_COLUMNS} FROM ({samples_cte('sequence_events_big', FIT_POSITIONS)})", "sequence_events_big")
 def training_samples_big(t: Tables) -> DataFrame:
     """Capped samples over the order lines."""
-    return _as_rows(sequences.training_samples(t.sequence_events_big, BIG_ORDER))
+    return _as_rows(
+        sequences.training_samples(t.sequence_events_big, BIG_ORDER, max_train_per_user=FIT_POSITIONS)
+    )
 
 
 @query(
@@ -78,7 +95,9 @@ def training_samples_big(t: Tables) -> DataFrame:
     "raw_samples",
 )
 def pad_sequences(t: Tables) -> DataFrame:
-    padded = sequences.pad_samples(sequences.training_samples(t.sequence_events, RATING_ORDER))
+    padded = sequences.pad_samples(
+        sequences.training_samples(t.sequence_events, RATING_ORDER, size_from=t.ratings)
+    )
     return _as_rows(padded).select("user_id", "from_end", "item_seq", "time_seq")
 
 
@@ -88,7 +107,9 @@ def pad_sequences(t: Tables) -> DataFrame:
     "raw_samples",
 )
 def pad_genre_sequences(t: Tables) -> DataFrame:
-    padded = sequences.pad_samples(sequences.training_samples(t.sequence_events, RATING_ORDER))
+    padded = sequences.pad_samples(
+        sequences.training_samples(t.sequence_events, RATING_ORDER, size_from=t.ratings)
+    )
     return _as_rows(padded).select("user_id", "from_end", "genre_seq")
 
 

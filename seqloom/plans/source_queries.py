@@ -27,11 +27,11 @@ def _text(*columns: str) -> list[Column]:
 
 @query(
     """SELECT user_id, gender, age, CAST(occupation AS INTEGER) AS occupation, '94' || user_id AS zip_code
-    FROM users WHERE user_id % 50 <> 49""",
-    "users",
+    FROM user_rows WHERE user_id % 50 <> 49""",
+    "user_rows",
 )
 def parse_delimited_users(t: Tables) -> DataFrame:
-    zipped = t.users.withColumn("zip_code", F.concat(F.lit("94"), F.col("user_id").cast("string")))
+    zipped = t.user_rows.withColumn("zip_code", F.concat(F.lit("94"), F.col("user_id").cast("string")))
     fields = _text("user_id", "gender", "age", "occupation", "zip_code")
     return delimited.parse_users(_lines(zipped, fields, "user_id"))
 

@@ -49,16 +49,16 @@ def parse_movies(lines: DataFrame) -> DataFrame:
 
 
 def parse_ratings(lines: DataFrame) -> DataFrame:
-    """user_id::movie_id::rating::unix_seconds, in time order."""
+    """user_id::movie_id::rating::unix_seconds; ``in_time_order`` sorts them where a sink needs it."""
     f = F.col("f")
-    return (
-        _fields(lines, 4)
-        .select(
-            f[0].try_cast("bigint").alias("user_id"),
-            f[1].try_cast("bigint").alias("movie_id"),
-            f[2].try_cast("int").alias("rating"),
-            f[3].try_cast("bigint").alias("rating_timestamp"),
-        )
-        .orderBy("rating_timestamp", "user_id", "movie_id")
+    return _fields(lines, 4).select(
+        f[0].try_cast("bigint").alias("user_id"),
+        f[1].try_cast("bigint").alias("movie_id"),
+        f[2].try_cast("int").alias("rating"),
+        f[3].try_cast("bigint").alias("rating_timestamp"),
     )
 
+
+def in_time_order(ratings: DataFrame) -> DataFrame:
+    return ratings.orderBy("rating_timestamp", "user_id", "movie_id")
+

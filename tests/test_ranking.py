@@ -87,7 +87,7 @@ def test_top_k_against_full_scores(spark, vectors, item_block, user_slice):
     events = spark.createDataFrame(rows, "user_id long, item long")
     pairs = recommend.interaction_counts(events)
     users = recommend.user_vectors(pairs, _items(spark, vectors))
-    got = recommend.top_k_items(users, _items(spark, vectors), pairs, 10, item_block=item_block, user_slice=user_slice)
+    got = recommend.top_k_items(users, _items(spark, vectors), pairs, 10, size=6, n_items=40, n_users=13, item_block=item_block, user_slice=user_slice)
     found = {}
     for r in got.collect():
         found.setdefault(r.user_id, {})[r.rank] = (r.item, r.score)
@@ -102,7 +102,7 @@ def test_scores_of_candidates(spark, vectors):
     users = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (2, [0.0, 2.0, 0.0, 0.0, 0.0, 0.0])], "user_id long, vec array<double>")
     cand = spark.createDataFrame([(1, 3), (2, 4), (2, 999)], "user_id long, item long")
     got = {(r.user_id, r.item): r.score for r in recommend.score_candidates(cand, users, _items(spark, vectors)).collect()}
-    assert got == {(1, 3): pytest.approx(vectors[3][0]), (2, 4): pytest.approx(2 * vectors[4][1])}
+    assert got == {(1, 3): pytest.approx(vectors[3][0]), (2, 4): pytest.approx(2 * vectors[4][1]), (2, 999): None}
 
 
 def test_pooling_ignores_padding(spark, vectors):
@@ -131,3 +131,60 @@ def test_split_share_and_subset(spark):
     assert 0.17 < share < 0.23
     assert sampling.eligible_subset(df, "id").count() == 200
     assert sampling.eligible_subset(spark.range(30), "id").count() == 30
+
+
+def test_a_target_without_score_comes_last(spark):
+    rows = [(1, True, None), (1, False, 0.5), (1, False, None), (2, True, 0.2), (2, False, None), (2, False, 0.1)]
+    ranks = ranking.target_rank(spark.createDataFrame(rows, "s int, is_target boolean, score double"), ["s"])
+    assert {r.s: r.rank for r in ranks.collect()} == {1: 3, 2: 1}
+
+
+def test_candidates_without_vector_stay(spark):
+    candidates = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (1, 3)], "user_id long, item long")
+    users = spark.createDataFrame([(1, [1.0, 2.0])], "user_id long, vec array<double>")
+    items = spark.createDataFrame([(1, [3.0, 4.0]), (3, [float("nan"), 1.0])], "item long, vec array<double>")
+    got = {(r.user_id, r.item): r.score for r in recommend.score_candidates(candidates, users, items).collect()}
+    assert got == {(1, 1): 11.0, (1, 2): None, (2, 1): None, (1, 3): None}
+
+
+def test_vectors_of_unequal_length_are_refused(spark):
+    candidates = spark.createDataFrame([(1, 1), (1, 2)], "user_id long, item long").coalesce(1)
+    users = spark.createDataFrame([(1, [1.0, 2.0])], "user_id long, vec array<double>")
+    items = spark.createDataFrame([(1, [3.0, 4.0, 5.0]), (2, [1.0])], "item long, vec array<double>")
+    with pytest.raises(Exception, match="same length"):
+        recommend.score_candidates(candidates, users, items).collect()
+
+
+def test_scores_that_are_not_finite_rank_last(spark):
+    items = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [float("nan"), 0.0]), (3, [2.0, 0.0]), (4, [float("inf"), 0.0])], "item long, vec array<double>"
+    )
+    users = spark.createDataFrame([(7, [1.0, 1.0])], "user_id long, vec array<double>")
+    pairs = spark.createDataFrame([(7, 1, 1)], "user_id long, item long, weight long")
+    got = recommend.top_k_items(users, items, pairs, 10, size=2, n_items=4, n_users=1, item_block=2, user_slice=1)
+    assert [(r.rank, r.item, r.score) for r in got.orderBy("rank").collect()] == [(1, 3, 2.0), (2, 2, None), (3, 4, None)]
+
+
+def test_blocks_fill_memory():
+    assert recommend.rows_per_block(64) == 128 * 1024 * 1024 // 256
+    assert recommend.rows_per_block(10**9) == 1
+
+
+def test_split_does_not_depend_on_the_time_zone(spark):
+    df = spark.range(300).select(F.timestamp_seconds(F.col("id") * 7919).alias("t"), "id")
+    try:
+        splits = []
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            splits.append({r.id: r.split for r in sampling.hash_split(df, ["t"]).collect()})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert splits[0] == splits[1]
+
+
+def test_a_user_without_pairs_draws_from_all_items(spark):
+    samples = spark.createDataFrame([(1, 1, 3, []), (2, 1, 4, [])], SAMPLES)
+    pairs = spark.createDataFrame([(1, 3)], "user_id int, item long")
+    out = {r.user_id: r for r in sampling.negatives_outside_history(samples, pairs, F.lit(50)).collect()}
+    assert len(out[2].candidates) == 100 and not out[2].short
+    assert set(out[2].candidates) <= set(range(1, 51))

@@ -117,8 +117,8 @@ def test_profiles_and_padding(spark, events):
 def test_empty(spark, events):
     empty = events.where("false")
     assert sequences.training_samples(empty, ORDER).count() == 0
-    assert sequences.training_samples(empty, ORDER, max_train_per_user=None).count() == 0
-    assert sequences.user_sequences(empty, ORDER).count() == 0
+    assert sequences.training_samples(empty, ORDER, max_train_per_user=20).count() == 0
+    assert sequences.user_sequences(empty, ORDER, chunk=10).count() == 0
 
 
 @pytest.mark.parametrize("shuffled", [True, False])

@@ -131,3 +131,20 @@ def test_attach_views_looks_static_views_up(spark):
     fixed = FeatureView("f", "user_id", "ts", ["v"], static=True)
     got = features.attach_views(events, "user_id", "ts", [(rows, moving), (rows, fixed)])
     assert {(r.user_id, r.m__v, r.f__v) for r in got.collect()} == {(1, 6, 7), (2, None, None)}
+
+
+def test_unknown_entities_match_nothing(spark):
+    feats = [(None, 0.0, 0, 9.0), (1, 0.0, 0, 1.0)]
+    events = [(0, None, 5.0), (1, 1, 5.0), (2, 2, 5.0)]
+    for max_rows in (None, 1):
+        assert _pit(spark, events, feats, DAY, max_rows) == {0: None, 1: 1.0, 2: None}
+
+
+def test_a_hot_null_key_is_cut(spark):
+    rows = [(None if i % 4 else i, i) for i in range(160)]
+    df = spark.createDataFrame(rows, "k int, i int")
+    split = skew.split_hot_groups(df, ["k"], ["i"], max_rows=10)
+    assert split.hot.where("k is null").count() == 120 == split.hot.count()
+    assert split.cold.where("k is null").count() == 0
+    got = skew.number_rows(df, ["k"], ["i"], max_rows=10).where("k is null").orderBy("i").collect()
+    assert [r.pos for r in got] == list(range(1, 121)) and {r.n for r in got} == {120}

@@ -23,16 +23,16 @@ def test_users_and_ratings(spark):
     rows = delimited.parse_users(lines).orderBy("user_id").collect()
     assert [tuple(r) for r in rows] == [(1, "F", 18, 4, "94110"), (2, "M", None, 4, "94110")]
     lines = spark.createDataFrame([("1::5::3::900",), ("1::4::3::100",), ("9::9",)], "value string")
-    assert [r.movie_id for r in delimited.parse_ratings(lines).collect()] == [4, 5]
+    assert [r.movie_id for r in delimited.in_time_order(delimited.parse_ratings(lines)).collect()] == [4, 5]
 
 
 def test_messages(spark, tmp_path):
-    df = spark.createDataFrame([("test-1", "2026-01-01T00:00:00", {"x": 1.0})], "id string, timestamp string, payload map<string,double>")
+    df = spark.createDataFrame([("m7", "1999-12-31T23:59:58", {"weight": 0.25})], "id string, timestamp string, payload map<string,double>")
     sent = events.encode_events(df, ["id"], "raw-events", ["id", "timestamp", "payload"])
     assert [tuple(r) for r in events.accepted_per_topic(sent).collect()] == [("raw-events", 1)]
     events.publish(sent, path=str(tmp_path / "topic"))
     back = spark.read.parquet(str(tmp_path / "topic"))
-    assert json.loads(back.first().value) == {"id": "test-1", "timestamp": "2026-01-01T00:00:00", "payload": {"x": 1.0}}
+    assert json.loads(back.first().value) == {"id": "m7", "timestamp": "1999-12-31T23:59:58", "payload": {"weight": 0.25}}
 
 
 @pytest.mark.parametrize(
