@@ -140,14 +140,79 @@ def stream_windows(t: Tables) -> DataFrame:
     return t.spark.read.schema(agg.schema).parquet(out)
 
 
+def _closed(t: Tables, agg: DataFrame, label: str) -> DataFrame:
+    """The windows of ``agg`` that a stream over the events closes."""
+    out = scratch_path(t.spark, label)
+    windows.start_append(agg, out, scratch_path(t.spark, f"{label}-checkpoint")).awaitTermination()
+    return t.spark.read.schema(agg.schema).parquet(out)
+
+
+def _log_stream(t: Tables) -> DataFrame:
+    return _event_stream(t).select(
+        "ts", "user_id", (F.col("value") / 100).alias("prediction"), (F.col("event_type") == "error").alias("is_error")
+    )
+
+
+_CLOSED = "<= (SELECT floor(epoch(max(ts) - INTERVAL 10 MINUTE) * 1000) / 1000 FROM log)"
+
+
+@query(
+    f"""WITH w AS (SELECT CAST(sec - sec % 60 - 60 * k AS BIGINT) AS window_start, count(*) AS requests,
+        count(*) FILTER (WHERE is_error) AS errors FROM log, (SELECT unnest(range(5)) AS k) GROUP BY 1)
+    SELECT window_start, requests, errors, 100.0::DOUBLE * errors / greatest(requests, 1) AS error_rate FROM w
+    WHERE window_start + 300 {_CLOSED}""",
+    "log",
+)
+def stream_windows_sliding(t: Tables) -> DataFrame:
+    """Five-minute request windows that slide by a minute, as a stream closes them."""
+    return _closed(t, windows.request_windows(_log_stream(t), slide="1 minute"), "stream-sliding")
+
+
+@query(
+    f"""WITH w AS (SELECT CAST(sec - sec % 60 AS BIGINT) AS window_start, count(*) AS n, count(*) FILTER (WHERE is_error) AS e
+        FROM log GROUP BY 1)
+    SELECT window_start, n / 60.0::DOUBLE AS requests_per_sec, e / 60.0::DOUBLE AS errors_per_sec FROM w WHERE window_start + 60 {_CLOSED}""",
+    "log",
+)
+def stream_throughput(t: Tables) -> DataFrame:
+    return _closed(t, windows.throughput_windows(_log_stream(t)), "stream-throughput")
+
+
+@query(
+    f"""WITH {_RATED}, w AS (SELECT CAST(sec - sec % 60 - 60 * k AS BIGINT) AS window_start, rating, count(*) AS n
+        FROM rated, (SELECT unnest(range(5)) AS k) GROUP BY 1, 2)
+    SELECT window_start, rating, n / 300.0::DOUBLE AS rate FROM w WHERE window_start + 300 {_CLOSED}""",
+    "log",
+)
+def stream_rating_rate(t: Tables) -> DataFrame:
+    return _closed(t, windows.rating_rate_windows(_log_stream(t)), "stream-ratings")
+
+
+@query(
+    f"""WITH b AS (SELECT user_id, sec - sec % 60 AS minute, count(*) AS batch_size FROM log GROUP BY 1, 2),
+    w AS (SELECT CAST(minute - 60 * k AS BIGINT) AS window_start, sum(batch_size) / CAST(count(*) AS DOUBLE) AS avg_batch_size
+        FROM b, (SELECT unnest(range(5)) AS k) GROUP BY 1)
+    SELECT * FROM w WHERE window_start + 300 {_CLOSED}""",
+    "log",
+)
+def stream_batch_size(t: Tables) -> DataFrame:
+    return _closed(t, windows.batch_size_windows(_log_stream(t)), "stream-batches")
+
+
 @query(
     """WITH m AS (SELECT CASE event_id % 4 WHEN 0 THEN 'raw_events' WHEN 1 THEN 'new_user' WHEN 2 THEN 'new_movie' ELSE 'new_rating' END AS name,
-        event_id % 97 = 0 AS broken, ts FROM events)
-    SELECT CASE WHEN broken THEN 'quarantine' ELSE name END AS table_name,
-    CASE WHEN broken THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS day, count(*) AS row_count FROM m GROUP BY ALL"""
+        CASE WHEN event_id % 97 = 0 THEN 'incomplete' WHEN event_id % 83 = 0 THEN 'unreadable time'
+             WHEN event_id % 89 = 0 AND event_id % 4 = 0 THEN 'incomplete' ELSE '' END AS reason,
+        CASE WHEN event_id % 89 = 0 THEN ts - INTERVAL 1 DAY ELSE ts END AS ts FROM events)
+    SELECT CASE WHEN reason <> '' THEN 'quarantine' ELSE name END AS table_name,
+    CASE WHEN reason <> '' THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS day, reason, count(*) AS row_count FROM m GROUP BY ALL"""
 )
 def stream_ingest(t: Tables) -> DataFrame:
-    """Every event as a message of one of four topics, streamed into the raw tables and counted there by day."""
+    """Every event as a message of one of four topics, streamed into the raw tables and counted there by day and reason.
+
+    Some messages are cut off, some have a time that cannot be read; some have no ``timestamp``, which an envelope must
+    have and the other topics make up for by ``event_timestamp``.
+    """
     messages = _messages_by_topic(t)
     source, root = scratch_path(t.spark, "messages"), scratch_path(t.spark, "raw")
     messages.write.parquet(source)
@@ -159,22 +224,27 @@ def stream_ingest(t: Tables) -> DataFrame:
         name = topic.replace("-", "_")
         rows = t.spark.read.schema(raw_table_schema(topic)).parquet(f"{root}/{name}")
         day = F.concat_ws("-", "year", "month", "day")
-        part = rows.groupBy(F.lit(name).alias("table_name"), day.alias("day")).agg(F.count(F.lit(1)).alias("row_count"))
+        keys = [F.lit(name).alias("table_name"), day.alias("day"), F.lit("").alias("reason")]
+        part = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
         counted = part if counted is None else counted.unionByName(part)
-    rejected = t.spark.read.schema(ingest.MESSAGE_SCHEMA).parquet(f"{root}/quarantine")
-    rejected = rejected.groupBy(F.lit("quarantine").alias("table_name"), F.lit("").alias("day"))
+    rejected = t.spark.read.schema(ingest.MESSAGE_SCHEMA + ", reason string").parquet(f"{root}/quarantine")
+    rejected = rejected.groupBy(F.lit("quarantine").alias("table_name"), F.lit("").alias("day"), "reason")
     return counted.unionByName(rejected.agg(F.count(F.lit(1)).alias("row_count")))
 
 
 def _messages_by_topic(t: Tables) -> DataFrame:
     kind = F.col("event_id") % 4
-    when = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    written = F.when(F.col("event_id") % 83 == 0, "zz").when(F.col("event_id") % 89 != 0, F.date_format("ts", pattern))
+    earlier = F.when(F.col("event_id") % 89 == 0, F.date_format(F.col("ts") - F.expr("INTERVAL 1 DAY"), pattern))
+    when = written.alias("timestamp")
+    also = earlier.alias("event_timestamp")
     movie = F.get_json_object("props", "$.k").try_cast("bigint").alias("movie_id")
     bodies = [
         F.struct(F.col("event_id").cast("string").alias("id"), when, F.from_json("props", "map<string,string>").alias("payload")),
-        F.struct(when, "user_id", F.lit("M").alias("gender"), F.lit(25).alias("age"), F.lit(1).alias("occupation")),
-        F.struct(when, movie, F.col("event_type").alias("title"), F.array("event_type").alias("genres")),
-        F.struct(when, "user_id", movie, F.lit(4).alias("rating"), F.unix_seconds("ts").alias("rating_timestamp")),
+        F.struct(when, also, "user_id", F.lit("M").alias("gender"), F.lit(25).alias("age"), F.lit(1).alias("occupation")),
+        F.struct(when, also, movie, F.col("event_type").alias("title"), F.array("event_type").alias("genres")),
+        F.struct(when, also, "user_id", movie, F.lit(4).alias("rating"), F.unix_seconds("ts").alias("rating_timestamp")),
     ]
     topic, body = F.lit(None), F.lit(None)
     for i, name in reversed(list(enumerate(["raw-events", "new-user", "new-movie", "new-rating"]))):

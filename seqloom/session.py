@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import functools
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,7 +41,9 @@ def build_session(app_name: str = "seqloom", master: str | None = None, **conf:
 
 @functools.cache
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="seqloom-")
+    root = tempfile.mkdtemp(prefix="seqloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -60,12 +66,53 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/seqloom/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for ``path``, and the path as its object."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def committed(spark: SparkSession, pattern: str) -> list[str]:
+    """Directories that match the pattern and that a finished write left, in order of their names."""
+    fs, glob = _file_system(spark, f"{pattern}/_SUCCESS")
+    return sorted(s.getPath().getParent().toString() for s in fs.globStatus(glob) or [])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all scratch files of this application."""
+    delete_path(spark, f"{scratch_root(spark)}/seqloom/{spark.sparkContext.applicationId}")
+
+
+@contextlib.contextmanager
+def scratch_files(spark: SparkSession) -> Iterator[None]:
+    """Owns the scratch files that a job writes: they go when the job, which has to have written its results, is over."""
+    held: list[str] = []
+    _OWNERS.append(held)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(held)
+        for path in held:
+            delete_path(spark, path)
+
+
+_OWNERS: list[list[str]] = []
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Used where a frame with a non-repeatable partitioning is consumed more than once. The files outlive a lost
-    executor and, unlike an RDD checkpoint, later readers still prune columns.
+    executor and, unlike an RDD checkpoint, later readers still prune columns. Inside ``scratch_files`` they go at the end of
+    the job, else with ``release``.
     """
     path = scratch_path(df.sparkSession, label)
+    if _OWNERS:
+        _OWNERS[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

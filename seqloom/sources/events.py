@@ -62,7 +62,8 @@ def derive_event_time(df: DataFrame, timestamp: str = "timestamp", fallback: str
     """Event time per row: the message's own time, else ``fallback``, else the time of processing."""
     choices = [F.try_to_timestamp(timestamp)]
     if fallback and fallback in df.columns:
-        choices.append(F.col(fallback))
+        text = dict(df.dtypes)[fallback] == "string"
+        choices.append(F.try_to_timestamp(fallback) if text else F.col(fallback))
     return df.withColumn("event_timestamp", F.coalesce(*choices, F.current_timestamp()))
 
 

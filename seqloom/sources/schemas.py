@@ -49,8 +49,19 @@ NEW_RATING = _struct(
 
 TOPIC_SCHEMAS = {"raw-events": ENVELOPE, "new-user": NEW_USER, "new-movie": NEW_MOVIE, "new-rating": NEW_RATING}
 
-# the column that must be present for a message of the topic to be usable
-TOPIC_KEYS = {"raw-events": ["id"], "new-user": ["user_id"], "new-movie": ["movie_id"], "new-rating": ["user_id", "movie_id"]}
+TOPIC_SCHEMAS["processed-events"] = ENVELOPE
+
+# second choice for the time of a message; the raw tables hold the derived time under this name
+MESSAGE_TIME = StructField("event_timestamp", StringType())
+
+# the columns that must be present for a message of the topic to be usable
+TOPIC_KEYS = {
+    "raw-events": ["id", "timestamp", "payload"],
+    "processed-events": ["id", "timestamp", "payload"],
+    "new-user": ["user_id"],
+    "new-movie": ["movie_id"],
+    "new-rating": ["user_id", "movie_id"],
+}
 
 PARTITION_COLUMNS = ["year", "month", "day"]
 

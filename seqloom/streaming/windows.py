@@ -38,6 +38,44 @@ def rating_windows(log: DataFrame, *, width: str = "15 minutes", late: str = "10
     return windowed(rated, [F.count(F.lit(1)).alias("predictions")], width=width, by=["rating"], late=late)
 
 
+def throughput_windows(log: DataFrame, *, late: str = "10 minutes") -> DataFrame:
+    """Requests and errors per second, minute by minute."""
+    sums = windowed(
+        log, [F.count(F.lit(1)).alias("n"), F.count_if("is_error").alias("e")], width="1 minute", late=late
+    )
+    per_second = [(F.col("n") / 60.0).alias("requests_per_sec"), (F.col("e") / 60.0).alias("errors_per_sec")]
+    return sums.select("window_start", *per_second)
+
+
+def rating_rate_windows(log: DataFrame, *, width: str = "5 minutes", slide: str = "1 minute", late: str = "10 minutes") -> DataFrame:
+    """Predictions per second and rating bucket in sliding windows of ``width``."""
+    rated = log.withColumn("rating", rating_bucket(F.col("prediction"))).where("rating IS NOT NULL")
+    window = F.window("ts", width, slide)
+    agg = rated.withWatermark("ts", late).groupBy(window, "rating").agg(F.count(F.lit(1)).alias("n"))
+    seconds = F.unix_seconds("window.end") - F.unix_seconds("window.start")
+    return agg.select(
+        F.unix_seconds("window.start").alias("window_start"), "rating", (F.col("n") / seconds).alias("rate")
+    )
+
+
+def batch_size_windows(log: DataFrame, *, width: str = "5 minutes", slide: str = "1 minute", late: str = "10 minutes") -> DataFrame:
+    """Mean batch size in sliding windows, where a user's requests of one minute are a batch.
+
+    Two aggregations follow each other: the minutes that the first one closes are the rows of the second.
+    """
+    minutes = (
+        log.withWatermark("ts", late)
+        .groupBy(F.window("ts", "1 minute"), "user_id")
+        .agg(F.count(F.lit(1)).alias("batch_size"))
+    )
+    window = F.window(F.window_time("window"), width, slide)
+    agg = minutes.groupBy(window).agg(F.sum("batch_size").alias("requests"), F.count(F.lit(1)).alias("batches"))
+    return agg.select(
+        F.unix_seconds("window.start").alias("window_start"),
+        (F.col("requests") / F.greatest(F.col("batches"), F.lit(1))).alias("avg_batch_size"),
+    )
+
+
 def latency_windows(log: DataFrame, *, width: str = "5 minutes", late: str = "10 minutes", accuracy: int = 10_000) -> DataFrame:
     """Approximate latency percentiles per window; a stream cannot keep every value."""
     quantiles = F.percentile_approx("latency", [0.5, 0.95, 0.99], accuracy).alias("q")

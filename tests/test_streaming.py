@@ -48,6 +48,24 @@ def test_ingest_restart_and_quarantine(spark, tmp_path):
     assert sum(hooked) == 6
 
 
+def test_envelope_and_time_rules_on_the_stream(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "check"))
+    whole = {"id": "1", "timestamp": "2026-02-01T00:00:00", "payload": {"x": 1}}
+    user = {"user_id": 5, "timestamp": "2026-02-01T00:00:00"}
+    rows = [message("raw-events", {k: v for k, v in whole.items() if k != left}) for left in ("id", "timestamp", "payload", "")]
+    rows += [message("raw-events", {**whole, "timestamp": "zz"}), message("new-user", {**user, "timestamp": "zz"})]
+    rows += [message("new-user", {"user_id": 6, "event_timestamp": "2020-05-06T07:08:09"}), message("new-user", user)]
+    rows += [message("new-user", {**user, "event_timestamp": "never"})]
+    write(spark, rows, source, "a")
+    ingest.start_ingest(ingest.read_message_files(spark, source), root, checkpoint, TOPICS).awaitTermination()
+    rejected = spark.read.schema(ingest.MESSAGE_SCHEMA + ", reason string").parquet(f"{root}/quarantine").collect()
+    assert sorted(r.reason for r in rejected) == ["incomplete"] * 3 + ["unreadable time"] * 3
+    users = spark.read.schema(raw_table_schema("new-user")).parquet(f"{root}/new_user").collect()
+    assert {(u.user_id, u.year, u.month, u.day) for u in users} == {(5, "2026", "02", "01"), (6, "2020", "05", "06")}
+    assert (tmp_path / "raw" / "new_user" / "year=2020" / "month=05" / "day=06" / "batch=0").is_dir()
+    assert spark.read.schema(raw_table_schema("raw-events")).parquet(f"{root}/raw_events").count() == 1
+
+
 def test_single_table_file_sink(spark, tmp_path):
     source, path, checkpoint = (str(tmp_path / n) for n in ("in", "table", "check"))
     rows = [message("new-rating", {"user_id": 1, "movie_id": i, "rating": 3, "rating_timestamp": i}) for i in range(5)]
@@ -104,7 +122,7 @@ def test_rating_and_latency_windows_run(spark, tmp_path):
 
 
 def test_online_upsert_replay_and_compaction(spark, tmp_path):
-    source, path, checkpoint, compact = (str(tmp_path / n) for n in ("in", "online", "check", "compact"))
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "online", "check"))
     schema = "user_id int, t int, v string"
 
     def put(rows):
@@ -117,6 +135,13 @@ def test_online_upsert_replay_and_compaction(spark, tmp_path):
     assert put([(1, 1, "a"), (1, 3, "b"), (2, 5, "c")]) == {(1, 3, "b"), (2, 5, "c")}
     assert put([(1, 2, "old"), (2, 6, "d"), (3, 1, "e")]) == {(1, 3, "b"), (2, 6, "d"), (3, 1, "e")}
     schema_ = spark.createDataFrame([], schema).schema
-    online.compact_online(spark, path, compact, schema_, ["user_id"], ["t"])
-    again = online.read_online(spark, compact, schema_, ["user_id"], ["t"])
-    assert {tuple(r) for r in again.collect()} == {(1, 3, "b"), (2, 6, "d"), (3, 1, "e")}
+    online.compact_online(spark, path, schema_, ["user_id"], ["t"])
+    assert len(online._current(spark, path)[0]) == 1
+    # the stream goes on after the snapshot, and a second one replaces the first
+    assert put([(3, 9, "f"), (1, 0, "old")]) == {(1, 3, "b"), (2, 6, "d"), (3, 9, "f")}
+    online.compact_online(spark, path, schema_, ["user_id"], ["t"])
+    online.expire_online(spark, path)
+    assert [p.name for p in (tmp_path / "online" / "snapshots").iterdir()] == ["upto=000000002"]
+    assert not list((tmp_path / "online" / "batches").iterdir())
+    again = online.read_online(spark, path, schema_, ["user_id"], ["t"])
+    assert {tuple(r) for r in again.collect()} == {(1, 3, "b"), (2, 6, "d"), (3, 9, "f")}
