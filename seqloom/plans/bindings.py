@@ -450,6 +450,7 @@ _CTES["staged"] = (
     """SELECT user_id, CAST(to_timestamp(last_timestamp) AT TIME ZONE 'UTC' AS TIMESTAMP) AS event_timestamp,
     gender_idx, age_idx, occupation, target, target_time FROM samples""",
 )
+_CTES["fit_rows"] = (["capped_samples"], _CTES["staged"][1].replace("FROM samples", "FROM capped_samples"))
 _CTES["vector_samples"] = (["vector_events"], samples_cte("vector_events"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from seqloom.operators import classify, features
 from seqloom.plans.bindings import SAMPLE_VIEW, Tables
-from seqloom.plans.feature_queries import _online, _requests
+from seqloom.plans.feature_queries import _ONLINE_SQL, _online, _requests
 from seqloom.plans.registry import query
 
 _PREDICTIONS = """predictions AS (SELECT l_returnflag AS label, CASE l_linestatus WHEN 'O' THEN 'N' ELSE 'R' END AS prediction FROM lineitem)"""
@@ -85,3 +85,41 @@ def batch_predict(t: Tables) -> DataFrame:
         _requests(t), _online(t), t.staged_table, [SAMPLE_VIEW.time, *SAMPLE_VIEW.tie]
     )
     return classify.batch_predict(resolved, model)
+
+
+# one tree over all features learns a label that is one of them
+_TREE = {"numTrees": 1, "maxDepth": 4, "featureSubsetStrategy": "all", "seed": 42}
+
+
+def _slot_model(t: Tables):
+    return classify.train_classifier(
+        t.fit_table, "random_forest", _TREE, key=["user_id", "event_timestamp"], target="target_time"
+    )
+
+
+@query(
+    """SELECT user_id, CAST(target_time AS VARCHAR) AS label, CAST(target_time AS VARCHAR) AS prediction FROM fit_rows
+    WHERE CAST('0x' || substr(md5('42:' || user_id || ':' || epoch_us(event_timestamp)), 1, 8) AS BIGINT) % 10000 < 2000""",
+    "fit_rows",
+)
+def train_classifier_exact(t: Tables) -> DataFrame:
+    """Held-out predictions of a label that the features determine: all are right."""
+    _, scored = _slot_model(t)
+    return scored.select("user_id", "label", "prediction")
+
+
+@query(
+    f"""WITH {_ONLINE_SQL}, offline AS (SELECT * FROM staged
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, target DESC) = 1)
+    SELECT r.user_id AS entity_id, CAST(coalesce(o.target_time, f.target_time, 0) AS VARCHAR) AS prediction,
+    CASE WHEN o.user_id IS NOT NULL THEN 'online' WHEN f.user_id IS NOT NULL THEN 'offline' ELSE 'missing' END AS feature_source
+    FROM requests r LEFT JOIN online o USING (user_id) LEFT JOIN offline f USING (user_id)""",
+    "staged",
+)
+def batch_predict_exact(t: Tables) -> DataFrame:
+    """The same model on every request, through online table and offline fallback; no features count as zeros."""
+    model, _ = _slot_model(t)
+    resolved = features.online_lookup_with_fallback(
+        _requests(t), _online(t), t.staged_table, [SAMPLE_VIEW.time, *SAMPLE_VIEW.tie]
+    )
+    return classify.batch_predict(resolved, model)

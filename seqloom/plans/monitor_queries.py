@@ -232,6 +232,22 @@ def stream_ingest(t: Tables) -> DataFrame:
     return counted.unionByName(rejected.agg(F.count(F.lit(1)).alias("row_count")))
 
 
+@query("SELECT count(*) AS seen, count(DISTINCT event_id) AS keys FROM events")
+def stream_batch_hook(t: Tables) -> DataFrame:
+    """A hook on the ingest stream that copies every micro-batch: it gets each message once."""
+    source, root, copies = (scratch_path(t.spark, name) for name in ("messages", "raw", "copies"))
+    _messages_by_topic(t).repartition(3).write.parquet(source)
+
+    def hook(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{copies}/batch={batch_id}")
+
+    stream = ingest.read_message_files(t.spark, source, max_files=2)
+    checkpoint = scratch_path(t.spark, "hook-checkpoint")
+    ingest.start_ingest(stream, root, checkpoint, list(ingest.TOPIC_SCHEMAS), hook=hook).awaitTermination()
+    rows = t.spark.read.schema(ingest.MESSAGE_SCHEMA).parquet(copies)
+    return rows.agg(F.count(F.lit(1)).alias("seen"), F.count_distinct("key").alias("keys"))
+
+
 def _messages_by_topic(t: Tables) -> DataFrame:
     kind = F.col("event_id") % 4
     pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

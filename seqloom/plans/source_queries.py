@@ -300,3 +300,44 @@ _NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in _NAMES))
 def table_counts(t: Tables) -> DataFrame:
     return contract.table_counts({n: t.read(n) for n in _NAMES})
+
+
+_BY_USER = "SELECT user_id, count(*) AS n, CAST(sum(rating) AS BIGINT) AS total FROM ratings GROUP BY user_id"
+
+
+@query(_BY_USER, "ratings")
+def stage_query(t: Tables) -> DataFrame:
+    """A SELECT over named views, staged as files and read back."""
+    tables.register_views({"ratings": t.ratings})
+    path = scratch_path(t.spark, "staged-query")
+    tables.stage_query(t.spark, _BY_USER, path)
+    return t.spark.read.parquet(path)
+
+
+@query("SELECT count(*) AS registered, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS open_orders FROM orders")
+def register_table(t: Tables) -> DataFrame:
+    """The order table under a name of its own: the count it was registered with, and a query on the name."""
+    n = tables.register_table(t.spark, "registered_orders", t.path("orders"))
+    named = t.spark.sql("SELECT count(*) AS open_orders FROM registered_orders WHERE o_orderstatus = 'O'")
+    return named.select(F.lit(n).cast("long").alias("registered"), "open_orders")
+
+
+@query("SELECT movie_id, title, CAST(to_json(genres) AS VARCHAR) AS genres FROM movies", "movies")
+def document_round_trip(t: Tables) -> DataFrame:
+    """The catalog written as JSON lines and read back."""
+    rows = t.movies.select("movie_id", "title", "genres")
+    path = scratch_path(t.spark, "catalog")
+    tables.write_document(rows, path)
+    return tables.read_document(t.spark, path, rows.schema).withColumn("genres", as_text("genres"))
+
+
+@query("SELECT event_id, user_id, movie_id FROM ratings WHERE rating >= 3", "ratings")
+def require_rows(t: Tables) -> DataFrame:
+    """Passes what has rows; a table without rows is refused before anything is computed from it."""
+    try:
+        contract.require_rows(t.ratings.where("rating > 5"), "ratings above the scale")
+    except ValueError:
+        return contract.require_rows(clean.positive_interactions(t.ratings), "ratings").select(
+            "event_id", "user_id", "movie_id"
+        )
+    raise AssertionError("an empty table was let through")
