@@ -16,6 +16,8 @@ from seqloom.llm.common import components, map_texts
 from seqloom.session import materialize
 
 SEED = 11
+#: Walks per text. After an edit a walk may take long to fall into step again; the likeness is that of the best walk.
+WALKS = 2
 #: The walk's random tables repeat after so many steps.
 PERIOD = 8192
 #: Sampled steps in each octave (from a power of two to the next), and octaves at most.
@@ -28,12 +30,12 @@ LIKENESS = 0.8
 
 
 @functools.cache
-def tables() -> tuple[np.ndarray, np.ndarray]:
-    """For each step and character class: whether the walk moves on, and the bit that it writes.
+def tables(number: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """For each step and character class: whether walk ``number`` moves on, and the bit that it writes.
 
     Class 0 stands behind the end of every text; there the walk stays.
     """
-    rng = np.random.default_rng(SEED)
+    rng = np.random.default_rng((SEED, number))
     moves = rng.integers(0, 2, (PERIOD, 256), dtype=np.int64)
     moves[:, 0] = 0
     return moves, rng.integers(0, 2, (PERIOD, 256), dtype=np.uint8)
@@ -55,14 +57,14 @@ def _classes(text: str) -> np.ndarray:
     return np.append((mixed % np.uint64(255) + np.uint64(1)).astype(np.uint8), np.uint8(0))
 
 
-def walk(texts: list[str]) -> list[list[np.ndarray]]:
+def walk(texts: list[str], number: int = 0) -> list[list[np.ndarray]]:
     """Sampled bits of each text, octave by octave, up to the octave in which its walk ends.
 
     All walks share their random choices: at step ``t`` on a character the bit and whether to move on depend on ``t``
     and the character alone. So after an edit two walks soon fall into step again, and texts a few edits apart agree in most
     steps. Texts of a batch are walked side by side, one step of all of them at a time.
     """
-    moves, bits = tables()
+    moves, bits = tables(number)
     coded = [_classes(t) for t in texts]
     size = np.array([len(c) for c in coded])
     flat = np.concatenate(coded) if coded else np.zeros(0, dtype=np.uint8)
@@ -88,7 +90,7 @@ def walk(texts: list[str]) -> list[list[np.ndarray]]:
         while t < 2 * low and len(col):
             if len(col) <= ALONE:
                 for c, p, e in zip(col.tolist(), pos.tolist(), stop.tolist(), strict=True):
-                    at[c] = _walk_alone(flat, p, e, t, 2 * low, wanted, got[:, c])
+                    at[c] = _walk_alone(flat, p, e, t, 2 * low, wanted, got[:, c], number)
                     alive[c] = at[c] < e
                 col, pos = col[:0], pos[:0]
                 break
@@ -114,10 +116,10 @@ def walk(texts: list[str]) -> list[list[np.ndarray]]:
 
 
 def _walk_alone(
-    flat: np.ndarray, pos: int, stop: int, t: int, until: int, wanted: dict[int, int], got: np.ndarray
+    flat: np.ndarray, pos: int, stop: int, t: int, until: int, wanted: dict[int, int], got: np.ndarray, number: int
 ) -> int:
     """One walk, in plain Python: cheaper than array steps when few walks are left."""
-    moves, bits = _plain_tables()
+    moves, bits = _plain_tables(number)
     text = flat[pos : stop + 1].tobytes()
     i = 0
     n = len(text) - 1
@@ -132,32 +134,42 @@ def _walk_alone(
 
 
 @functools.cache
-def _plain_tables() -> tuple[list[bytes], list[bytes]]:
-    moves, bits = tables()
+def _plain_tables(number: int) -> tuple[list[bytes], list[bytes]]:
+    moves, bits = tables(number)
     return [r.astype(np.uint8).tobytes() for r in moves], [r.tobytes() for r in bits]
 
 
-def to_text(octaves: list[np.ndarray]) -> str:
-    """Sampled bits as hex, octaves apart by dots."""
-    return ".".join(np.packbits(o).tobytes().hex() for o in octaves)
+#: The octaves of each walk of a text.
+Print = list[list[np.ndarray]]
 
 
-def fingerprint_all(texts: list[str]) -> list[list[np.ndarray]]:
-    """``walk`` over slices of texts of about ``WALK_CHARS``, texts of like length together; equal texts walk once."""
+def to_text(walks: Print) -> str:
+    """Sampled bits as hex, octaves apart by dots and walks by slashes; the empty text for one without characters."""
+    return "/".join(".".join(np.packbits(o).tobytes().hex() for o in octaves) for octaves in walks if octaves)
+
+
+def fingerprint_all(texts: list[str]) -> list[Print]:
+    """All walks over slices of texts of about ``WALK_CHARS``, texts of like length together; equal texts walk once."""
     distinct = sorted(set(texts), key=len)
-    found: dict[str, list[np.ndarray]] = {}
+    found: dict[str, Print] = {}
     start = size = 0
     for i, t in enumerate([*distinct, ""]):
         if i == len(distinct) or size + len(t) > WALK_CHARS and i > start:
             part = distinct[start:i]
-            found.update(zip(part, walk(part), strict=True))
+            walks = [walk(part, number) for number in range(WALKS)]
+            found.update((text, list(own)) for text, own in zip(part, zip(*walks, strict=True), strict=True))
             start, size = i, 0
         size += len(t)
     return [found[t] for t in texts]
 
 
-def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
-    """Estimated share of steps in which two walks agree beyond chance, 0 to 1.
+def likeness(a: Print, b: Print) -> float:
+    """Likeness of two texts, 0 to 1: that of the walk that kept most in step."""
+    return max(map(walk_likeness, a, b), default=1.0) if len(a) == len(b) else 0.0
+
+
+def walk_likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
+    """Estimated share of steps in which two texts agree beyond chance on one walk, 0 to 1.
 
     Octaves count by their number of steps; an octave that one walk does not reach agrees nowhere. Two bits of unrelated
     walks agree half the time, which is taken off. Texts without characters are like each other alone.
@@ -184,11 +196,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_texts(docs, run, "fingerprint string")
 
 
-def parse(fingerprint: str) -> list[np.ndarray]:
-    octaves = []
-    for k, part in enumerate(fingerprint.split(".") if fingerprint else []):
-        octaves.append(np.unpackbits(np.frombuffer(bytes.fromhex(part), dtype=np.uint8))[: len(sampled_steps(k))])
-    return octaves
+def parse(fingerprint: str) -> Print:
+    """The walks that ``to_text`` wrote; of a text without characters, walks without octaves."""
+
+    def octaves(walk: str) -> list[np.ndarray]:
+        parts = [np.frombuffer(bytes.fromhex(part), dtype=np.uint8) for part in walk.split(".")]
+        return [np.unpackbits(part)[: len(sampled_steps(k))] for k, part in enumerate(parts)]
+
+    return [octaves(w) for w in fingerprint.split("/")] if fingerprint else [[] for _ in range(WALKS)]
 
 
 def edited(text: str, following: str) -> str:
@@ -307,13 +322,13 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
         for batch in batches:
             keys, at = [], []
             for i, text in enumerate(batch.column(0).to_pylist()):
-                octaves = parse(text)
-                for o in range(max(0, len(octaves) - 2), len(octaves)):
-                    rng = np.random.default_rng((SEED, o, 1))
-                    for b in range(BANDS):
-                        bits = octaves[o][rng.integers(0, len(octaves[o]), BAND_BITS)]
-                        keys.append(f"{o}:{b}:{np.packbits(bits).tobytes().hex()}")
-                        at.append(i)
+                for number, octaves in enumerate(parse(text)):
+                    for o in range(max(0, len(octaves) - 2), len(octaves)):
+                        rng = np.random.default_rng((SEED, number, o))
+                        for b in range(BANDS):
+                            bits = octaves[o][rng.integers(0, len(octaves[o]), BAND_BITS)]
+                            keys.append(f"{number}:{o}:{b}:{np.packbits(bits).tobytes().hex()}")
+                            at.append(i)
             chosen = pa.array(at, pa.int64())
             columns = [pa.array(keys), batch.column(0).take(chosen), batch.column(1).take(chosen)]
             yield pa.RecordBatch.from_arrays(columns, names=["band", "fingerprint", "node"])
