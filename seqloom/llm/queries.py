@@ -133,6 +133,25 @@ def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+SQL["op5_embedding_neardup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), component AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, component_id = vec_id AS kept
+FROM embeddings JOIN component ON component.x = vec_id LEFT JOIN degree ON degree.x = vec_id
+"""
+
+
 @query
 def op7_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprint.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
