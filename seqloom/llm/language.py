@@ -80,12 +80,12 @@ def fit(docs: DataFrame, usable: Column, limit: int = TRAIN_DOCS) -> Model:
     """Prototypes from ``docs(doc_id, text, lang)`` where ``usable`` holds and ``lang`` is known.
 
     The documents of a language are counted, and a seeded hash of doc_id keeps about ``limit`` of them; their profiles are
-    summed in the tasks that read them and then per language and dimension. What reaches the driver is one vector per
-    language.
+    summed in the tasks that read them and then per language and dimension. The counts are broadcast, and what reaches
+    the driver is one vector per language: both are as large as the model itself.
     """
     named = docs.select("doc_id", "text", "lang").where(usable & F.col("lang").isNotNull())
     counts = named.groupBy("lang").count().select(F.col("lang").alias("of"), (F.lit(float(limit)) / F.col("count")).alias("share"))
-    drawn = named.join(counts, F.col("lang") == F.col("of")).where(
+    drawn = named.join(F.broadcast(counts), F.col("lang") == F.col("of")).where(
         unit_draw(F.lit(SEED), F.col("doc_id")) < F.col("share")
     )
 
