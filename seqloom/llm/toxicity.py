@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from seqloom.llm.common import labelled_sample, map_texts, slices
 
 #: Bounds of the fit: labelled documents read, and features kept.
-TRAIN_DOCS, FEATURES = 16_000, 6_000
+TRAIN_DOCS, FEATURES = 12_000, 6_000
 #: Documents that must have a feature before it counts, and a document's score from which it is toxic.
 LEAST_DOCS, THRESHOLD = 3, 0.5
+#: G statistic from which a feature counts; chance alone passes it once in about 3000 features.
+LEAST_G = 13.0
 SEED = 101
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"[^\W\d_]+")
@@ -42,7 +44,7 @@ def sentence_features(text: str) -> Iterator[tuple[int, int, set[str]]]:
 
 
 def _informative(sample: DataFrame, limit: int) -> list[str]:
-    """The ``limit`` features that say most about the label (G statistic) of those seen more often with label 1."""
+    """The ``limit`` features that say most about the label (G statistic) of those seen more often with label 1, if it is enough."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +77,7 @@ def _informative(sample: DataFrame, limit: int) -> list[str]:
         + part(rest_a, left * share)
         + part(rest_c, left * (1 - share))
     )
-    best = counts.where(F.col("a") * neg > F.col("c") * pos).orderBy(g.desc(), "feature").limit(limit)
+    best = counts.where((F.col("a") * neg > F.col("c") * pos) & (g >= LEAST_G)).orderBy(g.desc(), "feature").limit(limit)
     return sorted(r["feature"] for r in best.select("feature").collect())
 
 
