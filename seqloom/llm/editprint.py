@@ -329,18 +329,18 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
                             bits = octaves[o][rng.integers(0, len(octaves[o]), BAND_BITS)]
                             keys.append(f"{number}:{o}:{b}:{np.packbits(bits).tobytes().hex()}")
                             at.append(i)
-            chosen = pa.array(at, pa.int64())
-            columns = [pa.array(keys), batch.column(0).take(chosen), batch.column(1).take(chosen)]
-            yield pa.RecordBatch.from_arrays(columns, names=["band", "fingerprint", "node"])
+            columns = [pa.array(keys), batch.column(1).take(pa.array(at, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["band", "node"])
 
     kind = dict(docs.dtypes)["doc_id"]
     named = classes.where("node is not null")
-    banded = named.mapInArrow(band, f"band string, fingerprint string, node {kind}")
-    least_of = banded.groupBy("band").agg(
-        F.min(F.struct("node", "fingerprint")).alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    pairs = banded.join(least_of.where("n > 1"), "band").where(F.col("node") != F.col("first.node"))
-    pairs = pairs.select("node", "fingerprint", F.col("first.node").alias("other"), F.col("first.fingerprint").alias("print"))
+    # only ids move by band; the fingerprints join the pairs that are left
+    banded = named.mapInArrow(band, f"band string, node {kind}").select(F.xxhash64("band").alias("band"), "node")
+    first = banded.groupBy("band").agg(F.min("node").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = banded.join(first, "band").where("node <> other").select("node", "other").distinct()
+    prints = named.groupBy("node").agg(F.min("fingerprint").alias("fingerprint"))
+    pairs = pairs.join(prints, "node").join(prints.select(F.col("node").alias("other"), F.col("fingerprint").alias("print")), "other")
+    pairs = pairs.select("node", "fingerprint", "other", "print")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,7 +349,7 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
             kept = batch.filter(pa.array(alike, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(2)], names=["u", "v"])
 
-    edges = pairs.distinct().mapInArrow(verify, f"u {kind}, v {kind}")
+    edges = pairs.mapInArrow(verify, f"u {kind}, v {kind}")
     roots = components(edges, "edit-links")
     named = classes.join(roots, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("class_id"))
     return rows.join(named, "fingerprint").select("doc_id", "class_id")
