@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +19,12 @@ from seqloom.session import materialize
 
 THRESHOLD, BLOCK, SEED = 0.98, 8, 5
 #: Vectors of a cell in one part; a fuller cell is searched as pairs of parts.
-CELL_ROWS = 2048
-#: Candidate pairs whose whole vectors are compared at once.
-PAIRS = 50_000
-#: Room for rounding when distances stand in for cosines. Cosines themselves are compared exactly.
-SLACK = 1e-9
+CELL_ROWS = 8192
+#: Rows of a distance matrix, and candidate pairs whose whole vectors are compared, at once.
+TILE, PAIRS = 1024, 50_000
+#: Room for rounding when distances stand in for cosines, and where they are taken in single precision. Cosines
+#: themselves are compared exactly.
+SLACK, SINGLE_SLACK = 1e-9, 1e-5
 
 
 @functools.cache
@@ -51,29 +54,56 @@ def grid_dimensions(per_label: float, width: int = BLOCK) -> int:
     return min(width, max(0, math.ceil(math.log(max(per_label, 1) / (8 * CELL_ROWS), 4))))
 
 
-def _cells(y: np.ndarray, part: slice, budget: float, dims: int) -> list[tuple[int, np.ndarray, bool]]:
-    """Cells of a block that the ball around each vector meets, as ``(row, cell, home)``."""
+def _cells(y: np.ndarray, part: slice, budget: float, dims: int) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Rows, cells and whether the row is at home there, for all cells of a block that a vector's ball meets."""
     if not dims:
-        return [(i, (), True) for i in range(len(y))]
+        return np.arange(len(y)), [], np.ones(len(y), dtype=bool)
     reach = math.sqrt(budget)
     side = 4 * reach
     lead = y[:, part][:, :dims]
     home = np.floor(lead / side).astype(np.int64)
     low, high = np.floor((lead - reach) / side).astype(np.int64), np.floor((lead + reach) / side).astype(np.int64)
-    out = []
+    at, cells, own = [], [], []
     for i in range(len(y)):
-        meets = [()]
-        for d in range(dims):
-            meets = [(*m, c) for m in meets for c in range(int(low[i, d]), int(high[i, d]) + 1)]
-        own = tuple(int(c) for c in home[i])
-        out += [(i, m, m == own) for m in meets]
-    return out
+        for cell in itertools.product(*(range(a, b + 1) for a, b in zip(low[i].tolist(), high[i].tolist(), strict=True))):
+            at.append(i)
+            cells.append(",".join(map(str, cell)))
+            own.append(cell == tuple(home[i].tolist()))
+    return np.array(at, dtype=np.int64), cells, np.array(own, dtype=bool)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
+def _matrix(lists: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, size).astype(np.float64)
+
+
+def _near(z: np.ndarray, limit: float, part: np.ndarray, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a block within ``limit``, each once; with ``cross`` only pairs of different parts.
+
+    One single-precision product of extended rows gives minus half the squared distance of each pair of a tile.
+    """
+    half = np.einsum("ij,ij->i", z, z)[:, None] / 2
+    one = np.ones_like(half)
+    left = np.concatenate([z, -half, one], axis=1).astype(np.float32)
+    right = np.concatenate([z, one, -half], axis=1).astype(np.float32)
+    least = np.float32(-(limit + SINGLE_SLACK) / 2)
+    if cross:
+        first, second = (np.flatnonzero(part == p) for p in np.unique(part)[[0, -1]])
+        for top in range(0, len(first), TILE):
+            rows = first[top : top + TILE]
+            i, j = np.nonzero(left[rows] @ right[second].T >= least)
+            yield rows[i], second[j]
+        return
+    for top in range(0, len(z), TILE):
+        i, j = np.nonzero(left[top : top + TILE] @ right[top:].T >= least)
+        later = j > i
+        yield i[later] + top, j[later] + top
+
+
 def _pairs_of_cell(
     unit: np.ndarray, ids: np.ndarray, home: np.ndarray, part: np.ndarray, cross: bool, block: int, threshold: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -84,20 +114,16 @@ def _pairs_of_cell(
     size = unit.shape[1]
     y = unit @ rotation(size)
     parts, limits = blocks(size), budgets(size, threshold)
-    z = y[:, parts[block]]
-    norm = np.einsum("ij,ij->i", z, z)
-    for top in range(0, len(z), 1024):
-        rows = slice(top, top + 1024)
-        distance = norm[rows, None] + norm[None, :] - 2 * (z[rows] @ z.T)
-        near = (distance <= limits[block] + SLACK) & home[None, :] & (ids[rows, None] < ids[None, :])
-        near &= (part[rows, None] != part[None, :]) if cross else True
-        a, b = np.nonzero(near)
-        a = a + top
+    if cross and len(np.unique(part)) < 2:
+        return
+    for a, b in _near(y[:, parts[block]], limits[block], part, cross):
+        a, b = np.where(ids[a] < ids[b], a, b), np.where(ids[a] < ids[b], b, a)
+        own = home[b] & (ids[a] != ids[b])
+        a, b = a[own], b[own]
         for at in range(0, len(a), PAIRS):
             i, j = a[at : at + PAIRS], b[at : at + PAIRS]
-            first = np.ones(len(i), dtype=bool)
             gap = (y[i] - y[j]) ** 2
-            first &= gap[:, parts[block]].sum(axis=1) <= limits[block]
+            first = gap[:, parts[block]].sum(axis=1) <= limits[block]
             for earlier in range(block):
                 first &= gap[:, parts[earlier]].sum(axis=1) > limits[earlier]
             i, j = i[first], j[first]
@@ -127,22 +153,18 @@ def link(classes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = batch.column(0).to_pylist()
-            rows: dict[str, list] = {"at": [], "block": [], "cell": [], "home": []}
-            sizes = np.array([len(v) for v in vectors])
-            for size in np.unique(sizes):
+            vectors = batch.column(0)
+            sizes = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes).tolist():
                 of = np.flatnonzero(sizes == size)
-                y = _unit(np.array([vectors[i] for i in of], dtype=np.float64)) @ rotation(int(size))
-                for b, (part, limit) in enumerate(zip(blocks(int(size)), budgets(int(size), threshold), strict=True)):
-                    for i, cell, home in _cells(y, part, limit, min(dims, part.stop - part.start)):
-                        rows["at"].append(int(of[i]))
-                        rows["block"].append(b)
-                        rows["cell"].append(f"{size}:{b}:" + ",".join(map(str, cell)))
-                        rows["home"].append(home)
-            at = pa.array(rows["at"], pa.int64())
-            columns = [batch.column(k).take(at) for k in range(batch.num_columns)]
-            added = [pa.array(rows["block"], pa.int32()), pa.array(rows["cell"]), pa.array(rows["home"])]
-            yield pa.RecordBatch.from_arrays(columns + added, names=[*batch.schema.names, "block", "cell", "home"])
+                y = _unit(_matrix(vectors.take(pa.array(of)), size)) @ rotation(size)
+                for b, (part, limit) in enumerate(zip(blocks(size), budgets(size, threshold), strict=True)):
+                    at, cells, home = _cells(y, part, limit, min(dims, part.stop - part.start))
+                    rows = pa.array(of[at])
+                    columns = [batch.column(k).take(rows) for k in range(batch.num_columns)]
+                    names = [f"{size}:{b}:{c}" for c in cells] if dims else pa.repeat(f"{size}:{b}", len(at))
+                    added = [pa.repeat(pa.scalar(b, pa.int32()), len(at)), pa.array(names, pa.string()), pa.array(home)]
+                    yield pa.RecordBatch.from_arrays(columns + added, names=[*batch.schema.names, "block", "cell", "home"])
 
     kinds = dict(classes.dtypes)
     base = f"embedding {kinds['embedding']}, node {kinds['node']}, label {kinds['label']}, copies long"
@@ -177,7 +199,7 @@ def link(classes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
 
     def found(rows: pa.Table) -> pa.RecordBatch:
         ids, copies = rows["node"].to_numpy(), rows["copies"].to_numpy()
-        unit = _unit(np.array(rows["embedding"].to_pylist(), dtype=np.float64))
+        unit = _unit(_matrix(rows["embedding"], len(rows["embedding"][0])))
         home = rows["home"].to_numpy(zero_copy_only=False)
         part = rows["part"].to_numpy()
         cross = rows["low"][0].as_py() != rows["high"][0].as_py()
