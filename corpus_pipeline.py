@@ -21,11 +21,20 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id."""
+    """One document of each SimHash group stays: the one with the smallest doc_id.
+
+    Texts move once, to the task of their doc_id, where repeated rows are dropped too. Of rows without a doc_id, in groups
+    where no row has one, one of each fingerprint stays.
+    """
+    docs = docs.select(*COLUMNS)
     found = simhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
-    return kept.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("kept"), "left_semi")
+    alone = found.where("doc_id IS NULL AND component_id IS NULL").select(F.col("fingerprint").alias("alone")).distinct()
+    nameless = simhash.fingerprints(docs.where("doc_id IS NULL").select("*", F.col("text").alias("kept_text")))
+    nameless = nameless.join(alone, simhash.as_hex("fp") == F.col("alone"), "left_semi").dropDuplicates(["fp"])
+    nameless = nameless.withColumn("text", F.col("kept_text")).select(*COLUMNS)
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(nameless)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import components, map_texts
@@ -200,6 +200,11 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def as_hex(fp: str) -> Column:
+    """A fingerprint as 16 lowercase hex digits."""
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs(doc_id, text)``.
 
@@ -216,6 +221,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     smallest = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
     nodes = nodes.join(smallest, "root").select("fp", "component_id")
-    return rows.join(nodes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return rows.join(nodes, "fp").select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")

@@ -141,6 +141,7 @@ def test_pipeline_keeps_clean_documents(spark, sf, documents):
     deduped = corpus_pipeline.near_duplicates(spark, kept, sf)
     groups = simhash.near_duplicates(kept).collect()
     assert sorted(r.doc_id for r in deduped.collect()) == sorted({r.component_id for r in groups})
+    assert corpus_pipeline.near_duplicates(spark, kept.unionByName(kept), sf).count() == deduped.count()
     hidden = corpus_pipeline.hide_secrets(spark, deduped, sf).collect()
     assert len(hidden) == deduped.count()
     assert all(r.text == rows[r.doc_id].text or "[SECRET]" in r.text for r in hidden)
@@ -160,3 +161,10 @@ def test_pipeline_runs_on_awkward_rows(spark, awkward, nothing, sf):
             assert docs.columns == corpus_pipeline.COLUMNS
         pieces = corpus_pipeline.pack(spark, docs, sf).collect()
         check_packing(docs, pieces, packing.CAPACITY)
+
+
+def test_rows_without_id_are_deduplicated_too(spark, sf):
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, "g h i j k l m"), (3, "g h i j k l m"), (4, "n o p")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == [(3, "g h i j k l m"), (4, "n o p"), (None, "a b c d e f")]
