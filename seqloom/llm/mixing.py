@@ -62,7 +62,8 @@ def systematic_sample(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
     line = [F.col("source").asc_nulls_last(), F.col("size"), F.col("draw"), F.col("doc_id").asc_nulls_last()]
-    rows = rows.withColumn("draw", unit_draw(F.lit(seed), F.col("doc_id")))
+    # written before the borders are sampled, so that the texts are read and counted once
+    rows = materialize(rows.withColumn("draw", unit_draw(F.lit(seed), F.col("doc_id"))), "sizes")
     rows = rows.repartitionByRange(*line).withColumn("chunk", F.spark_partition_id())
     rows = materialize(rows, "mix")
     chunks = rows.groupBy("source", "chunk").agg(F.count(F.lit(1)).alias("n"))
