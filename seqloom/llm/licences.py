@@ -12,7 +12,7 @@ from seqloom.llm.common import lower_ascii
 
 #: Anything between words: all ASCII but digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words of a template that are looked up.
+#: Words of a template's key phrase that are looked up.
 ANCHORS = 3
 #: Words of a template that must stand at their place.
 LEAST_SHARE = 0.8
@@ -92,8 +92,13 @@ def document_counts(docs: DataFrame, templates: tuple[Template, ...]) -> tuple[i
 
 
 def anchors(template: Template, n: int, counts: dict[str, int], most: int = ANCHORS) -> list[tuple[str, int, float]]:
-    """The template's words of highest inverse document frequency, ``(word, place, idf)``, earlier places first on ties."""
-    scored = [(w, i, math.log((n + 1) / (counts.get(w, 0) + 1))) for i, w in enumerate(template.words)]
+    """The key phrase's words of highest inverse document frequency, ``(word, place in the template, idf)``, earlier places
+    first on ties.
+
+    Every notice has its key phrase whole, so no notice lacks one of these words at its place, whatever the counts are.
+    """
+    key = enumerate(template.key.split(), start=template.key_at)
+    scored = [(w, i, math.log((n + 1) / (counts.get(w, 0) + 1))) for i, w in key]
     return sorted(scored, key=lambda a: (-a[2], a[1]))[:most]
 
 
@@ -105,9 +110,10 @@ def scan(
 ) -> DataFrame:
     """``docs`` with ``n_words`` and ``notices``, an array of ``(start, label, base, share)`` with one row per place found.
 
-    A file's words are scanned once for anchors, the rarest words of all templates. Each anchor's positions, less its
+    A file's words are scanned once for anchors, the rarest words of all key phrases. Each anchor's positions, less its
     place in the template, are the starts that it votes for; a template is looked at only where the starts of all its
-    anchors meet. There its words are compared place by place (``share`` is the part that agrees, ``least_share``
+    anchors meet, which is so wherever its key phrase stands. The counts choose the anchors and so the work, never the
+    notices. There its words are compared place by place (``share`` is the part that agrees, ``least_share``
     is asked for, all words for a base phrase), and the mandatory key phrase has to stand word by word.
 
     Words count from 0 over the whole text; a null or empty text has none. Rows are scanned one by one, so that repeated

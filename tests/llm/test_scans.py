@@ -126,3 +126,32 @@ def test_rarest_words_are_looked_up():
     t = licences.TEMPLATES[0]
     found = licences.anchors(t, 100, {"under": 90, "the": 99, "mit": 2, "license": 5}, most=2)
     assert [(w, i) for w, i, _ in found] == [("mit", 2), ("license", 3)]
+
+
+def expected_notices(text):
+    w, found = words(text), []
+    for t in licences.TEMPLATES:
+        size, key = len(t.words), t.key.split()
+        for s in range(len(w) - size + 1):
+            share = sum(a == b for a, b in zip(w[s : s + size], t.words, strict=True)) / size
+            phrase = w[s + t.key_at : s + t.key_at + len(key)] == key
+            if phrase and share >= (1 if t.base else licences.LEAST_SHARE) - 1e-9:
+                found.append((s, t.label, t.base, round(share, 9)))
+    return sorted(found)
+
+
+def test_notices_do_not_depend_on_the_corpus(spark):
+    # every template with each of its words altered, and with a word put in at each place, without any other rows
+    changed = [t.words[:i] + ["zzz"] + t.words[i + k :] for t in licences.TEMPLATES for i in range(len(t.words)) for k in (0, 1)]
+    texts = ["see " + " ".join(c) + " end" for c in changed]
+    want = [expected_notices(t) for t in texts]
+    assert sum(any(not base for _, _, base, _ in w) for w in want) > 50
+    for part in (slice(None), slice(0, None, 40)):
+        rows = list(enumerate(texts))[part]
+        found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        got = {r.doc_id: sorted((n.start, n.label, n.base, round(n.share, 9)) for n in r.notices) for r in found}
+        assert got == {i: want[i] for i, _ in rows}
+    alone = [i for i, w in enumerate(want) if w and not w[0][2] and w[0][3] < 1][::12]
+    for i in alone:
+        one = licences.scan(spark.createDataFrame([(i, texts[i])], "doc_id long, text string")).first()
+        assert sorted((n.start, n.label, n.base, round(n.share, 9)) for n in one.notices) == want[i]
