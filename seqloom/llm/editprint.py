@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import components, map_texts
+from seqloom.llm.simhash import merge
 from seqloom.session import materialize
 
 SEED = 11
@@ -24,8 +25,11 @@ PERIOD = 8192
 SAMPLES, OCTAVES = 128, 40
 #: Characters walked side by side, and the number of walks from which they go on one by one.
 WALK_CHARS, ALONE = 16_000_000, 8
-#: Bits of a band, and bands of each octave.
+#: Bits of a band, and bands of each kind; a walk has two kinds.
 BAND_BITS, BANDS = 20, 16
+#: Nodes of a band in one task (a fuller band is split into pairs of such parts), of a band compared side by side with
+#: others, and rows searched at once.
+PART_ROWS, FEW, HELD = 1024, 16, 65_536
 LIKENESS = 0.8
 
 
@@ -307,49 +311,170 @@ def compare_with_next(docs: DataFrame, chunks: int | None = None) -> DataFrame:
     return placed.mapInArrow(run, f"doc_id {kind}, {COMPARED}")
 
 
+def octave_bytes(octaves: int) -> np.ndarray:
+    """Bytes of each octave of a walk with so many."""
+    return np.array([-(-len(sampled_steps(k)) // 8) for k in range(octaves)], dtype=np.int64)
+
+
+@functools.cache
+def _octaves_of() -> dict[int, int]:
+    return {int(octave_bytes(n).sum()): n for n in range(1, OCTAVES + 1)}
+
+
+def band_keys(packed: np.ndarray, octaves: int, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of ``BAND_BITS`` sampled bits and the row of each, for walks of the same number of octaves (packed, row by row).
+
+    Bits of longer octaves are drawn more often, as they count for more. Half of the bands take bits of the octaves before
+    the last one, which a walk has passed whole. The others also take bits of the first half of the last octave, if the
+    walk goes on behind it, and else are further bands of the octaves before: bits behind the end of a walk are 0 for
+    everybody and never drawn. A walk of few octaves has all its bits drawn from.
+    """
+    sizes = [len(sampled_steps(k)) for k in range(octaves)]
+    first = np.concatenate(([0], np.cumsum(octave_bytes(octaves)) * 8))
+    bits = np.unpackbits(packed, axis=1)
+    half = sizes[-1] // 2
+    beyond = bits[:, first[octaves - 1] + half : first[octaves]].any(axis=1)
+    tiny = sum(sizes[:-1]) < 2 * BAND_BITS
+    power = 1 << np.arange(BAND_BITS, dtype=np.int64)
+    keys, rows = [], []
+    for kind in range(3):  # octaves before the last, more of them, with the half of the last
+        held = np.flatnonzero([np.ones(len(bits), dtype=bool), ~beyond, beyond][kind])
+        upto = octaves if tiny or kind == 2 else octaves - 1
+        room = np.array([float(1 << k) for k in range(upto)])
+        depth = sizes[:upto]
+        if kind == 2 and not tiny:
+            room[-1], depth[-1] = room[-1] / 2, half
+        rng = np.random.default_rng((SEED, number, octaves, kind))
+        at = np.repeat(first[:upto], depth) + np.concatenate([np.arange(d) for d in depth])
+        chance = np.repeat(room / np.array(depth), depth)
+        for b in range(BANDS):
+            drawn = rng.choice(at, min(BAND_BITS, len(at)), replace=False, p=chance / chance.sum())
+            value = bits[np.ix_(held, drawn)].astype(np.int64) @ power[: len(drawn)]
+            keys.append((((number * 64 + octaves) * 3 + kind) * BANDS + b << BAND_BITS) + value)
+            rows.append(held)
+    return np.concatenate(keys), np.concatenate(rows)
+
+
+def linked_walks(packed: np.ndarray, roots: np.ndarray, octaves: int, least: float) -> np.ndarray:
+    """Class of each walk (number of its first member) by links below the same root; rows come root by root.
+
+    All pairs of a root are compared but those that links have joined already.
+    """
+    step = [(1 << k) // len(sampled_steps(k)) for k in range(octaves)]
+    weight = np.repeat(np.array(step, dtype=np.float64), octave_bytes(octaves))
+    total = float((1 << octaves) - 1)
+
+    def near(a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+        apart = np.bitwise_count(packed[a] ^ packed[b]) @ weight
+        return 1 - 2 * apart / total >= least
+
+    n = len(roots)
+    label = np.arange(n)
+    begin = np.flatnonzero(np.concatenate(([True], roots[1:] != roots[:-1])))
+    size = np.diff(np.append(begin, n))
+    own = np.repeat(size, size)
+    for d in range(1, min(FEW, int(size.max()))):  # small roots side by side
+        a = np.flatnonzero((roots[:-d] == roots[d:]) & (own[:-d] <= FEW))
+        for part in np.array_split(a, len(a) // 65536 + 1):
+            part = part[near(part, part + d)]
+            merge(label, part, part + d)
+    for low, s in zip(begin[size > FEW], size[size > FEW], strict=True):
+        for i in range(low, low + s - 1):
+            others = i + 1 + np.flatnonzero(label[i + 1 : low + s] != label[i])
+            if len(others):
+                others = others[near(i, others)]
+                # labels of this root only: merge moves nothing else
+                local = label[low : low + s] - low
+                merge(local, np.full(len(others), i - low), others - low)
+                label[low : low + s] = local + low
+    return label
+
+
 def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """``(doc_id, class_id)``: documents whose fingerprints are alike, by bit-sampled banding and verification.
+    """``(doc_id, class_id)``: documents whose fingerprints are alike; see ``with_classes``."""
+    rows = fingerprints(docs.select("doc_id", "text"))
+    return with_classes(materialize(rows, "edit-prints"), least).select("doc_id", "class_id")
+
 
-    Rows of equal fingerprints are one class, named by its smallest doc_id. A fingerprint goes into several bands of
-    sampled bits of each of its last two octaves. In a band all are compared with the smallest member and
-    linked if ``likeness`` reaches ``least``, so a band's work grows with its members, not with their pairs. Banding
-    finds a pair with a likelihood that grows with its likeness; what it links is verified.
+def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """``rows(doc_id, fingerprint, …)`` with ``class_id``, by bit-sampled banding and verification; ``rows`` is read twice.
+
+    Rows of equal fingerprints are one node. Each walk of a node goes into several bands of sampled bits; all members of a
+    band are compared with each other and linked if the walk's likeness reaches ``least``. A band of more than
+    ``PART_ROWS`` nodes is cut into parts by a hash, and each pair of parts is searched on its own. A task returns a
+    spanning star of each class it finds, never pairs. Banding finds a pair with a likelihood that grows with
+    its likeness; what it links is verified. ``class_id`` is the smallest doc_id that links reach (null if there is none).
+
+    Walks are alike above one half only if they have the same number of octaves, so ``least`` has to be above that.
     """
-    rows = materialize(fingerprints(docs.select("doc_id", "text")), "edit-prints")
-    classes = materialize(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "edit-classes")
+    if least <= 0.5:
+        raise ValueError("least must be above 0.5")
+    rows = rows.withColumn("node", F.xxhash64("fingerprint"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("fingerprint").alias("fingerprint"))
+    nodes = materialize(nodes, "edit-nodes")
+    walks = F.split(F.translate("fingerprint", ".", ""), "/")
+    # a text of one walk is like others of one walk only, so that has a number of its own
+    walks = F.transform(walks, lambda w, k: F.struct(F.when(F.size(walks) == WALKS, k).otherwise(WALKS).alias("number"), F.unhex(w).alias("bits")))
+    walks = nodes.where("fingerprint <> ''").select("node", F.explode(walks).alias("walk")).select("node", "walk.*")
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, at = [], []
-            for i, text in enumerate(batch.column(0).to_pylist()):
-                for number, octaves in enumerate(parse(text)):
-                    for o in range(max(0, len(octaves) - 2), len(octaves)):
-                        rng = np.random.default_rng((SEED, number, o))
-                        for b in range(BANDS):
-                            bits = octaves[o][rng.integers(0, len(octaves[o]), BAND_BITS)]
-                            keys.append(f"{number}:{o}:{b}:{np.packbits(bits).tobytes().hex()}")
-                            at.append(i)
-            columns = [pa.array(keys), batch.column(1).take(pa.array(at, pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["band", "node"])
+            node, number = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            bits = np.array(batch.column(2).to_pylist(), dtype=object)
+            size = np.array([len(b) for b in bits])
+            for k, s in sorted(set(zip(number.tolist(), size.tolist(), strict=True))):
+                at = np.flatnonzero((number == k) & (size == s))
+                keys, row = band_keys(_packed(bits[at]), _octaves_of()[s], k)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node[at][row])], names=["band", "node"])
+
+    # only ids move by band; the walks join the members of bands that are shared
+    banded = walks.mapInArrow(band, "band long, node long")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = banded.join(shared, "band")
+    number = F.floor(F.col("band") / F.lit((3 * BANDS * 64) << BAND_BITS)).cast("int")
+    members = members.withColumn("number", number).join(walks, ["node", "number"])
+    parts = F.ceil(F.col("n") / PART_ROWS).cast("int")
+    members = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    root = F.xxhash64("band", F.least("part", "other"), F.greatest("part", "other"))
+    members = members.select(root.alias("root"), "node", "bits").repartition("root").sortWithinPartitions("root")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
+
+        def flush(root: np.ndarray, node: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+            size = np.array([len(b) for b in bits])
+            u, v = [node[:0]], [node[:0]]
+            for s in np.unique(size).tolist():
+                at = np.flatnonzero(size == s)
+                own = node[at]
+                to = linked_walks(_packed(bits[at]), root[at], _octaves_of()[s], least)
+                moved = own[to] != own
+                u.append(own[moved])
+                v.append(own[to][moved])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    named = classes.where("node is not null")
-    # only ids move by band; the fingerprints join the pairs that are left
-    banded = named.mapInArrow(band, f"band string, node {kind}").select(F.xxhash64("band").alias("band"), "node")
-    first = banded.groupBy("band").agg(F.min("node").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = banded.join(first, "band").where("node <> other").select("node", "other").distinct()
-    prints = named.groupBy("node").agg(F.min("fingerprint").alias("fingerprint"))
-    pairs = pairs.join(prints, "node").join(prints.select(F.col("node").alias("other"), F.col("fingerprint").alias("print")), "other")
-    pairs = pairs.select("node", "fingerprint", "other", "print")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mine, theirs = batch.column(1).to_pylist(), batch.column(3).to_pylist()
-            alike = [likeness(parse(a), parse(b)) >= least for a, b in zip(mine, theirs, strict=True)]
-            kept = batch.filter(pa.array(alike, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(2)], names=["u", "v"])
-
-    edges = pairs.mapInArrow(verify, f"u {kind}, v {kind}")
-    roots = components(edges, "edit-links")
-    named = classes.join(roots, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("class_id"))
-    return rows.join(named, "fingerprint").select("doc_id", "class_id")
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.array([*batch.column(2).to_pylist(), None], dtype=object)[:-1]))
+            count += batch.num_rows
+            if count < HELD:
+                continue
+            root, node, bits = (np.concatenate(c) for c in zip(*held, strict=True))
+            whole = int(np.searchsorted(root, root[-1]))  # the last root may go on in the next batch
+            if whole:
+                yield flush(root[:whole], node[:whole], bits[:whole])
+            held, count = [(root[whole:], node[whole:], bits[whole:])], len(root) - whole
+        if count:
+            yield flush(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    roots = components(members.mapInArrow(search, "u long, v long"), "edit-links").withColumnRenamed("node", "linked")
+    named = nodes.join(roots, nodes["node"] == roots["linked"], "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("first").alias("class_id"))
+    named = named.join(smallest, "root").select("node", "class_id")
+    return rows.join(named, "node").drop("node")
+
+
+def _packed(bits: np.ndarray) -> np.ndarray:
+    """Byte strings of one length as rows."""
+    return np.frombuffer(b"".join(bits.tolist()), dtype=np.uint8).reshape(len(bits), -1)

@@ -205,3 +205,28 @@ def test_banding_links_close_texts(spark):
     assert all(got[i] == i for i in range(20))
     assert sum(got[100 + i] == i for i in range(20)) >= 18
     assert got[200] == 0 and got[202] == 201
+
+
+@pytest.mark.parametrize("part_rows", [1024, 16])
+def test_all_members_of_a_band_are_compared(spark, monkeypatch, part_rows):
+    # texts of smaller ids share some bands with each pair and are like neither of it
+    monkeypatch.setattr(editprint, "PART_ROWS", part_rows, raising=False)
+    rng = np.random.default_rng(10)
+    letters = list("abcdefghijklmnop ")
+
+    def changed(text, n):
+        at = int(rng.integers(0, len(text) - n))
+        return text[:at] + "".join(rng.choice(letters, n)) + text[at + n :]
+
+    rows = []
+    for k in range(4):
+        text = "".join(rng.choice(letters, 2000))
+        rows += [(1000 * k + i, changed(text, 700)) for i in range(300)]
+        rows += [(1000 * k + 900, text), *((1000 * k + 901 + i, changed(text, 160)) for i in range(5))]
+    prints = dict(zip((i for i, _ in rows), editprint.fingerprint_all([t for _, t in rows]), strict=True))
+    near = {(i, j): editprint.likeness(prints[i], prints[j]) for i in prints if i % 1000 == 900 for j in range(i + 1, i + 6)}
+    pairs = [p for p, x in near.items() if x >= editprint.LIKENESS]
+    found = editprint.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: r.class_id for r in found}
+    assert len(found) == len(rows) and len(pairs) >= 8
+    assert sum(got[i] == got[j] for i, j in pairs) >= 0.95 * len(pairs)
