@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqloom.llm import editprint, language, licences, mixing, packing, quality, secrets, simhash, toxicity, vectors
 from seqloom.llm.common import held_out, table
+from seqloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -154,4 +155,13 @@ FROM embeddings JOIN component ON component.x = vec_id LEFT JOIN degree ON degre
 
 @query
 def op7_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return editprint.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # what moved the texts is done with once they are compared: its shuffle files go before the bands are written
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        compared = materialize(editprint.compare_with_next(docs), "edit-compared")
+    finally:
+        spark.conf.set(cleanup, before)
+    return editprint.with_classes(compared)

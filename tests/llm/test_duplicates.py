@@ -230,3 +230,11 @@ def test_all_members_of_a_band_are_compared(spark, monkeypatch, part_rows):
     got = {r.doc_id: r.class_id for r in found}
     assert len(found) == len(rows) and len(pairs) >= 8
     assert sum(got[i] == got[j] for i, j in pairs) >= 0.95 * len(pairs)
+
+
+def test_query_runs_the_banding(spark, sf, documents):
+    from seqloom.llm import queries
+
+    found = queries.op7_edit_fingerprints(spark, sf).select("doc_id", "near_next", "class_id").collect()
+    assert len(found) == documents.count()
+    assert 0 < sum(r.class_id < r.doc_id for r in found) < len(found)
