@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import editprint, language, licences, mixing, packing, quality, secrets, simhash, toxicity, vectors
+from seqloom.llm import (
+    editprint,
+    language,
+    licences,
+    mixing,
+    packing,
+    prefixtree,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    vectors,
+)
 from seqloom.llm.common import held_out, table
 from seqloom.session import materialize
 
@@ -165,3 +177,64 @@ def op7_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         spark.conf.set(cleanup, before)
     return editprint.with_classes(compared)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rebuilt = prefixtree.share_openings(prefixtree.ordered_turns(conversations))
+    return prefixtree.prefix_tree(conversations, rebuilt)
+
+
+SQL["op13_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+  SELECT conv_id, digest, length(text) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos
+  FROM turns
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(
+             range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i::INT, 1))::BIGINT)),
+           lambda a, x: list_reduce(
+             list_concat([xor(a, x)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, n.pos, n.digest, n.chars FROM convs c JOIN numbered n ON n.conv_id = c.base AND n.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, n.pos, n.digest, n.chars FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.pos > c.h
+), paths AS (
+  SELECT conv_id, row_number() OVER own AS depth, string_agg(digest, '/') OVER own AS key, chars
+  FROM rebuilt WINDOW own AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+), members AS (
+  SELECT conv_id, depth, key, chars, coalesce(lag(key) OVER (PARTITION BY conv_id ORDER BY depth), '') AS above FROM paths
+  UNION ALL SELECT conv_id, 0, '', 0, NULL FROM convs
+), nodes AS (
+  SELECT key, depth, above, chars, min(conv_id) AS conv_id, count(*) AS n_convs FROM members GROUP BY key, depth, above, chars
+), below AS (
+  SELECT above AS key, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above
+), leads AS (
+  SELECT m.conv_id, m.depth, n.chars, n.n_convs, m.key, n.conv_id = m.conv_id AS leads, b.key IS NULL AS leaf
+  FROM members m JOIN nodes n ON n.key = m.key LEFT JOIN below b ON b.key = m.key
+), sums AS (
+  SELECT key, sum(leaves) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT conv_id, key,
+               sum(CASE WHEN leads AND leaf THEN 1 ELSE 0 END) OVER onward AS leaves,
+               sum(CASE WHEN leads THEN (n_convs - 1) * chars ELSE 0 END) OVER onward AS saved
+        FROM leads WINDOW onward AS (PARTITION BY conv_id ORDER BY depth DESC ROWS UNBOUNDED PRECEDING))
+  GROUP BY key
+), ends AS (
+  SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, arg_max(key, depth) AS key FROM members GROUP BY conv_id) GROUP BY key
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(b.n_children, 0) AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+       coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.key = n.key LEFT JOIN below b ON b.key = n.key LEFT JOIN ends e ON e.key = n.key
+LEFT JOIN nodes p ON p.key = n.above
+"""
