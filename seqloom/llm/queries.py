@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from seqloom.llm import (
     editprint,
     language,
+    lexical,
     licences,
     mixing,
     packing,
@@ -238,3 +239,45 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(b.n_
 FROM nodes n JOIN sums s ON s.key = n.key LEFT JOIN below b ON b.key = n.key LEFT JOIN ends e ON e.key = n.key
 LEFT JOIN nodes p ON p.key = n.above
 """
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op11_ranked_search"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), held AS (
+  SELECT row_no, doc_id, len(terms)::BIGINT AS n, terms FROM words WHERE len(terms) > 0
+), stats AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM held
+), wanted AS (
+  SELECT item_no, item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT item_no, item_id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT *, row_number() OVER () AS item_no FROM benchmark))
+  GROUP BY item_no, item_id, term
+), postings AS (
+  SELECT row_no, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT row_no, doc_id, n, unnest(terms) AS term FROM held)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY row_no, doc_id, n, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, stats GROUP BY term, docs
+), scored AS (
+  SELECT item_no, item_id, row_no, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term), stats
+  GROUP BY item_no, item_id, row_no, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS place
+  FROM scored WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS "rank", doc_id, score FROM ranked WHERE place <= 10
+"""
