@@ -20,9 +20,10 @@ from seqloom.llm import (
     simhash,
     toxicity,
     vectors,
+    warc,
 )
 from seqloom.llm.common import held_out, table
-from seqloom.session import materialize
+from seqloom.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -281,3 +282,27 @@ WITH words AS (
 )
 SELECT item_id, place::INTEGER AS "rank", doc_id, score FROM ranked WHERE place <= 10
 """
+
+
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = scratch_path(spark, "warc")
+    warc.write_archives(warc.with_roles(table(spark, sf_dir, "pages")), where)
+    records = warc.read_archives(spark, where, payload=False).where("kind = 'record'")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op12_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+), groups AS (
+  SELECT payload, max(page_id) AS first, count(*) AS n FROM payloads GROUP BY payload
+)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(digest, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - i % 4 * 5)) % 32 + 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN n > 1 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n > 1 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM payloads JOIN groups USING (payload)
+"""
