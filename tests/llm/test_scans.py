@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ TEXTS = [
     "id 123e4567-e89b-12d3-a456-426614174000 2024-01-02-03-04-05 some-long-name-with-words-1-2-3",
     "key Zm9vYmFyMTIzNDU2Nzg5MHF3ZXJ0eXVpb3A+/x= plain wordswithoutanydigitsinthematall",
     "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda" * 3,
+    "aXbQcZdRtYuIoPlKjHgF getUserAccountNameByIdentifier HTTPServerURLParserFactory QWERTYUIOPASDFGHJKLZ abcdefghijklmnopqrstuvwxyz",
+    "0123456789abcdef0123456789abcdef/k3Jd92LmQpZx7VbT4rYw and 0123456789abcdefXk3Jd92LmQpZx7VbT",
+    "\U0001f600" * 2000 + " password=hunter2hunter2 " + "é" * 1023 + "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda token: abcdefg",
 ]
 
 
@@ -35,9 +40,14 @@ def expected_spans(text):
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     for no, c in enumerate(secrets.CLASSES, start=3):
-        for m in re.finditer(f"[{c.characters}]+", text):
-            allowed = any(re.search(p, m[0]) for p in secrets.ALLOWED)
-            if len(m[0]) >= secrets.WINDOW and re.search("[0-9]", m[0]) and not allowed and bits(m[0]) >= c.bits - 1e-12:
+        for m in re.finditer(f"[{c.characters}]{{{secrets.WINDOW},}}", text):
+            run = m[0]
+            allowed = any(re.search(p, run) for p in secrets.ALLOWED)
+            if not re.search("[0-9]", run):
+                cases = len(re.findall("[A-Z]", run)), len(re.findall("[a-z]", run)), len(re.findall(secrets.CASE_CHANGE, run))
+                allowed = not c.letters or 3 * min(cases) < cases[0] + cases[1]
+            pieces = re.split(secrets.COUNTED, run)[::2]
+            if not allowed and max(map(bits, pieces)) >= c.bits - 1e-9:
                 found.append((m.start(), no, m.end()))
     return sorted(found)
 
@@ -69,14 +79,53 @@ def test_window_entropy(spark):
     assert got == pytest.approx([bits(t) for t in texts])
 
 
+def plain_redaction(text):
+    at, out = 0, []
+    for start, _, end in expected_spans(text):
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
 def test_redaction(spark, awkward):
-    docs = spark.createDataFrame([(0, TEXTS[2]), (1, "clean"), (2, None)], "doc_id long, text string")
+    docs = spark.createDataFrame([*enumerate(TEXTS), (98, "clean"), (99, None)], "doc_id long, text string")
     rows = {r.doc_id: r.text for r in secrets.redact(secrets.scan(docs)).collect()}
-    assert rows == {0: "é\U0001f600 [SECRET] and [SECRET]", 1: "clean", 2: None}
+    assert rows[2] == "é\U0001f600 [SECRET] and [SECRET]"
+    assert rows == {i: plain_redaction(t) for i, t in enumerate(TEXTS)} | {98: "clean", 99: None}
     again = secrets.scan(secrets.redact(secrets.scan(awkward))).where(F.size("found") > 0)
     assert again.count() == 0
 
 
+def crowded(n):
+    rng = random.Random(n)
+    return " ".join(
+        rng.choice([f"{rng.getrandbits(128):032x}", f"token={rng.getrandbits(40):x}zz", "AKIA" + f"{rng.getrandbits(80):020X}", "word"])
+        for _ in range(n)
+    )
+
+
+def test_many_matches_in_one_text(spark):
+    def took(text):
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        row = secrets.digest(secrets.scan(frame)).first()
+        redacted = secrets.redact(secrets.scan(frame)).first().text
+        return time.time() - began, tuple(row), redacted
+
+    took(crowded(200))
+    few, many = crowded(5_000), crowded(27_000)
+    assert len(expected_spans(many)) > 20_000
+    short, row, redacted = took(few)
+    assert row == expected_secrets(1, few) and redacted == plain_redaction(few)
+    long, row, redacted = took(many)
+    assert row == expected_secrets(1, many) and redacted == plain_redaction(many)
+    assert long < 60 and long < 12 * short  # 5.4 times the matches
+    run = "".join(random.Random(1).choices("abcdef0123456789", k=1_000_000))
+    spent, row, _ = took(run)
+    assert row[-1] == "hex:0:1000000,entropy_hex:0:1000000,entropy_base64:0:1000000" and spent < 90
+
+
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 LICENCES = [
     "Released under the MIT License. under the mit licenses; under-the (MIT) license!",
