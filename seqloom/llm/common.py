@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqloom.session import materialize
+from seqloom.session import delete_path, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word of the size, shingle and mixing contracts: a run of anything but space and the control spaces.
@@ -99,17 +99,37 @@ def map_texts(
     return df.mapInArrow(run, T.StructType(kept + new))
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, and its path, for a step that deletes the table once the next one stands."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def tidy_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` in which the shuffle files of a write go when the write is done.
+
+    What a job writes step by step then needs the disk of its largest step, not of all of them; queries of the
+    other session keep their files.
+    """
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    child.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return child
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of ``edges (u, v)``: ``(node, root)`` for every node with an edge, root = smallest node.
 
     Alternates the large-star and small-star steps (Kiveris et al., 2014) until every node hangs on its root. Edge rows
     never multiply: each step keeps at most one row per edge, a hub's minimum is a partial aggregate, and the join back is
-    on the hub with one row on the other side. Every step is written to the shared folder.
+    on the hub with one row on the other side. Every step is written to the shared folder, and deletes the one before.
     """
     spark = edges.sparkSession
-    now = materialize(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label
-    )
+    ordered = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    now, path = written(ordered, label)
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -117,13 +137,14 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         kept = large.join(low, "u")
         small = kept.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(low).distinct()
-        then = materialize(small, label)
+        then, onto = written(small, label)
         same = spark.sql(
             "select (select struct(count(1), bit_xor(xxhash64(u, v))) from {a})"
             " = (select struct(count(1), bit_xor(xxhash64(u, v))) from {b}) as same",
             a=now,
             b=then,
         ).first()["same"]
-        now = then
+        delete_path(spark, path)
+        now, path = then, onto
         if same:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

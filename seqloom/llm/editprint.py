@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import components, map_texts
+from seqloom.llm.common import components, map_texts, written
 from seqloom.llm.simhash import merge
-from seqloom.session import materialize
+from seqloom.session import delete_path, materialize
 
 SEED = 11
 #: Walks per text. After an edit a walk may take long to fall into step again; the likeness is that of the best walk.
@@ -265,7 +265,7 @@ def compare_with_next(docs: DataFrame, chunks: int | None = None) -> DataFrame:
     """
     chunks = chunks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = dict(docs.dtypes)["doc_id"]
-    placed = in_order(docs, chunks).repartition(chunks, "chunk")
+    placed = in_order(docs, chunks).repartitionById(chunks + 1, "chunk")  # and one of null ids
     placed = placed.sortWithinPartitions("chunk", "guest", F.col("doc_id").desc_nulls_last(), "text")
     names = [c.split()[0] for c in COMPARED.split(", ")]
 
@@ -409,7 +409,7 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     """
     if least <= 0.5:
         raise ValueError("least must be above 0.5")
-    rows = rows.withColumn("node", F.xxhash64("fingerprint"))
+    rows = rows.drop("class_id").withColumn("node", F.xxhash64("fingerprint"))
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("fingerprint").alias("fingerprint"))
     nodes = materialize(nodes, "edit-nodes")
     walks = F.split(F.translate("fingerprint", ".", ""), "/")
@@ -427,10 +427,12 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
                 keys, row = band_keys(_packed(bits[at]), _octaves_of()[s], k)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node[at][row])], names=["band", "node"])
 
-    # only ids move by band; the walks join the members of bands that are shared
+    # bands are counted and joined in writes of their own, so that each step's shuffle files can go before the next;
+    # only ids move by band, and walks join the members of shared bands alone
     banded = walks.mapInArrow(band, "band long, node long")
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = banded.join(shared, "band")
+    shared, counted = written(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "edit-bands")
+    members, placed = written(banded.join(shared, "band"), "edit-members")
+    delete_path(rows.sparkSession, counted)
     number = F.floor(F.col("band") / F.lit((3 * BANDS * 64) << BAND_BITS)).cast("int")
     members = members.withColumn("number", number).join(walks, ["node", "number"])
     parts = F.ceil(F.col("n") / PART_ROWS).cast("int")
@@ -468,7 +470,10 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
         if count:
             yield flush(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
-    roots = components(members.mapInArrow(search, "u long, v long"), "edit-links").withColumnRenamed("node", "linked")
+    links, found = written(members.mapInArrow(search, "u long, v long"), "edit-links")
+    delete_path(rows.sparkSession, placed)
+    roots = components(links, "edit-classes").withColumnRenamed("node", "linked")
+    delete_path(rows.sparkSession, found)
     named = nodes.join(roots, nodes["node"] == roots["linked"], "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("class_id"))
     named = named.join(smallest, "root").select("node", "class_id")

@@ -22,7 +22,7 @@ from seqloom.llm import (
     vectors,
     warc,
 )
-from seqloom.llm.common import held_out, table
+from seqloom.llm.common import held_out, table, tidy_session, written
 from seqloom.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,16 +169,11 @@ FROM embeddings JOIN component ON component.x = vec_id LEFT JOIN degree ON degre
 
 @query
 def op7_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # what moved the texts is done with once they are compared: its shuffle files go before the bands are written
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(cleanup)
-    spark.conf.set(cleanup, "true")
-    try:
-        compared = materialize(editprint.compare_with_next(docs), "edit-compared")
-    finally:
-        spark.conf.set(cleanup, before)
-    return editprint.with_classes(compared)
+    tidy = tidy_session(spark)
+    docs = table(tidy, sf_dir, "documents").select("doc_id", "text")
+    compared = materialize(editprint.compare_with_next(docs), "edit-compared")
+    classed, path = written(editprint.with_classes(compared), "edit-classed")
+    return spark.read.schema(classed.schema).parquet(path)
 
 
 @query

@@ -1,5 +1,6 @@
 """SimHash, vector and edit-distance near-duplicates against brute force."""
 
+import random
 import re
 
 import numpy as np
@@ -238,3 +239,40 @@ def test_query_runs_the_banding(spark, sf, documents):
     found = queries.op7_edit_fingerprints(spark, sf).select("doc_id", "near_next", "class_id").collect()
     assert len(found) == documents.count()
     assert 0 < sum(r.class_id < r.doc_id for r in found) < len(found)
+
+
+@pytest.mark.parametrize("frame", ["awkward", "nothing"])
+def test_edit_classes_of_odd_rows(spark, frame, request):
+    docs = request.getfixturevalue(frame)
+    got = sorted(map(tuple, editprint.near_duplicates(docs).collect()), key=str)
+    first = {}
+    for r in docs.collect():
+        same = "long" if r.doc_id in (7, 8) else r.text or ""  # 8 is 7 and one more word
+        first.setdefault(same, []).append(r.doc_id)
+    want = {i: min((x for x in ids if x is not None), default=None) for ids in first.values() for i in ids}
+    assert got == sorted(((r.doc_id, want[r.doc_id]) for r in docs.collect()), key=str)
+
+
+def test_edit_classes_keep_other_columns(spark):
+    rows = [(i, t, "a", "b", 9) for i, t in enumerate(["same words here"] * 3 + ["quite another text", "", None])]
+    frame = editprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string, node string, first string, class_id int"))
+    found = editprint.with_classes(frame)
+    assert sorted(found.columns) == ["class_id", "doc_id", "fingerprint", "first"]
+    assert {r.doc_id: r.class_id for r in found.collect()} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 4}
+
+
+@pytest.mark.parametrize("kind", ["replaced", "inserted", "deleted"])
+def test_edit_recall(spark, documents, kind):
+    """Texts of some length with one edit in two hundred characters: nine of ten and more are found."""
+    rng = random.Random(3)
+    texts = [r.text for r in documents.collect() if r.text and 400 <= len(r.text) <= 6000][:60]
+
+    def edit(text):
+        out = list(text)
+        for at in rng.sample(range(len(text)), max(1, len(text) // 200)):
+            out[at] = {"replaced": "#", "inserted": out[at] + "#", "deleted": ""}[kind]
+        return "".join(out)
+
+    rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, edit(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in editprint.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * i] == got[2 * i + 1] for i in range(len(texts))) >= 0.9 * len(texts)
