@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,6 +101,30 @@ def map_texts(
     return df.mapInArrow(run, T.StructType(kept + new))
 
 
+#: What names a row of a table of files.
+ROW = ("file", "row")
+
+
+def _reads_files(df: DataFrame) -> bool:
+    """Whether ``df`` is a scan with projections and filters at most, so that no row of a file comes twice."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
+def with_rows(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with ``file`` and ``row``: the place where a row is stored, which no other row has, whatever its ids.
+
+    A frame that is not read from Parquet is written first. Only files that do not change may be read by their places.
+    """
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    if _reads_files(docs):
+        with contextlib.suppress(AnalysisException):  # other formats do not number their rows
+            return docs.select("*", *place)
+    return written(docs, label)[0].select("*", *place)
+
+
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """``df`` as a table in the shared folder, and its path, for a step that deletes the table once the next one stands."""
     path = scratch_path(df.sparkSession, label)

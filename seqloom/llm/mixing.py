@@ -40,7 +40,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame
     )
 
 
-def systematic_sample(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+def systematic_sample(
+    docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = (1, 2, 3), keys: tuple[str, ...] = ()
+) -> DataFrame:
     """Each row of ``docs(doc_id, text, source)`` with its ``size``, ``source_size``, ``target`` and number of ``copies``.
 
     Every document of a source expects ``target / source_size`` copies. The rows of a source stand in a line by size (then
@@ -54,14 +56,16 @@ def systematic_sample(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...
 
     A null text has size 0, and so has an empty one; a document of size 0 is emitted like any other but takes no words. A
     null source is a source of its own. Rows that repeat a doc_id count singly. A source without words has target 0 and no
-    copies. Extra columns are ignored; an empty table gives an empty result.
+    copies. Columns named as ``keys`` are kept and order rows of one doc_id, other extra columns are ignored; an empty table
+    gives an empty result.
     """
     rows = docs.select(
         "doc_id",
         "source",
+        *keys,
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
-    line = [F.col("source").asc_nulls_last(), F.col("size"), F.col("draw"), F.col("doc_id").asc_nulls_last()]
+    line = [F.col("source").asc_nulls_last(), F.col("size"), F.col("draw"), F.col("doc_id").asc_nulls_last(), *keys]
     # written before the borders are sampled, so that the texts are read and counted once
     rows = materialize(rows.withColumn("draw", unit_draw(F.lit(seed), F.col("doc_id"))), "sizes")
     rows = rows.repartitionByRange(*line).withColumn("chunk", F.spark_partition_id())
@@ -77,7 +81,7 @@ def systematic_sample(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...
     chunks = chunks.select(
         F.col("source").alias("of_source"), F.col("chunk").alias("of_chunk"), "before", "source_size", "target"
     )
-    within = Window.partitionBy("source", "chunk").orderBy("size", "draw", F.col("doc_id").asc_nulls_last())
+    within = Window.partitionBy("source", "chunk").orderBy("size", "draw", F.col("doc_id").asc_nulls_last(), *keys)
     placed = rows.withColumn("place", F.row_number().over(within)).join(
         chunks, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("chunk") == F.col("of_chunk"))
     )
@@ -89,4 +93,4 @@ def systematic_sample(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...
 
     rank = F.col("before") + F.col("place")
     copies = F.least(crossed(rank) - crossed(rank - 1), F.lit(MOST_COPIES)).cast("int")
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), *keys)

@@ -213,12 +213,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     meet it in a join that may be split. Null and empty texts have fingerprint 0. Repeated rows are repeated in the
     result. A null doc_id counts only where its component has no other id (then component_id is null).
     """
-    rows = materialize(fingerprints(docs.select("doc_id", "text")), "simhash")
+    return groups(docs.select("doc_id", "text")).select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """``docs`` without text and with ``fp``, ``root`` (a fingerprint that names the component) and ``component_id``."""
+    rows = materialize(fingerprints(docs), "simhash")
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     roots = components(links(nodes.select("fp")), "simhash-links")
     nodes = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
-    nodes = nodes.join(smallest, "root").select("fp", "component_id")
-    return rows.join(nodes, "fp").select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
+    nodes = nodes.join(smallest, "root").select("fp", "root", "component_id")
+    return rows.join(nodes, "fp")

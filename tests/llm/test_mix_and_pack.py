@@ -1,6 +1,7 @@
 """Mixing, packing and the pipeline."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -168,3 +169,31 @@ def test_rows_without_id_are_deduplicated_too(spark, sf):
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_duplicates(spark, docs, sf).collect()
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == [(3, "g h i j k l m"), (4, "n o p"), (None, "a b c d e f")]
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_rows_of_one_id_are_mixed_and_kept_apart(spark, sf, tmp_path, stored):
+    """Words taken reach the targets although ids are null or repeated, and no text of another group goes with its id."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(900):
+        words = " ".join(rng.choices([f"w{k}" for k in range(5000)], k=rng.randint(5, 40)))
+        rows.append((rng.choice([None, None, i, 5, i % 40]), words, "en", rng.choice("aab") if i % 7 else None, len(words)))
+    rows += rows[:200]  # repeated rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    if stored:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    sample = mixing.systematic_sample(docs).collect()
+    mixed = corpus_pipeline.mix(spark, docs, sf).collect()
+    assert len(mixed) == sum(r.copies for r in sample)
+    for source in {r.source for r in sample}:
+        own = [r for r in sample if r.source == source]
+        taken = sum(len(r.text.split()) for r in mixed if r.source == source)
+        assert abs(taken - own[0].target) <= 3 * max(r.size for r in own)
+    assert {tuple(r) for r in mixed} <= set(rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf).collect()
+    assert sorted(r.text for r in kept) == sorted({t for _, t, *_ in rows})  # random texts have no near copies
+    for r in kept:
+        ids = [i for i, t, *_ in rows if t == r.text]
+        assert r.doc_id == min((i for i in ids if i is not None), default=None)
