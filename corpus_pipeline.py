@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.llm import mixing, packing, secrets, simhash, toxicity
-from seqloom.llm.common import held_out, table
+from seqloom.llm.common import ROW, held_out, table, with_rows
 from seqloom.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,20 +21,17 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id.
+    """One document of each SimHash group stays: the row with the smallest doc_id (null last), then by a hash of its text.
 
-    Texts move once, to the task of their doc_id, where repeated rows are dropped too. Of rows without a doc_id, in groups
-    where no row has one, one of each fingerprint stays.
+    Rows are told apart by the place where they are stored, so repeated and null ids lose or double nothing. Texts move
+    once, to the task of their place.
     """
-    docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("kept"), "left_semi")
-    alone = found.where("doc_id IS NULL AND component_id IS NULL").select(F.col("fingerprint").alias("alone")).distinct()
-    nameless = simhash.fingerprints(docs.where("doc_id IS NULL").select("*", F.col("text").alias("kept_text")))
-    nameless = nameless.join(alone, simhash.as_hex("fp") == F.col("alone"), "left_semi").dropDuplicates(["fp"])
-    nameless = nameless.withColumn("text", F.col("kept_text")).select(*COLUMNS)
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(nameless)
+    docs = with_rows(docs.select(*COLUMNS), "near-duplicates")
+    mark = F.xxhash64("text")
+    found = simhash.groups(docs.select("doc_id", "text", mark.alias("mark"), *ROW))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "mark", *ROW)
+    first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.file", "first.row")
+    return docs.join(first, list(ROW), "left_semi").select(*COLUMNS)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +43,11 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mixing.systematic_sample(docs).where("copies > 0").select(F.col("doc_id").alias("taken"), "copies")
-    taken = taken.groupBy("taken").agg(F.max("copies").alias("copies"))
-    drawn = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("taken")))
+    """Each row as often as the mix takes it; rows are told apart by the place where they are stored."""
+    docs = with_rows(docs.select(*COLUMNS), "mix")
+    keys = ("mark", *ROW)  # a hash of the text, so that rows of one doc_id stand in the same order in every run
+    taken = mixing.systematic_sample(docs.withColumn("mark", F.xxhash64("text")), keys=keys).where("copies > 0")
+    drawn = docs.join(taken.select(*ROW, "copies"), list(ROW))
     return drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
 
 
