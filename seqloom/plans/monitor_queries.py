@@ -9,6 +9,7 @@ from seqloom.operators import monitor
 from seqloom.plans.bindings import Tables
 from seqloom.plans.registry import query
 from seqloom.session import scratch_path
+from seqloom.sources import message_log
 from seqloom.sources.schemas import raw_table_schema
 from seqloom.streaming import ingest, online, windows
 
@@ -199,14 +200,15 @@ def stream_batch_size(t: Tables) -> DataFrame:
     return _closed(t, windows.batch_size_windows(_log_stream(t)), "stream-batches")
 
 
-@query(
-    """WITH m AS (SELECT CASE event_id % 4 WHEN 0 THEN 'raw_events' WHEN 1 THEN 'new_user' WHEN 2 THEN 'new_movie' ELSE 'new_rating' END AS name,
+INGEST_SQL = """WITH m AS (SELECT CASE event_id % 4 WHEN 0 THEN 'raw_events' WHEN 1 THEN 'new_user' WHEN 2 THEN 'new_movie' ELSE 'new_rating' END AS name,
         CASE WHEN event_id % 97 = 0 THEN 'incomplete' WHEN event_id % 83 = 0 THEN 'unreadable time'
              WHEN event_id % 89 = 0 AND event_id % 4 = 0 THEN 'incomplete' ELSE '' END AS reason,
         CASE WHEN event_id % 89 = 0 THEN ts - INTERVAL 1 DAY ELSE ts END AS ts FROM events)
     SELECT CASE WHEN reason <> '' THEN 'quarantine' ELSE name END AS table_name,
     CASE WHEN reason <> '' THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS day, reason, count(*) AS row_count FROM m GROUP BY ALL"""
-)
+
+
+@query(INGEST_SQL)
 def stream_ingest(t: Tables) -> DataFrame:
     """Every event as a message of one of four topics, streamed into the raw tables and counted there by day and reason.
 
@@ -219,8 +221,13 @@ def stream_ingest(t: Tables) -> DataFrame:
     topics = list(ingest.TOPIC_SCHEMAS)
     stream = ingest.read_message_files(t.spark, source)
     ingest.start_ingest(stream, root, scratch_path(t.spark, "ingest-checkpoint"), topics).awaitTermination()
+    return _ingested(t, root)
+
+
+def _ingested(t: Tables, root: str) -> DataFrame:
+    """Rows of the raw tables by day, and of the quarantine by reason."""
     counted = None
-    for topic in topics:
+    for topic in ingest.TOPIC_SCHEMAS:
         name = topic.replace("-", "_")
         rows = t.spark.read.schema(raw_table_schema(topic)).parquet(f"{root}/{name}")
         day = F.concat_ws("-", "year", "month", "day")
@@ -232,6 +239,51 @@ def stream_ingest(t: Tables) -> DataFrame:
     return counted.unionByName(rejected.agg(F.count(F.lit(1)).alias("row_count")))
 
 
+@query(
+    """SELECT CASE event_id % 4 WHEN 0 THEN 'raw-events' WHEN 1 THEN 'new-user' WHEN 2 THEN 'new-movie' ELSE 'new-rating' END AS topic,
+    (('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT % 6)::INTEGER AS log_partition, count(*) AS messages,
+    0::BIGINT AS first_offset, count(*) - 1 AS last_offset, count(*) AS offsets FROM events GROUP BY ALL"""
+)
+def publish_log(t: Tables) -> DataFrame:
+    """Every event published to a message log in two publications: offsets of a partition run on without gaps."""
+    path = scratch_path(t.spark, "log")
+    rows = _messages_by_topic(t)
+    odd = F.col("key").cast("long") % 3 == 0
+    message_log.publish_log(rows.where(odd), path, partitions=6)
+    message_log.publish_log(rows.where(~odd), path, partitions=6)
+    return (
+        message_log.read_log(t.spark, path)
+        .groupBy("topic", F.col("partition").alias("log_partition"))
+        .agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.min("offset").alias("first_offset"),
+            F.max("offset").alias("last_offset"),
+            F.count_distinct("offset").alias("offsets"),
+        )
+    )
+
+
+@query(INGEST_SQL)
+def stream_log_ingest(t: Tables) -> DataFrame:
+    """The same tables from a message log: published on a stream, read by offsets in several limited batches."""
+    source, path, root = (scratch_path(t.spark, name) for name in ("messages", "log", "raw"))
+    messages = _messages_by_topic(t)
+    messages.write.parquet(source)
+    publishing = message_log.start_publishing(
+        ingest.read_message_files(t.spark, source), path, scratch_path(t.spark, "publish-checkpoint"), "events", partitions=4
+    )
+    publishing.awaitTermination()
+    limit = sum(message_log.Log(path).ends().values()) // 10 + 1  # of each of four topics
+    stream = message_log.stream_log(t.spark, path, list(ingest.TOPIC_SCHEMAS), group="ingest", max_rows=limit)
+    checkpoint = scratch_path(t.spark, "ingest-checkpoint")
+    running = ingest.start_ingest(stream, root, checkpoint, list(ingest.TOPIC_SCHEMAS), trigger={"processingTime": "0 seconds"})
+    try:
+        message_log.catch_up(running, path)
+    finally:
+        running.stop()
+    return _ingested(t, root)
+
+
 @query("SELECT count(*) AS seen, count(DISTINCT event_id) AS keys FROM events")
 def stream_batch_hook(t: Tables) -> DataFrame:
     """A hook on the ingest stream that copies every micro-batch: it gets each message once."""
