@@ -19,7 +19,8 @@ from seqloom.plans.bindings import (
     genre_sql,
 )
 from seqloom.plans.registry import as_text, query
-
+from seqloom.session import scratch_path
+from seqloom.streaming import buckets
 
 
 def _sec() -> Column:
@@ -331,6 +332,23 @@ def online_lookup(t: Tables) -> DataFrame:
     return features.online_lookup(_requests(t), _online(t))
 
 
+@query(
+    f"""WITH {_ONLINE_SQL} SELECT ord, user_id, gender_idx, age_idx, CAST(occupation AS INTEGER) AS occupation, target_time,
+    gender_idx IS NULL AND age_idx IS NULL AND occupation IS NULL AND target_time IS NULL AS is_miss
+    FROM requests LEFT JOIN online USING (user_id)""",
+    "staged",
+)
+def bucket_online_lookup(t: Tables) -> DataFrame:
+    """The same requests from a table in hash buckets, to which the rows came in two halves, the older ones last."""
+    root, order = scratch_path(t.spark, "buckets"), [SAMPLE_VIEW.time, *SAMPLE_VIEW.tie]
+    online, requests = _online(t), _requests(t)
+    even = F.pmod(F.col("user_id"), F.lit(2)) == 0
+    buckets.upsert(online.where(even), root, ["user_id"], order, buckets=32)
+    late = online.where(even).withColumn(SAMPLE_VIEW.time, F.col(SAMPLE_VIEW.time) - F.expr("INTERVAL 1 DAY"))
+    buckets.upsert(online.where(~even).unionByName(late.withColumn("gender_idx", F.lit(9))), root, ["user_id"], order)
+    return features.online_lookup(requests, buckets.rows_of(requests, root, ["user_id"]))
+
+
 @query(
     f"""WITH {_ONLINE_SQL}, offline AS (SELECT * FROM staged
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, target DESC) = 1)

@@ -11,7 +11,7 @@ from seqloom.plans.registry import query
 from seqloom.session import scratch_path
 from seqloom.sources import message_log
 from seqloom.sources.schemas import raw_table_schema
-from seqloom.streaming import ingest, online, windows
+from seqloom.streaming import buckets, ingest, online, windows
 
 _PLACED = """placed AS (SELECT *, CAST(sec - sec % 60 - 60 * k AS BIGINT) AS window_start FROM log, (SELECT unnest(range(5)) AS k))"""
 
@@ -338,3 +338,17 @@ def stream_online_upsert(t: Tables) -> DataFrame:
     online.start_online_upsert(stream, path, scratch_path(t.spark, "online-checkpoint"), keys, order).awaitTermination()
     rows = online.read_online(t.spark, path, stream.schema, keys, order)
     return rows.select("user_id", "event_type", "value", F.unix_micros("ts").alias("event_us"))
+
+
+@query(
+    """SELECT user_id, event_type, value, epoch_us(ts) AS event_us FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+)
+def stream_bucket_upsert(t: Tables) -> DataFrame:
+    """The newest event per user in hash buckets, kept current by a stream that rewrites the buckets it touches."""
+    root = scratch_path(t.spark, "buckets")
+    checkpoint = scratch_path(t.spark, "buckets-checkpoint")
+    keys, order = ["user_id"], ["ts", "event_id"]
+    buckets.start_upsert(_event_stream(t), root, checkpoint, keys, order, "events", buckets=16).awaitTermination()
+    rows = buckets.read(t.spark, root)
+    return rows.select("user_id", "event_type", "value", F.unix_micros("ts").alias("event_us"))

@@ -11,7 +11,7 @@ from seqloom.plans.bindings import PROFILE_VIEW, SERVICE, Tables
 from seqloom.operators.features import select_service
 from seqloom.plans.registry import as_text, query
 from seqloom.session import scratch_path
-from seqloom.sources import delimited, events, tables
+from seqloom.sources import delimited, events, tables, versions
 
 
 def _lines(df: DataFrame, fields: list[Column], key: str) -> DataFrame:
@@ -341,3 +341,57 @@ def require_rows(t: Tables) -> DataFrame:
             "event_id", "user_id", "movie_id"
         )
     raise AssertionError("an empty table was let through")
+
+
+@query(
+    """SELECT * FROM (
+    SELECT 0::BIGINT AS version, 'overwrite' AS operation, 'event_id,user_id' AS columns, count(*) AS row_count, sum(event_id)::BIGINT AS total
+    FROM events WHERE event_type = 'click'
+    UNION ALL SELECT 1, 'append', 'event_id,user_id', count(*), sum(event_id)::BIGINT FROM events
+    UNION ALL SELECT 2, 'overwrite', 'event_type,user_id,value', count(*), sum(user_id)::BIGINT FROM events
+    UNION ALL SELECT 3, 'append', 'event_type,user_id,value', 2 * count(*), 2 * sum(user_id)::BIGINT FROM events)"""
+)
+def overwrite_read_versions(t: Tables) -> DataFrame:
+    """A table overwritten with its schema and added to; every version is read back, the old ones after the new."""
+    root = scratch_path(t.spark, "versions")
+    narrow, other = t.events.select("event_id", "user_id"), t.events.select("event_type", "user_id", "value")
+    clicks = F.col("event_type") == "click"
+    versions.overwrite(t.events.where(clicks).select(*narrow.columns), root)
+    versions.append(t.events.where(~clicks | F.col("event_type").isNull()).select(*narrow.columns), root)
+    versions.overwrite(other, root)
+    versions.append(other, root)
+    out = None
+    for number in range(4):
+        v = versions.current(t.spark, root, number)
+        rows = versions.read(t.spark, root, number)
+        part = rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("event_id" if number < 2 else "user_id").alias("total")).select(
+            F.lit(number).cast("long").alias("version"),
+            F.lit(v.operation).alias("operation"),
+            F.lit(",".join(rows.columns)).alias("columns"),
+            "row_count",
+            "total",
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, count(*) AS row_count,
+    sum(event_id)::BIGINT AS total, true AS few_files FROM events GROUP BY ALL"""
+)
+def compact_raw_table(t: Tables) -> DataFrame:
+    """The raw table of events after several loads over the same dates, compacted: the same rows, few files of a date."""
+    root, loads = scratch_path(t.spark, "raw"), 4
+    rows = events.add_date_partition(t.events.select("event_id", "user_id", "ts"), "ts")
+    for k in range(loads):
+        versions.append(rows.where(F.pmod(F.col("event_id"), F.lit(loads)) == k), root, ["year", "month", "day"])
+    versions.compact(t.spark, root)
+    dates = ["year", "month", "day"]
+    file = F.col("_metadata.file_path").alias("file")
+    by_file = versions.read(t.spark, root).groupBy(*dates, file, F.col("_metadata.file_size").alias("bytes"))
+    by_file = by_file.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    # two files that are left have more than a whole file's bytes together
+    bound = 1 + 2 * F.sum("bytes") / versions.FILE_BYTES
+    return by_file.groupBy(*dates).agg(
+        F.sum("n").alias("row_count"), F.sum("ids").alias("total"), (F.count(F.lit(1)) <= bound).alias("few_files")
+    )
