@@ -143,6 +143,7 @@ def tidy_session(spark: SparkSession) -> SparkSession:
         if spark.conf.isModifiable(key):
             child.conf.set(key, value)
     child.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    child.conf.set("spark.sql.parquet.compression.codec", "zstd")  # bits in hex take half of what they would
     return child
 
 

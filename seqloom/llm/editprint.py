@@ -355,34 +355,41 @@ def band_keys(packed: np.ndarray, octaves: int, number: int) -> tuple[np.ndarray
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def linked_walks(packed: np.ndarray, roots: np.ndarray, octaves: int, least: float) -> np.ndarray:
-    """Class of each walk (number of its first member) by links below the same root; rows come root by root.
-
-    All pairs of a root are compared but those that links have joined already.
-    """
+def _alike(a: np.ndarray, b: np.ndarray, octaves: int, least: float) -> np.ndarray:
+    """Whether packed walks of so many octaves reach a likeness, row by row."""
     step = [(1 << k) // len(sampled_steps(k)) for k in range(octaves)]
     weight = np.repeat(np.array(step, dtype=np.float64), octave_bytes(octaves))
-    total = float((1 << octaves) - 1)
+    return 1 - 2 * (np.bitwise_count(a ^ b) @ weight) / float((1 << octaves) - 1) >= least
 
-    def near(a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
-        apart = np.bitwise_count(packed[a] ^ packed[b]) @ weight
-        return 1 - 2 * apart / total >= least
 
+def linked_walks(
+    packed: np.ndarray, roots: np.ndarray, octaves: int, least: float, known: np.ndarray | None = None, own: np.ndarray | None = None
+) -> np.ndarray:
+    """Class of each walk (number of a member) by links below the same root; rows come root by root, in it class by class.
+
+    All pairs of a root are compared but those that links, or the classes ``known`` before, have joined already. Rows that
+    are not a part's ``own`` are compared with the own ones alone.
+    """
     n = len(roots)
-    label = np.arange(n)
+    known = np.arange(n) if known is None else known
+    own = np.ones(n, dtype=bool) if own is None else own
     begin = np.flatnonzero(np.concatenate(([True], roots[1:] != roots[:-1])))
     size = np.diff(np.append(begin, n))
-    own = np.repeat(size, size)
+    fresh = np.concatenate(([True], (roots[1:] != roots[:-1]) | (known[1:] != known[:-1])))
+    label = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    of = np.repeat(size, size)
     for d in range(1, min(FEW, int(size.max()))):  # small roots side by side
-        a = np.flatnonzero((roots[:-d] == roots[d:]) & (own[:-d] <= FEW))
+        a = np.flatnonzero((roots[:-d] == roots[d:]) & (of[:-d] <= FEW) & (label[:-d] != label[d:]))
         for part in np.array_split(a, len(a) // 65536 + 1):
-            part = part[near(part, part + d)]
+            part = part[_alike(packed[part], packed[part + d], octaves, least)]
             merge(label, part, part + d)
     for low, s in zip(begin[size > FEW], size[size > FEW], strict=True):
-        for i in range(low, low + s - 1):
-            others = i + 1 + np.flatnonzero(label[i + 1 : low + s] != label[i])
+        for i in (low + np.flatnonzero(own[low : low + s])).tolist():
+            open_ = label[low : low + s] != label[i]
+            open_[: i - low] &= ~own[low:i]  # own rows before this one have met it
+            others = low + np.flatnonzero(open_)
             if len(others):
-                others = others[near(i, others)]
+                others = others[_alike(packed[i], packed[others], octaves, least)]
                 # labels of this root only: merge moves nothing else
                 local = label[low : low + s] - low
                 merge(local, np.full(len(others), i - low), others - low)
@@ -399,11 +406,13 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
 def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     """``rows(doc_id, fingerprint, …)`` with ``class_id``, by bit-sampled banding and verification; ``rows`` is read twice.
 
-    Rows of equal fingerprints are one node. Each walk of a node goes into several bands of sampled bits; all members of a
-    band are compared with each other and linked if the walk's likeness reaches ``least``. A band of more than
-    ``PART_ROWS`` nodes is cut into parts by a hash, and each pair of parts is searched on its own. A task returns a
-    spanning star of each class it finds, never pairs. Banding finds a pair with a likelihood that grows with
-    its likeness; what it links is verified. ``class_id`` is the smallest doc_id that links reach (null if there is none).
+    Rows of equal fingerprints are one node. Each walk of a node goes into several bands of sampled bits. First every member
+    of a band is compared with the band's smallest node, each pair once for all bands that it shares: that takes time in
+    proportion to the members and joins groups of near copies. Then bands with members of more than one class are
+    searched for the other links. Their largest class is dealt to parts of ``PART_ROWS`` nodes by a hash; the members of other
+    classes are sent to each part, and all pairs of different classes are compared. Tasks return stars, never pairs.
+    Banding finds a pair with a likelihood that grows with its likeness; what it links is verified. ``class_id`` is the
+    smallest doc_id that links reach (null if there is none).
 
     Walks are alike above one half only if they have the same number of octaves, so ``least`` has to be above that.
     """
@@ -429,52 +438,82 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
 
     # bands are counted and joined in writes of their own, so that each step's shuffle files can go before the next;
     # only ids move by band, and walks join the members of shared bands alone
+    spark = rows.sparkSession
     banded = walks.mapInArrow(band, "band long, node long")
-    shared, counted = written(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "edit-bands")
+    counts = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("smallest"))
+    shared, counted = written(counts.where("n > 1"), "edit-bands")
     members, placed = written(banded.join(shared, "band"), "edit-members")
-    delete_path(rows.sparkSession, counted)
+    delete_path(spark, counted)
     number = F.floor(F.col("band") / F.lit((3 * BANDS * 64) << BAND_BITS)).cast("int")
-    members = members.withColumn("number", number).join(walks, ["node", "number"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            a, b = (np.array([*batch.column(k).to_pylist(), None], dtype=object)[:-1] for k in (2, 3))
+            size, alike = np.array([len(x) for x in a]), np.zeros(len(u), dtype=bool)
+            for s in np.unique(size).tolist():
+                at = np.flatnonzero(size == s)
+                alike[at] = _alike(_packed(a[at]), _packed(b[at]), _octaves_of()[s], least)
+            yield pa.RecordBatch.from_arrays([pa.array(u[alike]), pa.array(v[alike])], names=["u", "v"])
+
+    pairs = members.where("node <> smallest").select("node", "smallest", number.alias("number")).distinct()
+    pairs = pairs.join(walks.withColumnRenamed("bits", "a"), ["node", "number"])
+    other = walks.select(F.col("node").alias("smallest"), "number", F.col("bits").alias("b"))
+    pairs = pairs.join(other, ["smallest", "number"]).select("node", "smallest", "a", "b")
+    links, found = written(pairs.mapInArrow(compare, "u long, v long"), "edit-links")
+    roots = components(links, "edit-stars")
+    delete_path(spark, found)
+
+    # what is left: members of other classes than the largest of their band
+    classed = members.select("band", "node").join(roots, "node", "left")
+    classed, labelled = written(classed.select("band", "node", F.coalesce("root", "node").alias("class")), "edit-classed")
+    delete_path(spark, placed)
+    sizes = classed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("band").agg(
+        F.max(F.struct("n", "class"))["class"].alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes")
+    )
+    mixed = classed.join(sizes.where("classes > 1"), "band").withColumn("number", number).join(walks, ["node", "number"])
     parts = F.ceil(F.col("n") / PART_ROWS).cast("int")
-    members = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    root = F.xxhash64("band", F.least("part", "other"), F.greatest("part", "other"))
-    members = members.select(root.alias("root"), "node", "bits").repartition("root").sortWithinPartitions("root")
+    mixed = mixed.withColumn("parts", parts).withColumn("at", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    every = F.when(F.col("class") == F.col("main"), F.array("at")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    mixed = mixed.withColumn("part", F.explode(every))
+    mixed = mixed.select(F.xxhash64("band", "part").alias("root"), "class", (F.col("at") == F.col("part")).alias("own"), "bits")
+    mixed = mixed.repartition("root").sortWithinPartitions("root", "class")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         count = 0
 
-        def flush(root: np.ndarray, node: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+        def flush(root: np.ndarray, known: np.ndarray, own: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
             size = np.array([len(b) for b in bits])
-            u, v = [node[:0]], [node[:0]]
+            found = []
             for s in np.unique(size).tolist():
                 at = np.flatnonzero(size == s)
-                own = node[at]
-                to = linked_walks(_packed(bits[at]), root[at], _octaves_of()[s], least)
-                moved = own[to] != own
-                u.append(own[moved])
-                v.append(own[to][moved])
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+                to = linked_walks(_packed(bits[at]), root[at], _octaves_of()[s], least, known[at], own[at])
+                found.append(np.stack((known[at], known[at][to]), 1))
+            u, v = np.unique(np.concatenate(found), axis=0).T
+            return pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], names=["u", "v"])
 
         for batch in batches:
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.array([*batch.column(2).to_pylist(), None], dtype=object)[:-1]))
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
+            held.append((*columns, np.array([*batch.column(3).to_pylist(), None], dtype=object)[:-1]))
             count += batch.num_rows
             if count < HELD:
                 continue
-            root, node, bits = (np.concatenate(c) for c in zip(*held, strict=True))
-            whole = int(np.searchsorted(root, root[-1]))  # the last root may go on in the next batch
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            whole = int(np.searchsorted(columns[0], columns[0][-1]))  # the last root may go on in the next batch
             if whole:
-                yield flush(root[:whole], node[:whole], bits[:whole])
-            held, count = [(root[whole:], node[whole:], bits[whole:])], len(root) - whole
+                yield flush(*(c[:whole] for c in columns))
+            held, count = [tuple(c[whole:] for c in columns)], len(columns[0]) - whole
         if count:
             yield flush(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
-    links, found = written(members.mapInArrow(search, "u long, v long"), "edit-links")
-    delete_path(rows.sparkSession, placed)
-    roots = components(links, "edit-classes").withColumnRenamed("node", "linked")
-    delete_path(rows.sparkSession, found)
-    named = nodes.join(roots, nodes["node"] == roots["linked"], "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    links, found = written(mixed.mapInArrow(search, "u long, v long"), "edit-links")
+    delete_path(spark, labelled)
+    last = components(links, "edit-classes").select(F.col("node").alias("star"), F.col("root").alias("last"))
+    delete_path(spark, found)
+    named = nodes.select("node", "first").join(roots, "node", "left").withColumn("star", F.coalesce("root", "node"))
+    named = named.join(last, "star", "left").select("node", "first", F.coalesce("last", "star").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("class_id"))
     named = named.join(smallest, "root").select("node", "class_id")
     return rows.join(named, "node").drop("node")
