@@ -7,7 +7,7 @@ import functools
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,10 +19,8 @@ from seqloom.llm.common import slices
 from seqloom.session import materialize
 
 CAPACITY = 2048
-#: Pieces packed together. A group wastes half a sequence on average, so larger groups fill better and take longer.
-GROUP = 8192
-#: Accepted or refused steps of the local search in one group; only how full the sequences get depends on it.
-STEPS = 4000
+#: Pieces packed together, and the share of a sequence that may stay free in the first rounds.
+GROUP, LOOSE = 8192, 1 / 16
 END_ID = 0
 END_OF_TEXT = "<|endoftext|>"
 CACHED_WORDS = 200_000
@@ -137,97 +135,150 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, steps: int) -> list[list[int]]:
+def _totals(sizes: np.ndarray) -> np.ndarray:
+    """All lengths that one or two of the items have together, in order."""
+    single, count = np.unique(sizes, return_counts=True)
+    i, j = np.triu_indices(len(single))
+    both = (single[i] + single[j])[(i != j) | (count[i] > 1)]
+    return np.unique(np.concatenate((single, both)))
+
+
+def _given(own: list[int], size: np.ndarray, total: int) -> list[int]:
+    """One item of that length, or else two."""
+    by_size: dict[int, int] = {}
+    for i in own:
+        if size[i] == total:
+            return [i]
+    for i in own:
+        if (j := by_size.get(total - int(size[i]))) is not None:
+            return [i, j]
+        by_size[int(size[i])] = i
+    raise ValueError("no such items")
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Empty the least filled bins by moving items, or by exchanging one or two items for a smaller one of a fuller bin.
 
-    Every accepted step moves length from a bin into one at least as full, so the sum of squared fills grows. Steps are
-    tried on the emptiest bin first until it is empty or nothing fits. The search ends when the bins reach their lower
-    bound, when no bin has a step left, or after ``steps`` tries.
+    Every step moves length from a bin into one at least as full, the most that any step can, so the sum of squared fills grows
+    and the search comes to an end. It goes through the bins from the emptiest on; each gives until it is empty or no
+    step is left. It is over when the bins reach their lower bound or a pass empties none.
+
+    Which exchanges there are is read off two lists of lengths: the totals that the bin can give, and for each length that
+    could come back the largest room beside an item of it.
     """
     size = np.asarray(lengths, dtype=np.int64)
+    holder = np.zeros(len(size), dtype=np.int64)
+    for b, items in enumerate(bins):
+        holder[items] = b
+    free = capacity - np.bincount(holder, weights=size, minlength=len(bins)).astype(np.int64)
     least = math.ceil(int(size.sum()) / capacity)
-    fill = np.array([int(size[b].sum()) for b in bins], dtype=np.int64)
-    open_bins = [int(b) for b in np.argsort(fill, kind="stable") if fill[b] < capacity]
+    open_bins = np.flatnonzero(free > 0)  # a full bin can take nothing, so it keeps what it has
+    members = {int(b): list(bins[b]) for b in open_bins}
+    items = np.array([i for m in members.values() for i in m], dtype=np.int64)
     alive = len(bins)
-    of_bin = {b: list(bins[b]) for b in open_bins}
-    for a in open_bins:
-        if alive <= least or steps <= 0:
-            break
-        while of_bin[a] and steps > 0:
-            steps -= 1
-            others = np.array([b for b in open_bins if b != a and of_bin[b] and fill[b] >= fill[a]], dtype=np.int64)
-            if not len(others):
-                break
-            room = capacity - fill[others]
-            own = sorted(of_bin[a], key=lambda i: -size[i])
-            fits = [(i, np.where(room >= size[i], room, capacity + 1)) for i in own if size[i] <= room.max()]
-            if fits:
-                item, free = fits[0]
-                b = int(others[int(free.argmin())])
-                of_bin[a].remove(item)
-                of_bin[b].append(item)
-                fill[a] -= size[item]
-                fill[b] += size[item]
-                continue
-            items = np.concatenate([of_bin[int(b)] for b in others]).astype(np.int64)
-            holder = np.repeat(others, [len(of_bin[int(b)]) for b in others])
-            space = capacity - fill[holder]
-            by_size = {int(size[i]): i for i in own}
-            singles = [(s, (i,)) for s, i in by_size.items()]
-            pairs = {
-                int(size[i] + size[j]): (i, j) for x, i in enumerate(own[:64]) for j in own[x + 1 : 64]
-            }
-            best = (0, None, 0)
-            for total, given in singles + list(pairs.items()):
-                gain = total - size[items]
-                gain[(gain <= 0) | (gain > space)] = 0
-                k = int(gain.argmax())
-                if gain[k] > best[0]:
-                    best = (int(gain[k]), given, k)
-            if best[1] is None:
+
+    def move(moved: list[int], a: int, b: int) -> None:
+        for i in moved:
+            members[a].remove(i)
+            members[b].append(i)
+            holder[i] = b
+            free[a] += size[i]
+            free[b] -= size[i]
+
+    def step(a: int) -> bool:
+        fits = (free[open_bins] > 0) & (free[open_bins] <= free[a]) & (open_bins != a)
+        others = open_bins[fits]
+        if not len(others):
+            return False
+        room = free[others]
+        movable = [i for i in members[a] if size[i] <= room.max()]
+        if movable:
+            item = max(movable, key=lambda i: size[i])
+            move([item], a, int(others[np.where(room >= size[item], room, capacity + 1).argmin()]))
+            return True
+        usable = np.zeros(len(bins), dtype=np.int64)
+        usable[others] = room
+        beside = usable[holder[items]]
+        most = np.zeros(capacity + 1, dtype=np.int64)
+        np.maximum.at(most, size[items], beside)
+        back = np.flatnonzero(most)
+        totals = _totals(size[members[a]])
+        at = np.searchsorted(totals, back + most[back], "right") - 1
+        gain = np.where(at >= 0, totals[at] - back, 0)
+        k = int(gain.argmax())
+        if gain[k] <= 0:
+            return False
+        given = _given(members[a], size, int(totals[at[k]]))
+        item = int(items[np.flatnonzero((size[items] == back[k]) & (beside >= gain[k]))[0]])
+        b = int(holder[item])
+        move([item], b, a)
+        move(given, a, b)
+        return True
+
+    emptied = True
+    while emptied and alive > least:
+        emptied = False
+        for a in sorted(members, key=lambda b: -free[b]):
+            while alive > least and members[a] and step(a):
+                pass
+            if not members[a]:
+                del members[a]
+                open_bins = open_bins[open_bins != a]
+                alive -= 1
+                emptied = True
+            if alive <= least:
                 break
-            gain, given, k = best
-            b, back = int(holder[k]), int(items[k])
-            for i in given:
-                of_bin[a].remove(i)
-            of_bin[a].append(back)
-            of_bin[b].remove(back)
-            of_bin[b].extend(given)
-            fill[a] -= gain
-            fill[b] += gain
-        if not of_bin[a]:
-            alive -= 1
-    done = [of_bin.get(b, items) for b, items in enumerate(bins)]
-    return [b for b in done if b]
-
-
-def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, steps: int = STEPS) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``: each sequence holds up to ``capacity`` tokens without gaps.
+    return [members.get(b, items) for b, items in enumerate(bins) if b in members or free[b] == 0]
 
-    Pieces are dealt at random (by a hash of their place in the written table) to groups of about ``group`` pieces with
-    the same mix of lengths; each group is packed in one task by best-fit decreasing and then improved. Ties are broken
-    by doc_id, piece and crc, so a rerun over the same table gives the same sequences.
-    """
-    pieces = materialize(pieces, "pieces")
-    n = max(1, math.ceil(pieces.count() / group))
-    place = F.xxhash64(F.input_file_name(), F.monotonically_increasing_id())
-    dealt = pieces.withColumn("pack", F.pmod(place, F.lit(n)))
 
+def _pack_group(turn: int, capacity: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
         lengths = rows["length"].tolist()
-        bins = local_search(best_fit(lengths, capacity), lengths, capacity, steps)
+        bins = local_search(best_fit(lengths, capacity), lengths, capacity)
         sequence, offset = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
+        loose = np.zeros(len(rows), dtype=bool)
         for number, items in enumerate(bins):
             at = 0
             for i in items:
-                sequence[i], offset[i] = (int(key[0]) << 32) + number, at
+                sequence[i], offset[i] = (turn << 58) + (int(key[0]) << 20) + number, at
                 at += lengths[i]
-        return rows.drop(columns="pack").assign(sequence_id=sequence, offset=offset)
+            loose[items] = capacity - at > LOOSE * capacity
+        return rows.drop(columns="pack").assign(sequence_id=sequence, offset=offset, loose=loose)
+
+    return run
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+    """``pieces`` with ``sequence_id`` and ``offset``: each sequence holds up to ``capacity`` tokens without gaps.
 
+    Pieces are dealt at random (by a hash of their place in the written table) to groups of about ``group`` pieces with
+    the same mix of lengths; each group is packed in one task by best-fit decreasing and then improved. Pieces of sequences
+    that are left with room for more than ``LOOSE`` of the capacity go through another round with those of other groups, until
+    one group holds all of them, or half of a round's pieces stay loose because their lengths do not go together. Ties are
+    broken by doc_id, piece and crc, so a rerun over the same table gives the same sequences.
+    """
+    left = materialize(pieces, "pieces")
     kind = dict(pieces.dtypes)["doc_id"]
-    schema = PIECES.replace("doc_id long", f"doc_id {kind}") + ", sequence_id long, offset long"
-    return dealt.groupBy("pack").applyInPandas(run, schema)
+    piece = PIECES.replace("doc_id long", f"doc_id {kind}")
+    done, count = [], left.count()
+    while True:
+        n, turn = max(1, math.ceil(count / group)), len(done)
+        place = F.xxhash64(F.input_file_name(), F.monotonically_increasing_id())
+
+        dealt = left.withColumn("pack", F.pmod(place, F.lit(n))).groupBy("pack")
+        packed = dealt.applyInPandas(_pack_group(turn, capacity), f"{piece}, sequence_id long, offset long, loose boolean")
+        if n == 1:
+            done.append(packed.drop("loose"))
+            break
+        packed = materialize(packed, "packed")
+        loose = packed.where("loose").count()
+        if not loose or loose > count / 2:
+            done.append(packed.drop("loose"))
+            break
+        done.append(packed.where("NOT loose").drop("loose"))
+        left, count = materialize(packed.where("loose").select(*pieces.columns), "pieces"), loose
+    return functools.reduce(DataFrame.unionByName, done)
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -114,13 +115,13 @@ def test_ids_are_those_of_the_vocabulary():
 def test_local_search_empties_bins():
     lengths, capacity = [6, 6, 3, 3, 4, 4, 4], 10
     bins = [[0, 2], [1, 3], [4, 5], [6]]  # 9 9 8 4
-    better = packing.local_search([list(b) for b in bins], lengths, capacity, 100)
+    better = packing.local_search([list(b) for b in bins], lengths, capacity)
     assert sorted(i for b in better for i in b) == list(range(7))
     assert all(sum(lengths[i] for i in b) <= capacity for b in better)
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 700, 3000).tolist()
     start = packing.best_fit(lengths, 1000)
-    end = packing.local_search([list(b) for b in start], lengths, 1000, 2000)
+    end = packing.local_search([list(b) for b in start], lengths, 1000)
     assert len(end) <= len(start)
     assert sorted(i for b in end for i in b) == list(range(3000))
 
@@ -197,3 +198,29 @@ def test_rows_of_one_id_are_mixed_and_kept_apart(spark, sf, tmp_path, stored):
     for r in kept:
         ids = [i for i, t, *_ in rows if t == r.text]
         assert r.doc_id == min((i for i in ids if i is not None), default=None)
+
+
+def test_loose_sequences_of_all_groups_meet_again(spark):
+    """Many small groups end within half a sequence a round of the bound; pieces that cannot go together end too."""
+    rng = random.Random(2)
+    rows = [(i, 0, 0, min(1000, int(rng.lognormvariate(4.5, 1.0)) + 1), i) for i in range(6000)]
+    frame = spark.createDataFrame(rows, packing.PIECES)
+    out = packing.pack(frame, 1000, group=150).collect()
+    assert sorted((r.doc_id, r.length) for r in out) == [(i, n) for i, _, _, n, _ in rows]
+    fills = Counter()
+    for r in out:
+        fills[r.sequence_id] += r.length
+    least = math.ceil(sum(n for *_, n, _ in rows) / 1000)
+    assert max(fills.values()) <= 1000 and len(fills) <= 1.01 * least
+    alike = packing.pack(spark.createDataFrame([(i, 0, 0, 700, i) for i in range(500)], packing.PIECES), 1000, group=60)
+    assert alike.select("sequence_id").distinct().count() == 500
+
+
+def test_like_lengths_are_searched_in_seconds():
+    lengths = np.random.default_rng(1).integers(640, 761, 8192).tolist()
+    start = packing.best_fit(lengths, 2048)
+    began = time.time()
+    end = packing.local_search([list(b) for b in start], lengths, 2048)
+    assert time.time() - began < 10 and len(end) < 0.97 * len(start)
+    assert sorted(i for b in end for i in b) == list(range(8192))
+    assert max(sum(lengths[i] for i in b) for b in end) <= 2048
