@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,8 @@ from seqloom.operators.skew import first_rows_per_key
 BLOCK_BYTES = 128 << 20
 #: Users and items whose products are taken at once.
 _USERS_AT_ONCE, _ITEMS_AT_ONCE = 512, 8_192
+#: Items of the first part, those with the largest norms.
+_FIRST_ITEMS = 256
 SCORE_DIGITS = 6
 
 
@@ -41,7 +44,7 @@ def interaction_counts(history: DataFrame) -> DataFrame:
 
 def user_vectors(pairs: DataFrame, item_vectors: DataFrame) -> DataFrame:
     """Mean of the vectors of a user's items, repeated items counted as often as they occur."""
-    joined = pairs.join(item_vectors.select("item", "vec"), "item")
+    joined = pairs.join(item_vectors.select("item", "vec").where("vec IS NOT NULL"), "item")
     return joined.groupBy("user_id").agg(_mean_vector("vec", F.col("weight").cast("double")).alias("vec"))
 
 
@@ -108,10 +111,9 @@ def _best_of_block(k: int):
         out: list[pd.DataFrame] = []
         if len(users) and len(items):
             items = items.sort_values("item")
-            ids = items["item"].to_numpy()
-            matrix = _stack(items["vec"])
+            catalog = Catalog.of(items["item"].to_numpy(), _stack(items["vec"]))
             for lo in range(0, len(users), _USERS_AT_ONCE):
-                out.append(_best_rows(users.iloc[lo : lo + _USERS_AT_ONCE], ids, matrix, k))
+                out.append(best_rows(users.iloc[lo : lo + _USERS_AT_ONCE], catalog, k))
         if not out:
             return pd.DataFrame({"user_id": [], "item": [], "score": []}).astype(
                 {"user_id": "int64", "item": "int64", "score": "float64"}
@@ -129,37 +131,82 @@ def _stack(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.full(size, np.nan, np.float32) if v is None else np.asarray(v, np.float32) for v in vectors])
 
 
-def _best_rows(users: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> pd.DataFrame:
-    """The best ``k`` unseen items of each user; items are worked through in parts and the best so far are carried on.
-
+@dataclass
+class Catalog:
+    """Items by falling norm, those without a finite vector apart; ``place`` is the place of the item of each rank by id."""
+
+    ids: np.ndarray
+    matrix: np.ndarray
+    norms: np.ndarray
+    without: np.ndarray
+    all_ids: np.ndarray
+    place: np.ndarray
+    products: int = 0
+
+    @classmethod
+    def of(cls, ids: np.ndarray, matrix: np.ndarray) -> Catalog:
+        """``ids`` ascend."""
+        finite = np.isfinite(matrix).all(axis=1)
+        norms = np.zeros(len(ids))
+        for lo in range(0, len(ids), _ITEMS_AT_ONCE):
+            norms[lo : lo + _ITEMS_AT_ONCE] = np.linalg.norm(matrix[lo : lo + _ITEMS_AT_ONCE].astype(np.float64), axis=1)
+        order = np.flatnonzero(finite)
+        order = order[np.argsort(-norms[order], kind="stable")]
+        place = np.full(len(ids), -1)
+        place[order] = np.arange(len(order))
+        return cls(ids[order], matrix[order], norms[order], ids[~finite], ids, place)
+
+
+def best_rows(users: pd.DataFrame, catalog: Catalog, k: int) -> pd.DataFrame:
+    """The best ``k`` unseen items of each user, exactly, without meeting the whole catalog.
+
+    Items are worked through by falling norm, in parts that grow. A product is at most the user's norm times that of the
+    part's first item, so a user whose k-th score so far is above that leaves; the search ends with the last user.
     Seen items are masked by position. A product that is not finite has no score and ranks behind all that have one.
+    ``catalog.products`` counts the products taken.
     """
+    n = len(users)
     vectors = np.stack(users["vec"].to_numpy()).astype(np.float64)
-    seen = [np.zeros(0, np.int64) if s is None else np.searchsorted(ids, np.asarray(s, np.int64)) for s in users["seen"]]
-    # keys ascend: (no item or seen, no score, -score, item)
-    open_, score, item = (np.zeros((len(users), 0), kind) for kind in (bool, np.float64, np.int64))
-    for lo in range(0, len(ids), _ITEMS_AT_ONCE):
-        part = matrix[lo : lo + _ITEMS_AT_ONCE]
-        new = np.round(vectors @ part.T.astype(np.float64), SCORE_DIGITS) + 0.0
-        new[~np.isfinite(new)] = np.nan
-        free = np.ones(new.shape, dtype=bool)
-        for row, s in enumerate(seen):
-            free[row, s[(s >= lo) & (s < lo + len(part))] - lo] = False
-        open_ = np.concatenate([open_, free], axis=1)
-        score = np.concatenate([score, new], axis=1)
-        item = np.concatenate([item, np.broadcast_to(ids[lo : lo + len(part)], new.shape)], axis=1)
-        # kept and new items ascend, so stable sorts break ties by the smaller id; NaN sorts last
-        best = np.argsort(-score, axis=1, kind="stable")
-        best = np.take_along_axis(best, np.argsort(~np.take_along_axis(open_, best, axis=1), axis=1, kind="stable"), 1)
-        best = best[:, :k]
-        open_, score, item = (np.take_along_axis(x, best, axis=1) for x in (open_, score, item))
-    return pd.DataFrame(
-        {
-            "user_id": np.repeat(users["user_id"].to_numpy(), open_.sum(axis=1)),
-            "item": item[open_],
-            "score": score[open_],
-        }
-    )
+    finite = np.isfinite(vectors).all(axis=1)
+    length = np.where(finite, np.linalg.norm(np.where(finite[:, None], vectors, 0.0), axis=1), 0.0)
+    unseen = [np.zeros(0, np.int64) if s is None else np.asarray(s, np.int64) for s in users["seen"]]
+    places = [catalog.place[np.searchsorted(catalog.all_ids, s)] for s in unseen]
+    row, score, item = (np.zeros(0, kind) for kind in (np.int64, np.float64, np.int64))
+    kth = np.full(n, -np.inf)
+    lo, width = 0, _FIRST_ITEMS
+    while lo < len(catalog.ids):
+        # a hair more than the bound: products are rounded, and an equal score with a smaller id would win
+        reach = length * catalog.norms[lo] * (1 + 1e-9) + 10.0**-SCORE_DIGITS
+        active = np.flatnonzero(finite & (kth <= reach))
+        if not len(active):
+            break
+        part = catalog.matrix[lo : lo + width].astype(np.float64)
+        catalog.products += len(active) * len(part)
+        new = np.round(vectors[active] @ part.T, SCORE_DIGITS) + 0.0
+        for r, u in enumerate(active):
+            p = places[u]
+            new[r, p[(p >= lo) & (p < lo + len(part))] - lo] = -np.inf
+        least = kth[active]
+        if len(part) > k:
+            least = np.maximum(least, np.partition(new, len(part) - k, axis=1)[:, len(part) - k])
+        r, c = np.nonzero((new >= least[:, None]) & np.isfinite(new))
+        row, score = np.concatenate((row, active[r])), np.concatenate((score, new[r, c]))
+        item = np.concatenate((item, catalog.ids[lo + c]))
+        order = np.lexsort((item, -score, row))
+        row, score, item = row[order], score[order], item[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = rank < k
+        row, score, item, rank = row[kept], score[kept], item[kept], rank[kept]
+        full = rank == k - 1
+        kth[row[full]] = score[full]
+        lo, width = lo + width, min(2 * width, _ITEMS_AT_ONCE)
+    held = np.bincount(row, minlength=n)
+    for u in np.flatnonzero(held < k):  # what has no score comes last, by id
+        rest = catalog.without if finite[u] else catalog.all_ids
+        rest = rest[~np.isin(rest, unseen[u])][: k - held[u]]
+        row, item = np.append(row, np.full(len(rest), u)), np.append(item, rest)
+        score = np.append(score, np.full(len(rest), np.nan))
+    return pd.DataFrame({"user_id": users["user_id"].to_numpy()[row], "item": item, "score": score})
 
 
 def rows_per_block(size: int, memory: int = BLOCK_BYTES) -> int:
@@ -182,8 +229,8 @@ def top_k_items(
     """Per user the ``k`` best unseen items of the whole catalog, ranked 1..k.
 
     Catalog and users are hashed into blocks that fill ``BLOCK_BYTES`` with vectors of ``size`` numbers; a task multiplies one
-    slice of users with one block of items and returns ``k`` rows per user, so scored pairs never leave the task, nothing
-    is broadcast and the catalog may grow. Users are copied once per block of items and items once per slice of users.
+    slice of users with one block of items, leaving out those that cannot reach a user's k-th score (``best_rows``), and returns
+    ``k`` rows per user, so scored pairs never leave the task, nothing is broadcast and the catalog may grow. Users are copied once per block of items and items once per slice of users.
     Scores are compared after rounding, ties go to the smaller item. An item whose score is not finite is ranked behind
     all others, with a null score. ``pairs`` are the interaction counts of the users; stage them, they are read here and for
     the user vectors. ``n_items`` and ``n_users`` (or upper bounds) only size the blocks.

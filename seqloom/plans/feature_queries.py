@@ -48,9 +48,12 @@ def encode_user_label(t: Tables) -> DataFrame:
     return t.user_rows.select("user_id", _sec(), encode.gender_code(F.col("gender")).alias("gender_idx"))
 
 
-@query("SELECT user_id, age, CAST(dense_rank() OVER (ORDER BY age) - 1 AS INTEGER) AS age_idx FROM users", "users")
+@query(
+    f"""SELECT user_id, {_SEC_SQL}, age, CAST(dense_rank() OVER (ORDER BY age) - 1 AS INTEGER) AS age_idx FROM user_rows""",
+    "user_rows",
+)
 def label_encode(t: Tables) -> DataFrame:
-    return index.label_encode(t.users.select("user_id", "age"), "age", "age_idx")
+    return index.label_encode(t.user_rows.select("user_id", _sec(), "age"), "age", "age_idx")
 
 
 @query(f"SELECT movie_id, {_SEC_SQL}, {', '.join(f'{genre_sql(k)} AS g{k}' for k in range(3))} FROM movie_rows", "movie_rows")

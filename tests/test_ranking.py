@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,48 @@ def test_a_user_without_pairs_draws_from_all_items(spark):
     out = {r.user_id: r for r in sampling.negatives_outside_history(samples, pairs, F.lit(50)).collect()}
     assert len(out[2].candidates) == 100 and not out[2].short
     assert set(out[2].candidates) <= set(range(1, 51))
+
+
+def _plain_best(users, ids, matrix, k):
+    out = []
+    for user, vec, seen in users:
+        with np.errstate(invalid="ignore"):
+            scores = np.round(matrix.astype(np.float64) @ np.asarray(vec, np.float64), recommend.SCORE_DIGITS) + 0.0
+        rows = [(not np.isfinite(s), -s if np.isfinite(s) else 0.0, i) for i, s in zip(ids, scores, strict=True) if i not in seen]
+        out += [(user, i, None if bad else -s) for bad, s, i in sorted(rows)[:k]]
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 10, 400])
+def test_best_rows_are_exact(k):
+    rng = np.random.default_rng(k)
+    ids = np.sort(rng.choice(5000, 900, replace=False))
+    matrix = rng.normal(size=(900, 6)).astype(np.float32) * rng.lognormal(0, 1.5, (900, 1)).astype(np.float32)
+    matrix[100:160] = matrix[100]  # equal scores
+    matrix[3], matrix[500, 2] = np.nan, np.inf
+    users = []
+    for u in range(40):
+        vec = rng.normal(size=6) if u else np.zeros(6)
+        vec = np.full(6, np.nan) if u == 7 else vec
+        users.append((u, vec, set(rng.choice(ids, int(rng.choice([0, 5, 895])), replace=False).tolist())))
+    frame = pd.DataFrame({"user_id": [u for u, *_ in users], "vec": [v for _, v, _ in users], "seen": [sorted(s) or None for *_, s in users]})
+    found = recommend.best_rows(frame, recommend.Catalog.of(ids, matrix), k)
+    got = [(u, i, None if np.isnan(s) else s) for u, i, s in found.itertuples(index=False)]
+    want = _plain_best(users, ids, matrix, k)
+    assert len(got) == len(want)
+    order = {(u, i): n for n, (u, i, _) in enumerate(want)}
+    got.sort(key=lambda r: order[r[:2]])
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert all((a[2] is None) == (b[2] is None) and (a[2] is None or abs(a[2] - b[2]) < 1e-5) for a, b in zip(got, want, strict=True))
+
+
+def test_skewed_norms_take_less_than_half_of_the_products():
+    rng = np.random.default_rng(3)
+    n, users = 20_000, 300
+    matrix = (rng.normal(size=(n, 32)) * rng.lognormal(0, 1.0, (n, 1))).astype(np.float32)
+    frame = pd.DataFrame({"user_id": range(users), "vec": list(rng.normal(size=(users, 32))), "seen": [None] * users})
+    catalog = recommend.Catalog.of(np.arange(n), matrix)
+    found = recommend.best_rows(frame, catalog, 10)
+    assert len(found) == 10 * users and catalog.products < 0.5 * n * users
+    flat = recommend.Catalog.of(np.arange(n), matrix / np.linalg.norm(matrix, axis=1, keepdims=True))
+    assert len(recommend.best_rows(frame, flat, 10)) == 10 * users and flat.products <= n * users
