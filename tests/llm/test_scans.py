@@ -172,23 +172,69 @@ def test_notices_beyond_the_base(spark):
 
 
 def test_rarest_words_are_looked_up():
-    t = licences.TEMPLATES[0]
-    found = licences.anchors(t, 100, {"under": 90, "the": 99, "mit": 2, "license": 5}, most=2)
-    assert [(w, i) for w, i, _ in found] == [("mit", 2), ("license", 3)]
+    index = licences.postings(licences.TEMPLATES)
+    number = next(i for i, t in enumerate(licences.TEMPLATES) if t.label == "mpl-2")
+    own = {(w, p["place"], p["turn"]) for w, ps in index.items() for p in ps if p["t"] == number}
+    idf = licences.word_idf(licences.TEMPLATES)
+    assert {w for w, _, turn in own if turn == 0} == {"mozilla"} and len(own) == 2
+    assert idf["mozilla"] == max(idf.values()) and idf["license"] < idf["mozilla"]
 
 
 def expected_notices(text):
-    w, found = words(text), []
+    raw, found = words(text), []
+    same = [licences.SPELLINGS.get(w, w) for w in raw]
     for t in licences.TEMPLATES:
-        size, key = len(t.words), t.key.split()
-        for s in range(len(w) - size + 1):
-            share = sum(a == b for a, b in zip(w[s : s + size], t.words, strict=True)) / size
-            phrase = w[s + t.key_at : s + t.key_at + len(key)] == key
-            if phrase and share >= (1 if t.base else licences.LEAST_SHARE) - 1e-9:
-                found.append((s, t.label, t.base, round(share, 9)))
+        key = t.key.split()
+        for at in range(len(raw) - len(key) + 1):
+            if (raw if t.base else same)[at : at + len(key)] == key:
+                s = at - t.key_at
+                near = [w in same[max(0, s + q - licences.SHIFT) : max(0, s + q + licences.SHIFT + 1)] for q, w in enumerate(t.words)]
+                share = 1.0 if t.base else sum(near) / len(t.words)
+                if share >= licences.LEAST_SHARE - 1e-9:
+                    found.append((max(0, s), t.label, t.base, round(share, 9)))
     return sorted(found)
 
 
+def got_notices(spark, texts):
+    found = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    rows = {r.doc_id: sorted((n.start, n.label, n.base, round(n.share, 9)) for n in r.notices) for r in found}
+    return [rows[i] for i in range(len(texts))]
+
+
+def test_whole_notices_altered_in_any_way(spark):
+    """Words outside the key phrase altered, left out or put in, other spellings, notices cut at their start."""
+    rng = random.Random(4)
+    texts = []
+    for label, (key, text) in licences.NOTICES.items():
+        template = next(t for t in licences.TEMPLATES if t.label == label and t.key == key)
+        for _ in range(6):
+            w, at = list(template.words), template.key_at
+            free = [i for i in range(len(w)) if not at <= i < at + len(key.split())]
+            for i in sorted(rng.sample(free, max(1, len(free) // 12)), reverse=True):
+                w[i : i + 1] = rng.choice([["zzz"], [], [w[i], "zzz"]])
+            texts.append("Copyright someone. " + " ".join(w) + " end")
+        texts += [text, text.replace("icense", "icence"), " ".join(template.words[at:]), text.replace("the", "no"), key]
+    want = [expected_notices(t) for t in texts]
+    assert got_notices(spark, texts) == want
+    labels = [{n[1] for n in w} for w in want]
+    per = len(texts) // len(licences.NOTICES)
+    for k, label in enumerate(licences.NOTICES):
+        assert all(label in found for found in labels[k * per : k * per + 8])
+
+
+def test_many_notices_in_one_text(spark):
+    def took(n):
+        text = " ".join(["Released under the MIT license, or Licensed under the GNU General Public License, version 3."] * n)
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        row = licences.digest(licences.scan(frame)).first()
+        assert (row.n_base, row.labels) == (n, "gpl-3,mit")
+        return time.time() - began
+
+    took(10)
+    assert took(10_000) < 30
+
+
 def test_notices_do_not_depend_on_the_corpus(spark):
     # every template with each of its words altered, and with a word put in at each place, without any other rows
     changed = [t.words[:i] + ["zzz"] + t.words[i + k :] for t in licences.TEMPLATES for i in range(len(t.words)) for k in (0, 1)]
