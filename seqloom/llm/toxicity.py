@@ -18,7 +18,7 @@ from seqloom.llm.common import labelled_sample, map_texts, slices
 TRAIN_DOCS, FEATURES = 12_000, 6_000
 #: Documents that must have a feature before it counts, and a document's score from which it is toxic.
 LEAST_DOCS, THRESHOLD = 3, 0.5
-#: G statistic from which a feature counts; chance alone passes it once in about 3000 features.
+#: G statistic from which a feature counts; chance alone passes it about once in 3000 features (chi-square of one degree).
 LEAST_G = 13.0
 SEED = 101
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
@@ -71,7 +71,7 @@ def _informative(sample: DataFrame, limit: int) -> list[str]:
     both = F.col("a") + F.col("c")
     rest_a, rest_c = F.lit(pos) - F.col("a"), F.lit(neg) - F.col("c")
     share, left = pos / (pos + neg), F.lit(pos + neg) - both
-    g = (
+    g = 2 * (
         part(F.col("a"), both * share)
         + part(F.col("c"), both * (1 - share))
         + part(rest_a, left * share)

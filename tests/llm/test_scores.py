@@ -123,3 +123,15 @@ def test_folds_and_draws(spark):
     rows = spark.range(200).select("id", held_out("id", 5, 0).alias("h"), unit_draw(F.lit(1), F.col("id")).alias("u")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
     assert all(0 <= r.u < 1 for r in rows)
+
+
+def test_toxicity_query_on_held_out_rows(spark):
+    """The registered query: its columns, its folds, and labels that it has not learnt from."""
+    sf = "/root/testdata/sf0.01"
+    found = {r.doc_id: r for r in queries.op1_toxicity(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert len(found) == docs and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found.values())
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in found.items())
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    judged = [(labels[i], r.predicted) for i, r in found.items() if r.held_out and labels.get(i) is not None]
+    assert sum(a == b for a, b in judged) >= 0.95 * len(judged)
