@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.functions.hashing import seeded_hash
 from seqloom.operators.clean import STAGED_COLUMNS
 
 
@@ -55,6 +56,57 @@ def difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
 
 
+#: Buckets that two tables are compared in.
+COMPARE_BUCKETS = 4096
+
+
+def _summaries(df: DataFrame, columns: list[str], keys: list[str], buckets: int) -> DataFrame:
+    """Per bucket of keys the number of rows, and sums and exclusive or of the halves of two hashes of whole rows."""
+    row = df.select(
+        F.pmod(seeded_hash(0, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), F.lit(buckets)).alias("bucket"),
+        F.xxhash64(*columns).alias("_a"),
+        # another order of the columns gives another hash
+        F.xxhash64(F.lit(1), *reversed(columns)).alias("_b"),
+    )
+    halves = [F.shiftright(c, k).bitwiseAND(0xFFFFFFFF) for c in ("_a", "_b") for k in (0, 32)]
+    marks = [F.sum(h) for h in halves] + [F.bit_xor(c) for c in ("_a", "_b")]
+    return row.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.struct(*marks).alias("mark"))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, keys: list[str], buckets: int = COMPARE_BUCKETS) -> DataFrame:
+    """``(bucket, left_rows, right_rows)`` where the rows of two tables are not the same multiset, whatever their order.
+
+    Each table is read once; what is shuffled is one row per bucket and task. Buckets are a seeded hash of ``keys``, so a row
+    that was changed outside its keys differs in one bucket. Two different sets of rows pass as equal only if all their
+    128 bits of sums and as many of exclusive ors agree.
+    """
+    columns = sorted(left.columns)
+    if columns != sorted(right.columns):
+        raise ValueError(f"columns {columns} against {sorted(right.columns)}")
+    a, b = (_summaries(df, columns, keys, buckets) for df in (left, right))
+    joined = a.join(b.select("bucket", F.col("rows").alias("_rows"), F.col("mark").alias("_mark")), "bucket", "full_outer")
+    return joined.where(~F.col("mark").eqNullSafe(F.col("_mark"))).select(
+        "bucket", F.coalesce("rows", F.lit(0)).alias("left_rows"), F.coalesce("_rows", F.lit(0)).alias("right_rows")
+    )
+
+
+def table_difference(left: DataFrame, right: DataFrame, keys: list[str], buckets: int = COMPARE_BUCKETS) -> DataFrame:
+    """Rows that only one of two tables has, with ``bucket`` and ``side``; only rows of differing buckets are shuffled.
+
+    Of rows that repeat, as many are listed as one side has more. Equal tables are not shuffled at all.
+    """
+    # as many numbers as there are buckets at most
+    found = [r["bucket"] for r in differing_buckets(left, right, keys, buckets).collect()]
+    number = F.pmod(seeded_hash(0, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), F.lit(buckets))
+    if not found:
+        return left.limit(0).select(number.alias("bucket"), "*", F.lit("left").alias("side"))
+
+    def among(df: DataFrame) -> DataFrame:
+        return df.select(number.alias("bucket"), *sorted(left.columns)).where(F.col("bucket").isin(found))
+
+    return difference(among(left), among(right))
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """``df`` itself, or an error when it has no row."""
     if df.isEmpty():

@@ -64,6 +64,28 @@ def latency_percentiles_5m(t: Tables) -> DataFrame:
     return rows.select("window_start", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")])
 
 
+_WITHIN = ", ".join(f"true AS p{round(q * 100)}_within" for q in monitor.QUANTILES)
+
+
+def _sketch_errors(t: Tables, sketched: DataFrame) -> DataFrame:
+    """Whether the exact ranks of sketched percentiles are within three times the error that 99 of 100 keep."""
+    minute = monitor.pane_start(F.col("ts"))
+    placed = t.log.select(F.explode(F.sequence(minute - 240, minute, F.lit(60))).alias("window_start"), "latency")
+    judged, error = [], 3 * monitor.sketch_rank_error()
+    for q in monitor.QUANTILES:
+        name = f"p{round(q * 100)}"
+        below = F.count_if(F.col("latency") < F.col(name)) / F.col("n")
+        upto = F.count_if(F.col("latency") <= F.col(name)) / F.col("n")
+        judged.append(((below <= q + error) & (upto >= q - error)).alias(f"{name}_within"))
+    return placed.join(sketched, "window_start").groupBy("window_start", "n").agg(*judged)
+
+
+@query(f"WITH {_PLACED} SELECT window_start, count(latency) AS n, {_WITHIN} FROM placed GROUP BY window_start HAVING count(latency) > 0", "log")
+def latency_sketch_5m(t: Tables) -> DataFrame:
+    """Percentiles from mergeable sketches of minutes, judged by their exact ranks."""
+    return _sketch_errors(t, monitor.latency_sketch_5m(t.log))
+
+
 def _bucket_quantile(q: float) -> str:
     bounds = monitor.LATENCY_BOUNDS
     cases = []

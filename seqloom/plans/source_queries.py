@@ -395,3 +395,41 @@ def compact_raw_table(t: Tables) -> DataFrame:
     return by_file.groupBy(*dates).agg(
         F.sum("n").alias("row_count"), F.sum("ids").alias("total"), (F.count(F.lit(1)) <= bound).alias("few_files")
     )
+
+
+_CHANGED_SQL = """a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
+    b AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 997 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM a WHERE o_orderkey % 1009 <> 2 UNION ALL SELECT * FROM a WHERE o_orderkey % 1013 = 3)"""
+
+
+def _changed_orders(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Orders, and orders with some prices changed, some rows left out and some repeated."""
+    a = t.read("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    price = F.when(key % 997 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    b = a.where(key % 1009 != 2).withColumn("o_totalprice", price)
+    return a, b.unionByName(a.where(key % 1013 == 3)).repartition(5)
+
+
+@query(
+    f"""WITH {_CHANGED_SQL} SELECT CASE WHEN d.side = 0 THEN 'left' ELSE 'right' END AS side, o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+    ('0x' || substr(md5('0:' || o_orderkey), 1, 8))::BIGINT % 64 AS bucket
+    FROM (SELECT 0 AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+        UNION ALL SELECT 1, * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) d"""
+)
+def table_difference(t: Tables) -> DataFrame:
+    """Changed, lost and doubled orders, found by comparing fingerprints of buckets first."""
+    a, b = _changed_orders(t)
+    return contract.table_difference(a, b, ["o_orderkey"], buckets=64)
+
+
+@query(
+    f"""WITH {_CHANGED_SQL}, l AS (SELECT ('0x' || substr(md5('0:' || o_orderkey), 1, 8))::BIGINT % 512 AS bucket, * FROM a),
+    r AS (SELECT ('0x' || substr(md5('0:' || o_orderkey), 1, 8))::BIGINT % 512 AS bucket, * FROM b),
+    d AS (SELECT bucket FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) UNION SELECT bucket FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l))
+    SELECT bucket, (SELECT count(*) FROM l WHERE l.bucket = d.bucket) AS left_rows,
+    (SELECT count(*) FROM r WHERE r.bucket = d.bucket) AS right_rows FROM d"""
+)
+def differing_buckets(t: Tables) -> DataFrame:
+    a, b = _changed_orders(t)
+    return contract.differing_buckets(a, b, ["o_orderkey"], buckets=512)

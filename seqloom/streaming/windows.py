@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from seqloom.functions.encode import rating_bucket
+from seqloom.operators.monitor import SKETCH_SIZE
 
 
 def windowed(
@@ -93,3 +94,13 @@ def start_append(windows: DataFrame, path: str, checkpoint: str, *, trigger: dic
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def latency_pane_sketches(log: DataFrame, *, late: str = "10 minutes", size: int = SKETCH_SIZE) -> DataFrame:
+    """``(pane, sketch)`` of closed minutes: the state is one sketch per open minute, however many windows a minute is in.
+
+    ``monitor.latency_from_panes`` makes sliding windows of what the stream has written.
+    """
+    known = log.where("latency IS NOT NULL").withWatermark("ts", late)
+    sketch = F.kll_sketch_agg_double(F.col("latency").cast("double"), F.lit(size)).alias("sketch")
+    return known.groupBy(F.window("ts", "1 minute")).agg(sketch).select(F.unix_seconds("window.start").alias("pane"), "sketch")

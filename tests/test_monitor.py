@@ -1,5 +1,6 @@
 """Window aggregates against direct counting."""
 
+import bisect
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqloom.operators import monitor
+from seqloom.streaming import windows as stream_windows
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +76,33 @@ def test_batches_gauges_throughput(log, raw):
     last = monitor.latest_gauge(log, "latency", "user_id", ["ts", "event_id"])
     want = {u: max((r for r in raw if r[2] == u), key=lambda r: (r[1], r[0]))[3] for u in {r[2] for r in raw}}
     assert {r.user_id: r.last_value for r in last.collect()} == want
+
+
+def test_latency_sketches_keep_their_bound(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(t, rng.choice([rng.lognormvariate(3, 2), 5.0, None])) for t in (rng.randrange(0, 1200) for _ in range(30_000))]
+    log = spark.createDataFrame(rows, "sec long, latency double").withColumn("ts", F.timestamp_seconds("sec"))
+
+    def check(found, error):
+        for r in found:
+            values = sorted(v for t, v in rows if v is not None and r.window_start <= t < r.window_start + 300)
+            assert r.n == len(values)
+            for q, p in ((0.5, r.p50), (0.95, r.p95), (0.99, r.p99)):
+                assert bisect.bisect_left(values, p) / r.n <= q + error and bisect.bisect_right(values, p) / r.n >= q - error
+
+    found = monitor.latency_sketch_5m(log).collect()
+    assert len(found) == 24
+    check(found, 3 * monitor.sketch_rank_error())
+    small = monitor.latency_sketch_5m(log, size=64).collect()
+    check(small, 3 * monitor.sketch_rank_error(64))
+    # the stream writes one sketch a minute; a pane that came in two parts counts as a whole
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    log.drop("ts").unionByName(spark.createDataFrame([(9000, 1.0)], "sec long, latency double")).write.parquet(source)
+    stream = spark.readStream.schema("sec long, latency double").parquet(source).withColumn("ts", F.timestamp_seconds("sec"))
+    stream_windows.start_append(stream_windows.latency_pane_sketches(stream), out, str(tmp_path / "check")).awaitTermination()
+    panes = spark.read.parquet(out)
+    assert panes.count() == 20
+    check(monitor.latency_from_panes(panes).collect(), 3 * monitor.sketch_rank_error())
+    halves = monitor.latency_panes(log.where("sec % 2 = 0")).unionByName(monitor.latency_panes(log.where("sec % 2 = 1")))
+    check(monitor.latency_from_panes(halves).collect(), 3 * monitor.sketch_rank_error())
+    assert monitor.latency_sketch_5m(log.limit(0)).count() == 0
