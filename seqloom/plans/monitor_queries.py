@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators import monitor
-from seqloom.plans.bindings import Tables
+from seqloom.plans.bindings import VIEW_VALUE, Tables
 from seqloom.plans.registry import query
 from seqloom.session import scratch_path
 from seqloom.sources import message_log
 from seqloom.sources.schemas import raw_table_schema
-from seqloom.streaming import buckets, ingest, online, windows
+from seqloom.streaming import buckets, ingest, online, stateful, windows
 
 _PLACED = """placed AS (SELECT *, CAST(sec - sec % 60 - 60 * k AS BIGINT) AS window_start FROM log, (SELECT unnest(range(5)) AS k))"""
 
@@ -374,3 +374,41 @@ def stream_bucket_upsert(t: Tables) -> DataFrame:
     buckets.start_upsert(_event_stream(t), root, checkpoint, keys, order, "events", buckets=16).awaitTermination()
     rows = buckets.read(t.spark, root)
     return rows.select("user_id", "event_type", "value", F.unix_micros("ts").alias("event_us"))
+
+
+def _written(t: Tables, rows: DataFrame, label: str) -> DataFrame:
+    """What a stream with timers writes until its watermark has passed all it can."""
+    out = scratch_path(t.spark, label)
+    with stateful.rocksdb(t.spark):
+        windows.start_append(rows, out, scratch_path(t.spark, f"{label}-checkpoint")).awaitTermination()
+    return t.spark.read.schema(rows.schema).parquet(out)
+
+
+@query(
+    """WITH pair AS (SELECT * FROM events WHERE event_type IN ('purchase', 'view'))
+    SELECT e.event_id, e.user_id, CASE WHEN f.ts >= e.ts - INTERVAL 3 DAY THEN f.value END AS seen__value
+    FROM (SELECT * FROM pair WHERE event_type = 'purchase') e
+    ASOF LEFT JOIN (SELECT * FROM pair WHERE event_type = 'view') f ON e.user_id = f.user_id AND e.ts >= f.ts
+    WHERE epoch_us(e.ts) // 1000 + 1 <= (SELECT epoch_us(max(ts)) // 1000 - 600000 FROM pair)"""
+)
+def stream_pit_join(t: Tables) -> DataFrame:
+    """Purchases with the newest view at or before them, joined on a stream: all that the watermark has passed."""
+    events = _event_stream(t).select("event_id", "user_id", "ts", "value", "event_type")
+    purchases = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    joined = stateful.point_in_time_stream(purchases, "user_id", "ts", events.where("event_type = 'view'"), VIEW_VALUE)
+    return _written(t, joined, "stream-pit").select("event_id", "user_id", "seen__value")
+
+
+@query(
+    """WITH last AS (SELECT user_id AS label, arg_max(latency, (ts, event_id)) AS last_value, epoch_us(max(ts)) AS last_us FROM log GROUP BY user_id)
+    SELECT label, last_us, last_value,
+    (last_us + 259200000000) // 1000 + 1 <= (SELECT epoch_us(max(ts)) // 1000 - 600000 FROM log) AS stale FROM last""",
+    "log",
+)
+def stream_latest_gauge(t: Tables) -> DataFrame:
+    """The last value of every user's gauge on a stream, and whether it is three days behind the watermark."""
+    log = _event_stream(t).select("event_id", "ts", "user_id", F.col("value").alias("latency"))
+    changes = stateful.latest_gauge_stream(log, "latency", "user_id", "event_id", stale_after=3 * 86400)
+    rows = _written(t, changes, "stream-gauge")
+    last = rows.groupBy("label").agg(F.max(F.struct("last_us", "stale", "last_value")).alias("l"))
+    return last.select("label", "l.last_us", "l.last_value", "l.stale")
