@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -355,6 +356,24 @@ def band_keys(packed: np.ndarray, octaves: int, number: int) -> tuple[np.ndarray
     return np.concatenate(keys), np.concatenate(rows)
 
 
+def sketches(packed: np.ndarray, octaves: int, number: int) -> np.ndarray:
+    """64 bits of each walk, drawn like its likeness weighs them, to tell chance meetings in a band from near texts."""
+    sizes = [len(sampled_steps(k)) for k in range(octaves)]
+    first = np.concatenate(([0], np.cumsum(octave_bytes(octaves)) * 8))[:-1]
+    at = np.repeat(first, sizes) + np.concatenate([np.arange(d) for d in sizes])
+    chance = np.repeat([(1 << k) / d for k, d in enumerate(sizes)], sizes)
+    drawn = np.random.default_rng((SEED, number, octaves, 9)).choice(at, min(64, len(at)), replace=False, p=chance / chance.sum())
+    bits = np.zeros((len(packed), 64), dtype=np.uint8)
+    bits[:, : len(drawn)] = np.unpackbits(packed, axis=1)[:, drawn]
+    return np.packbits(bits, axis=1).view("<i8")[:, 0]
+
+
+def sketch_distance(least: float) -> int:
+    """Bits in which the sketches of two walks of that likeness differ at most, but for one pair in a million or fewer."""
+    p = (1 - least) / 2
+    return math.ceil(64 * p + 5.5 * math.sqrt(64 * p * (1 - p)))
+
+
 def _alike(a: np.ndarray, b: np.ndarray, octaves: int, least: float) -> np.ndarray:
     """Whether packed walks of so many octaves reach a likeness, row by row."""
     step = [(1 << k) // len(sampled_steps(k)) for k in range(octaves)]
@@ -407,8 +426,9 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     """``rows(doc_id, fingerprint, …)`` with ``class_id``, by bit-sampled banding and verification; ``rows`` is read twice.
 
     Rows of equal fingerprints are one node. Each walk of a node goes into several bands of sampled bits. First every member
-    of a band is compared with the band's smallest node, each pair once for all bands that it shares: that takes time in
-    proportion to the members and joins groups of near copies. Then bands with members of more than one class are
+    of a band is compared with the band's smallest node, by a sketch of 64 sampled bits and, if that is near, by the whole
+    walks, each pair once for all bands that it shares: that takes time in proportion to the members and joins groups of
+    near copies. Then bands of three members and more with more than one class are
     searched for the other links. Their largest class is dealt to parts of ``PART_ROWS`` nodes by a hash; the members of other
     classes are sent to each part, and all pairs of different classes are compared. Tasks return stars, never pairs.
     Banding finds a pair with a likelihood that grows with its likeness; what it links is verified. ``class_id`` is the
@@ -433,16 +453,23 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
             size = np.array([len(b) for b in bits])
             for k, s in sorted(set(zip(number.tolist(), size.tolist(), strict=True))):
                 at = np.flatnonzero((number == k) & (size == s))
-                keys, row = band_keys(_packed(bits[at]), _octaves_of()[s], k)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node[at][row])], names=["band", "node"])
+                packed, octaves = _packed(bits[at]), _octaves_of()[s]
+                keys, row = band_keys(packed, octaves, k)
+                columns = [pa.array(keys), pa.array(node[at][row]), pa.array(sketches(packed, octaves, k)[row])]
+                yield pa.RecordBatch.from_arrays(columns, names=["band", "node", "sketch"])
 
     # bands are counted and joined in writes of their own, so that each step's shuffle files can go before the next;
     # only ids move by band, and walks join the members of shared bands alone
     spark = rows.sparkSession
-    banded = walks.mapInArrow(band, "band long, node long")
-    counts = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("smallest"))
+    banded = walks.mapInArrow(band, "band long, node long, sketch long")
+    counts = banded.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("smallest"), F.min_by("sketch", "node").alias("other")
+    )
     shared, counted = written(counts.where("n > 1"), "edit-bands")
-    members, placed = written(banded.join(shared, "band"), "edit-members")
+    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("other"))) <= sketch_distance(least)
+    met = banded.join(shared, "band").withColumn("near", near & (F.col("node") != F.col("smallest")))
+    # two members of a band have met when both are compared
+    members, placed = written(met.where("near OR n > 2").drop("sketch", "other"), "edit-members")
     delete_path(spark, counted)
     number = F.floor(F.col("band") / F.lit((3 * BANDS * 64) << BAND_BITS)).cast("int")
 
@@ -456,7 +483,7 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
                 alike[at] = _alike(_packed(a[at]), _packed(b[at]), _octaves_of()[s], least)
             yield pa.RecordBatch.from_arrays([pa.array(u[alike]), pa.array(v[alike])], names=["u", "v"])
 
-    pairs = members.where("node <> smallest").select("node", "smallest", number.alias("number")).distinct()
+    pairs = members.where("near").select("node", "smallest", number.alias("number")).distinct()
     pairs = pairs.join(walks.withColumnRenamed("bits", "a"), ["node", "number"])
     other = walks.select(F.col("node").alias("smallest"), "number", F.col("bits").alias("b"))
     pairs = pairs.join(other, ["smallest", "number"]).select("node", "smallest", "a", "b")
@@ -465,7 +492,7 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     delete_path(spark, found)
 
     # what is left: members of other classes than the largest of their band
-    classed = members.select("band", "node").join(roots, "node", "left")
+    classed = members.where("n > 2").select("band", "node").join(roots, "node", "left")
     classed, labelled = written(classed.select("band", "node", F.coalesce("root", "node").alias("class")), "edit-classed")
     delete_path(spark, placed)
     sizes = classed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"))
