@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import components, map_texts, written
@@ -31,6 +31,8 @@ BAND_BITS, BANDS = 20, 16
 #: Nodes of a band in one task (a fuller band is split into pairs of such parts), of a band compared side by side with
 #: others, and rows searched at once.
 PART_ROWS, FEW, HELD = 1024, 16, 65_536
+#: Members of a band up to which all pairs of sketches are compared.
+SMALL = 16
 LIKENESS = 0.8
 
 
@@ -428,8 +430,8 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     Rows of equal fingerprints are one node. Each walk of a node goes into several bands of sampled bits. First every member
     of a band is compared with the band's smallest node, by a sketch of 64 sampled bits and, if that is near, by the whole
     walks, each pair once for all bands that it shares: that takes time in proportion to the members and joins groups of
-    near copies. Then bands of three members and more with more than one class are
-    searched for the other links. Their largest class is dealt to parts of ``PART_ROWS`` nodes by a hash; the members of other
+    near copies. A band of up to ``SMALL`` members compares all pairs in this way. Then larger bands with members of more than
+    one class are searched for the other links. Their largest class is dealt to parts of ``PART_ROWS`` nodes by a hash; the members of other
     classes are sent to each part, and all pairs of different classes are compared. Tasks return stars, never pairs.
     Banding finds a pair with a likelihood that grows with its likeness; what it links is verified. ``class_id`` is the
     smallest doc_id that links reach (null if there is none).
@@ -469,7 +471,7 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("other"))) <= sketch_distance(least)
     met = banded.join(shared, "band").withColumn("near", near & (F.col("node") != F.col("smallest")))
     # two members of a band have met when both are compared
-    members, placed = written(met.where("near OR n > 2").drop("sketch", "other"), "edit-members")
+    members, placed = written(met.where("near OR n > 2").drop("other"), "edit-members")
     delete_path(spark, counted)
     number = F.floor(F.col("band") / F.lit((3 * BANDS * 64) << BAND_BITS)).cast("int")
 
@@ -483,7 +485,18 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
                 alike[at] = _alike(_packed(a[at]), _packed(b[at]), _octaves_of()[s], least)
             yield pa.RecordBatch.from_arrays([pa.array(u[alike]), pa.array(v[alike])], names=["u", "v"])
 
-    pairs = members.where("near").select("node", "smallest", number.alias("number")).distinct()
+    # all pairs of a small band whose sketches are near; a list has SMALL entries at most
+    small = members.where(F.col("n").between(3, SMALL)).groupBy("band")
+    small = small.agg(F.array_sort(F.collect_list(F.struct("node", "sketch"))).alias("m"))
+
+    def near_ones(a: Column, i: Column) -> Column:
+        later = F.slice("m", i + 2, SMALL)
+        later = F.filter(later, lambda b: F.bit_count(a["sketch"].bitwiseXOR(b["sketch"])) <= sketch_distance(least))
+        return F.transform(later, lambda b: F.struct(b["node"].alias("node"), a["node"].alias("smallest")))
+
+    small = small.select(number.alias("number"), F.inline(F.flatten(F.transform("m", near_ones))))
+    pairs = members.where(F.col("near") & ~F.col("n").between(3, SMALL)).select("node", "smallest", number.alias("number"))
+    pairs = pairs.unionByName(small).distinct()
     pairs = pairs.join(walks.withColumnRenamed("bits", "a"), ["node", "number"])
     other = walks.select(F.col("node").alias("smallest"), "number", F.col("bits").alias("b"))
     pairs = pairs.join(other, ["smallest", "number"]).select("node", "smallest", "a", "b")
@@ -492,7 +505,7 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     delete_path(spark, found)
 
     # what is left: members of other classes than the largest of their band
-    classed = members.where("n > 2").select("band", "node").join(roots, "node", "left")
+    classed = members.where(F.col("n") > SMALL).select("band", "node").join(roots, "node", "left")
     classed, labelled = written(classed.select("band", "node", F.coalesce("root", "node").alias("class")), "edit-classed")
     delete_path(spark, placed)
     sizes = classed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"))
