@@ -276,3 +276,29 @@ def test_edit_recall(spark, documents, kind):
     rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, edit(t)) for i, t in enumerate(texts)]
     got = {r.doc_id: r.class_id for r in editprint.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(got[2 * i] == got[2 * i + 1] for i in range(len(texts))) >= 0.9 * len(texts)
+
+
+def test_sketches_screen_only_texts_that_are_not_alike(documents):
+    rng = random.Random(8)
+    texts = [r.text for r in documents.collect() if r.text and len(r.text) >= 200][:80]
+    changed = []
+    for t in texts:
+        out = list(t)
+        for at in rng.sample(range(len(t)), max(1, len(t) // rng.choice([50, 100, 400]))):
+            out[at] = rng.choice(["#", "", out[at] + "#"])
+        changed.append("".join(out))
+
+    def sketch(walk, number):
+        packed = np.concatenate([np.packbits(o) for o in walk])[None]
+        return int(editprint.sketches(packed, len(walk), number)[0]) & (2**64 - 1)
+
+    most, near, far = editprint.sketch_distance(0.8), 0, 0
+    prints, others = editprint.fingerprint_all(texts), editprint.fingerprint_all(changed)
+    for a, b, c in zip(prints, others, prints[1:] + prints[:1], strict=True):
+        for n in range(editprint.WALKS):
+            if len(a[n]) == len(b[n]) and editprint.walk_likeness(a[n], b[n]) >= 0.8:
+                near += 1
+                assert (sketch(a[n], n) ^ sketch(b[n], n)).bit_count() <= most
+            if len(a[n]) == len(c[n]) and editprint.walk_likeness(a[n], c[n]) < 0.3:
+                far += (sketch(a[n], n) ^ sketch(c[n], n)).bit_count() > most
+    assert most == 20 and near > 60 and far > 10
