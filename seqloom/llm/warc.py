@@ -26,7 +26,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from seqloom.session import materialize
+from seqloom.session import known_source, materialize
 
 FORMAT = "seqloom_warc"
 SCHEMA = (
@@ -416,9 +416,9 @@ def with_roles(pages: DataFrame, least: int = 0) -> DataFrame:
 
 def write_archives(records: DataFrame, path: str, *, compress: bool = True, date: str = "1970-01-01T00:00:00Z") -> None:
     """Write rows of ``with_roles`` as WARC/1.1 files to a new folder or add them to one that this function has written."""
-    records.sparkSession.dataSource.register(WarcArchive)
     rows = records.select("page_id", "url", "payload", "refers_to", "record_type")
-    rows.write.format(FORMAT).mode("append").options(path=path, compress=str(compress).lower(), date=date).save()
+    with known_source(records.sparkSession, WarcArchive):
+        rows.write.format(FORMAT).mode("append").options(path=path, compress=str(compress).lower(), date=date).save()
 
 
 def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> DataFrame:
@@ -430,5 +430,5 @@ def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> Da
     stands inside it is not taken for records. Records and gaps cover each file without overlap. Revisits have the size and
     digest of the payload that they stand for. With ``payload=False`` payloads are checked but not returned.
     """
-    spark.dataSource.register(WarcArchive)
-    return spark.read.format(FORMAT).options(path=path, payload=str(payload).lower()).load()
+    with known_source(spark, WarcArchive):
+        return spark.read.format(FORMAT).options(path=path, payload=str(payload).lower()).load()

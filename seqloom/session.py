@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -88,6 +89,26 @@ def release(spark: SparkSession) -> None:
     delete_path(spark, f"{scratch_root(spark)}/seqloom/{spark.sparkContext.applicationId}")
 
 
+@contextlib.contextmanager
+def known_source(spark: SparkSession, source: type[DataSource]) -> Iterator[None]:
+    """Inside, a format of Python code can be named by readers and writers of ``spark``, its frames and streams.
+
+    Spark registers a format in one session, but looks its name up in the thread's active one, which may be another session,
+    left by a query before, or none in a thread of its own.
+    """
+    spark.dataSource.register(source)
+    sessions = spark._jvm.org.apache.spark.sql.classic.SparkSession
+    before = sessions.getActiveSession()
+    sessions.setActiveSession(spark._jsparkSession)
+    try:
+        yield
+    finally:
+        if before.isDefined():
+            sessions.setActiveSession(before.get())
+        else:
+            sessions.clearActiveSession()
+
+
 @contextlib.contextmanager
 def scratch_files(spark: SparkSession) -> Iterator[None]:
     """Owns the scratch files that a job writes: they go when the job, which has to have written its results, is over."""
