@@ -34,6 +34,8 @@ from pyspark.sql.datasource import (
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from seqloom.session import known_source
+
 FORMAT = "seqloom_log"
 SCHEMA = "topic string, partition int, offset long, key string, value string"
 STORED = pa.schema([("key", pa.string()), ("value", pa.string())])
@@ -349,9 +351,9 @@ def publish_log(messages: DataFrame, path: str, *, partitions: int = 8) -> DataF
     of one publication and key keep no order among each other. A message without a topic is not accepted.
     """
     spark, writer = messages.sparkSession, uuid.uuid4().hex
-    spark.dataSource.register(MessageLog)
     rows = _keyed(messages, partitions).hint("rebalance", "topic", "partition")
-    rows.write.format(FORMAT).mode("append").options(path=path, writer=writer).save()
+    with known_source(spark, MessageLog):
+        rows.write.format(FORMAT).mode("append").options(path=path, writer=writer).save()
     counts: dict[str, int] = {}
     for entry in Log(path).entries():
         if entry["writer"] == writer:
@@ -368,21 +370,21 @@ def start_publishing(
 
     ``writer`` names the query in the log and has to stay the same over restarts.
     """
-    messages.sparkSession.dataSource.register(MessageLog)
     rows = _keyed(messages, partitions).repartition("topic", "partition")
-    return (
-        rows.writeStream.format(FORMAT)
-        .options(path=path, writer=writer, checkpointLocation=checkpoint)
-        .outputMode("append")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with known_source(messages.sparkSession, MessageLog):
+        return (
+            rows.writeStream.format(FORMAT)
+            .options(path=path, writer=writer, checkpointLocation=checkpoint)
+            .outputMode("append")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
 
 
 def read_log(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
     """All messages of the topics (of every topic without a list) with partition and offset."""
-    spark.dataSource.register(MessageLog)
-    return spark.read.format(FORMAT).options(path=path, subscribe=",".join(topics or [])).load()
+    with known_source(spark, MessageLog):
+        return spark.read.format(FORMAT).options(path=path, subscribe=",".join(topics or [])).load()
 
 
 def stream_log(
@@ -392,11 +394,11 @@ def stream_log(
 
     ``group`` is the name of one query. With ``availableNow`` a run takes one batch; without a limit that is all there is.
     """
-    spark.dataSource.register(MessageLog)
     options = {"path": path, "subscribe": ",".join(topics or [])}
     options |= {"group": group} if group else {}
     options |= {"maxRowsPerTrigger": str(max_rows)} if max_rows else {}
-    return spark.readStream.format(FORMAT).options(**options).load()
+    with known_source(spark, MessageLog):
+        return spark.readStream.format(FORMAT).options(**options).load()
 
 
 def catch_up(query: StreamingQuery, path: str, topics: list[str] | None = None) -> None:
