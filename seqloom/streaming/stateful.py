@@ -5,6 +5,7 @@ The state of an entity is kept by one task, like every keyed state; it is bounde
 
 from __future__ import annotations
 
+import bisect
 import contextlib
 import json
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ListState
 
 from seqloom.operators.features import FeatureView
 
@@ -24,10 +26,13 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 class _AsOf(StatefulProcessor):
-    """Feature rows by time and events that wait for the watermark, per entity.
+    """Feature rows and events that wait for the watermark, per entity.
 
     An event is answered when the watermark has passed it, for then no feature row that belongs to it can come any more. A
     feature row goes when no event that may still come or wait is within its time to live.
+
+    Rows are lists, so a frame of them is one call to the state, and an entity has one timer, for the first of them that is
+    due: when it expires, all that the watermark has passed is answered in one pass over what is held.
     """
 
     def __init__(self, ttl_us: int):
@@ -35,23 +40,43 @@ class _AsOf(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.features = handle.getMapState("features", "us long", "tie string, payload string")
-        self.waiting = handle.getMapState("waiting", "us long, payload string", "n int")
+        self.features = handle.getListState("features", "us long, tie string, payload string")
+        self.waiting = handle.getListState("waiting", "us long, payload string")
+        self.due = handle.getValueState("due", "ms long")
+
+    def _event_due(self, us: int) -> int:
+        return us // 1000 + 1
+
+    def _feature_due(self, us: int) -> int:
+        return (us + self.ttl_us) // 1000 + 2
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
         for frame in rows:
-            for us, kind, tie, payload in zip(frame["us"], frame["kind"], frame["tie"], frame["payload"], strict=True):
-                us = int(us)
+            columns = zip(frame["us"].tolist(), frame["kind"], frame["tie"], frame["payload"], strict=True)
+            events, found = [], []
+            for us, kind, tie, payload in columns:
                 if kind:
-                    held = self.waiting.getValue((us, payload)) if self.waiting.containsKey((us, payload)) else (0,)
-                    self.waiting.updateValue((us, payload), (held[0] + 1,))
-                    self.handle.registerTimer(us // 1000 + 1)
+                    events.append((us, payload))
                 else:
-                    held = self.features.getValue((us,)) if self.features.containsKey((us,)) else None
-                    if held is None or json.loads(held[0]) <= json.loads(tie):
-                        self.features.updateValue((us,), (tie, payload))
-                    self.handle.registerTimer((us + self.ttl_us) // 1000 + 2)
-        yield self._rows([])
+                    found.append((us, tie, payload))
+            if events:
+                self.waiting.appendList(events)
+            if found:
+                self.features.appendList(found)
+            due = [self._event_due(min(us for us, _ in events))] if events else []
+            due += [self._feature_due(min(us for us, _, _ in found))] if found else []
+            first = min(due if first is None else [first, *due])
+        held = self.due.get()[0] if self.due.exists() else None
+        if first is not None and (held is None or first < held):
+            if held is not None:
+                self.handle.deleteTimer(held)
+            self._wake(first)
+        yield from ()
+
+    def _wake(self, ms: int) -> None:
+        self.handle.registerTimer(ms)
+        self.due.update((ms,))
 
     @staticmethod
     def _rows(rows: list[tuple]) -> pd.DataFrame:
@@ -60,24 +85,52 @@ class _AsOf(StatefulProcessor):
         kinds = {"event": (event, object), "feature_us": (us, "Int64"), "feature": (feature, object)}
         return pd.DataFrame({name: pd.Series(list(values), dtype=kind) for name, (values, kind) in kinds.items()})
 
+    @staticmethod
+    def _rank(tie: str) -> list[tuple]:
+        """Ties as they compare: null is the smallest."""
+        return [(value is not None, value) for (value,) in json.loads(tie)]
+
+    def _known(self) -> dict[int, tuple[str, str]]:
+        """For each time the feature row that counts, with its tie; of equal ties the one that came last."""
+        known: dict[int, tuple[str, str]] = {}
+        for us, tie, payload in self.features.get():
+            if us not in known or self._rank(known[us][0]) <= self._rank(tie):
+                known[us] = (tie, payload)
+        return known
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        upto = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        known = sorted((k[0], v[1]) for k, v in self.features.iterator())
-        waiting = sorted((k[0], k[1], v[0]) for k, v in self.waiting.iterator())
+        upto = timerValues.getCurrentWatermarkInMs() * 1000
+        features = self._known()
+        known = sorted(features)
+        waiting = sorted(self.waiting.get())
         out, at = [], -1
-        for us, payload, n in waiting:
+        for us, payload in waiting:
             if us >= upto:
                 break
-            while at + 1 < len(known) and known[at + 1][0] <= us:
+            while at + 1 < len(known) and known[at + 1] <= us:
                 at += 1
-            fresh = at >= 0 and known[at][0] >= us - self.ttl_us
-            out += [(payload, known[at][0] if fresh else None, known[at][1] if fresh else None)] * n
-            self.waiting.removeKey((us, payload))
-        oldest = min((us for us, _, _ in waiting if us >= upto), default=upto)
-        for us, _ in known:
-            if us < min(oldest, upto) - self.ttl_us:
-                self.features.removeKey((us,))
-        yield self._rows(out)
+            fresh = at >= 0 and known[at] >= us - self.ttl_us
+            out.append((payload, known[at] if fresh else None, features[known[at]][1] if fresh else None))
+        later = waiting[len(out) :]
+        kept = known[bisect.bisect_left(known, upto - self.ttl_us) :]
+        if out:
+            self._keep(self.waiting, later)
+        if len(kept) < len(known):
+            self._keep(self.features, [(us, *features[us]) for us in kept])
+        due = [self._event_due(us) for us, _ in later[:1]] + [self._feature_due(us) for us in kept[:1]]
+        if due:
+            self._wake(min(due))
+        else:
+            self.due.clear()
+        if out:
+            yield self._rows(out)
+
+    @staticmethod
+    def _keep(state: ListState, rows: list[tuple]) -> None:
+        if rows:
+            state.put(rows)
+        else:
+            state.clear()
 
     def close(self) -> None:
         pass
@@ -90,19 +143,19 @@ def point_in_time_stream(
 
     Events come out once the watermark, ``late`` behind the newest row of either stream, has passed them; rows that come later
     than that are dropped. Features of an entity are kept for the view's time to live and no longer. Of feature rows of one
-    time the one with the largest tie counts. An event without an entity has no features, feature rows without one are left
+    time the one with the largest tie counts. Events and feature rows without an entity or a time are left
     out. Start it inside ``rocksdb``.
     """
     ttl_us = int(view.ttl_seconds * 1_000_000)
     value = F.struct(*view.features)
-    spine = events.where(F.col(entity).isNotNull()).select(
+    spine = events.where(F.col(entity).isNotNull() & F.col(time).isNotNull()).select(
         F.col(entity).alias("entity"),
         F.col(time).alias("time"),
         F.lit(1).alias("kind"),
         F.lit("[]").alias("tie"),
         F.to_json(F.struct(*events.columns), _JSON).alias("payload"),
     )
-    rows = features.where(F.col(view.entity).isNotNull()).select(
+    rows = features.where(F.col(view.entity).isNotNull() & F.col(view.time).isNotNull()).select(
         F.col(view.entity).alias("entity"),
         F.col(view.time).alias("time"),
         F.lit(0).alias("kind"),

@@ -1,6 +1,9 @@
 """Stateful stream operators against plain Python: several batches, late rows, restarts, bounded state."""
 
 import random
+from unittest.mock import MagicMock
+
+import pandas as pd
 
 from pyspark.sql import functions as F
 
@@ -71,3 +74,25 @@ def test_gauges_become_stale_and_fresh_again(spark, tmp_path):
         (0, 3, False, 1.0), (0, 3, True, 1.0), (1, 10, False, 6.0), (1, 10, True, 6.0), (1, 301, False, 9.0), (1, 301, True, 9.0),
         (2, 12, False, None), (2, 12, True, None), (3, 300, False, 7.0), (3, 302, False, 7.5), (3, 302, True, 7.5), (5, 900, False, 0.0),
     ]
+
+
+def test_an_entity_has_one_timer_and_few_calls_to_its_state():
+    """However many rows an entity has: a timer each, with a look at all rows at each, takes the square of them."""
+    handle = MagicMock()
+    features, waiting = MagicMock(), MagicMock()
+    handle.getListState.side_effect = lambda name, schema: {"features": features, "waiting": waiting}[name]
+    handle.getValueState.return_value.exists.return_value = False
+    n = 3000
+    rows = [(i * 1_000_000, i % 2, f"[[{i}]]" if i % 2 == 0 else "[]", str(i)) for i in range(n)]
+    processor = stateful._AsOf(100_000_000)
+    processor.init(handle)
+    assert not list(processor.handleInputRows((1,), iter([pd.DataFrame(rows, columns=["us", "kind", "tie", "payload"])]), None))
+    handle.registerTimer.assert_called_once_with(1001)
+    features.get.return_value = [(us, tie, payload) for us, kind, tie, payload in rows if not kind]
+    waiting.get.return_value = [(us, payload) for us, kind, _, payload in rows if kind]
+    clock = MagicMock()
+    clock.getCurrentWatermarkInMs.return_value = 2000 * 1000
+    found = pd.concat(processor.handleExpiredTimer((1,), clock, None))
+    assert [tuple(r) for r in found.itertuples(index=False)] == [(str(i), (i - 1) * 1_000_000, str(i - 1)) for i in range(1, 2000, 2)]
+    assert features.get.call_count == waiting.get.call_count == features.put.call_count == waiting.put.call_count == 1
+    assert handle.registerTimer.call_count == 2 and len(waiting.put.call_args[0][0]) == 500
