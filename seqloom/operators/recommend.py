@@ -61,37 +61,119 @@ def _matrix(lists: pa.Array, size: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), size)
 
 
-def _add_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = dict(zip(batch.schema.names, batch.columns, strict=True))
-        left, right = columns.pop("_uv"), columns.pop("_iv")
-        known = pc.and_(pc.is_valid(left), pc.is_valid(right))
-        score = np.full(len(batch), np.nan)
-        if pc.any(known).as_py():
-            at = known.to_numpy(zero_copy_only=False)
+class Lookup:
+    """Vectors by id: the places of the rows of each id. A null id is found by nobody."""
+
+    def __init__(self, ids: pa.Array, vectors: pa.Array):
+        coded = ids.dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        self.ids, self.vectors, self.values = ids, vectors, coded.dictionary
+        self.order = np.argsort(codes, kind="stable")
+        self.begin = np.searchsorted(codes[self.order], np.arange(len(self.values) + 2))
+
+    def find(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As a left join: the number of a key and the place of a row of its id, -1 for a key without any."""
+        code = pc.index_in(keys, value_set=self.values, skip_nulls=True)
+        at = code.fill_null(0).to_numpy(zero_copy_only=False)
+        count = np.where(code.is_valid().to_numpy(zero_copy_only=False), self.begin[at + 1] - self.begin[at], 0)
+        times = np.maximum(count, 1)
+        row = np.repeat(np.arange(len(keys)), times)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+        place = np.full(len(row), -1)
+        known = count[row] > 0
+        place[known] = self.order[self.begin[at[row[known]]] + nth[known]]
+        return row, place
+
+    def take(self, places: np.ndarray) -> pa.Array:
+        return self.vectors.take(pa.array(places, mask=places < 0))
+
+
+def _products(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Rounded dot products row by row; a score that is no number is no score."""
+    known = pc.and_(pc.is_valid(left), pc.is_valid(right))
+    score = np.full(len(left), np.nan)
+    if pc.any(known).as_py():
+        at = known.to_numpy(zero_copy_only=False)
+        if not at.all():
             left, right = left.filter(known), right.filter(known)
-            size = pc.list_value_length(left)[0].as_py()
-            products = np.einsum("ij,ij->i", _matrix(left, size), _matrix(right, size))
-            score[at] = np.round(products, SCORE_DIGITS) + 0.0
-        # a score that is no number is no score
-        columns["score"] = pa.array(score, mask=~np.isfinite(score))
-        yield pa.RecordBatch.from_pydict(columns)
+        size = pc.list_value_length(left)[0].as_py()
+        products = np.einsum("ij,ij->i", _matrix(left, size), _matrix(right, size))
+        score[at] = np.round(products, SCORE_DIGITS) + 0.0
+    return pa.array(score, mask=~np.isfinite(score))
+
+
+def _apart(batch: pa.RecordBatch, items: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """The rows behind the items, which come first in a task and go to ``items``."""
+    cut = int(np.count_nonzero(batch.column("_side").to_numpy() == 0))
+    if cut:
+        items.append(batch.slice(0, cut).select(["item", "_iv"]))
+    return batch.slice(cut)
+
+
+def _joined(parts: list[pa.RecordBatch], column: str) -> pa.Array:
+    return pa.concat_arrays([p.column(column) for p in parts])
+
+
+def _score_rows(kept: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        items = users = None
+        for batch in batches:
+            batch = _apart(batch, held)
+            if not len(batch):
+                continue
+            if items is None:
+                held = held or [batch.slice(0, 0)]
+                items = Lookup(_joined(held, "item"), _joined(held, "_iv"))
+                held = []
+            side = batch.column("_side").to_numpy()
+            own, rows = batch.filter(pa.array(side == 1)), batch.filter(pa.array(side == 2))
+            ids, vectors = own.column("user_id"), own.column("_uv")
+            if users is not None and len(users.ids):
+                # rows of a user may go on in the next batch
+                last = pc.equal(users.ids, users.ids[-1])
+                ids = pa.concat_arrays([users.ids.filter(last), ids])
+                vectors = pa.concat_arrays([users.vectors.filter(last), vectors])
+            users = Lookup(ids, vectors)
+            row, user = users.find(rows.column("user_id"))
+            again, item = items.find(rows.column("item").take(pa.array(row)))
+            score = _products(users.take(user[again]), items.take(item))
+            rows = rows.select(kept).take(pa.array(row[again]))
+            yield pa.RecordBatch.from_arrays([*rows.columns, score], names=[*kept, "score"])
+
+    return run
 
 
 def score_candidates(candidates: DataFrame, users: DataFrame, item_vectors: DataFrame) -> DataFrame:
     """Dot product of user and item vector for each candidate row (user_id, item, ...).
 
-    Every candidate stays: the score is null if the user or the item has no vector or the product is not finite. The item
-    comes first, so that a moved candidate carries an item's vector, and the user's joins where the rows end up. The
-    products are taken on whole Arrow batches; Spark's array lambdas are interpreted element by element.
+    Every candidate stays: the score is null if the user or the item has no vector or the product is not finite. Candidates
+    move once, as they are, to the task of their slice of users and block of items. There the block, ``BLOCK_BYTES`` of
+    float32 vectors at most, comes first; then follow user by user a vector and its candidates, which are scored
+    batch by batch. So no vector rides on a candidate row: users are copied once per block, items once per slice.
     """
-    # exploded candidates are far larger than their size estimate: without the hint they may get broadcast
-    vectors = users.select("user_id", F.col("vec").alias("_uv")).hint("shuffle_hash")
-    items = item_vectors.select("item", F.col("vec").alias("_iv"))
-    scored = candidates.join(items, "item", "left").join(vectors, "user_id", "left")
-    kept = [f for f in scored.schema.fields if f.name not in ("_uv", "_iv")]
-    schema = StructType([*kept, StructField("score", DoubleType())])
-    return scored.select(*[f.name for f in kept], "_uv", "_iv").mapInArrow(_add_scores, schema)
+    held = item_vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("size")).first()
+    blocks = max(1, math.ceil(held["n"] / rows_per_block(held["size"] or 1)))
+    slices = max(1, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+    fields = candidates.schema.fields
+    kept = [f.name for f in fields]
+    # where the frames differ in the type of a key, both have the wider one, for its hash tells the place
+    kinds = {k: candidates.select(k).unionAll(v.select(k)).schema[k].dataType for k, v in (("user_id", users), ("item", item_vectors))}
+    user, item = (F.col(k).cast(kind) for k, kind in kinds.items())
+    mine = F.pmod(F.xxhash64(user), F.lit(slices)).cast("int") * blocks
+    block = F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
+    rows = candidates.select("*", F.lit(2).alias("_side"), (mine + block).alias("_slot")).withColumns({"user_id": user, "item": item})
+    known = users.where("user_id IS NOT NULL").select(user.alias("user_id"), F.col("vec").alias("_uv"), mine.alias("_of"))
+    known = known.select("user_id", "_uv", F.lit(1).alias("_side"), F.explode(F.sequence("_of", F.col("_of") + blocks - 1)).alias("_slot"))
+    items = item_vectors.select(item.alias("item"), F.col("vec").alias("_iv"), block.alias("_of"))
+    places = F.sequence("_of", F.col("_of") + (slices - 1) * blocks, F.lit(blocks))
+    items = items.select("item", "_iv", F.lit(0).alias("_side"), F.explode(places).alias("_slot"))
+    placed = rows.unionByName(known, allowMissingColumns=True).unionByName(items, allowMissingColumns=True)
+    placed = placed.repartitionById(slices * blocks, "_slot").drop("_slot")
+    placed = placed.sortWithinPartitions("user_id", "_side")  # items have no user: null comes first
+    schema = StructType([*(StructField(f.name, kinds.get(f.name, f.dataType)) for f in fields), StructField("score", DoubleType())])
+    scored = placed.mapInArrow(_score_rows(kept), schema)
+    return scored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], "score")
 
 
 def masked_mean_pool(items: DataFrame, codes: str, vectors: DataFrame, dim: int) -> DataFrame:
@@ -107,20 +189,30 @@ def masked_mean_pool(items: DataFrame, codes: str, vectors: DataFrame, dim: int)
 
 
 def _best_of_block(k: int):
-    def best(key: tuple, users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
-        if len(users) and len(items):
-            items = items.sort_values("item")
-            catalog = Catalog.of(items["item"].to_numpy(), _stack(items["vec"]))
-            for lo in range(0, len(users), _USERS_AT_ONCE):
-                out.append(best_rows(users.iloc[lo : lo + _USERS_AT_ONCE], catalog, k))
-        if not out:
-            return pd.DataFrame({"user_id": [], "item": [], "score": []}).astype(
-                {"user_id": "int64", "item": "int64", "score": "float64"}
-            )
-        return pd.concat(out, ignore_index=True)
-
-    return best
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        catalog = None
+        for batch in batches:
+            batch = _apart(batch, held)
+            if len(batch) and held:
+                ids = _joined(held, "item").to_numpy(zero_copy_only=False)
+                order = np.argsort(ids, kind="stable")
+                catalog = Catalog.of(ids[order], _stack(_joined(held, "_iv").take(pa.array(order)).to_pandas()))
+                held = []
+            if catalog is None:
+                continue
+            for lo in range(0, len(batch), _USERS_AT_ONCE):
+                part = batch.slice(lo, _USERS_AT_ONCE)
+                users = pd.DataFrame({"vec": part.column("_uv").to_pandas(), "seen": part.column("seen").to_pandas()})
+                best = best_rows(users.assign(user_id=np.arange(len(part))), catalog, k)
+                columns = [
+                    part.column("user_id").take(pa.array(best["user_id"].to_numpy(dtype=np.int64))),
+                    pa.array(best["item"].to_numpy(dtype=np.int64)),
+                    pa.array(best["score"].to_numpy(dtype=np.float64)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["user_id", "item", "score"])
+
+    return run
 
 
 def _stack(vectors: pd.Series) -> np.ndarray:
@@ -228,9 +320,11 @@ def top_k_items(
 ) -> DataFrame:
     """Per user the ``k`` best unseen items of the whole catalog, ranked 1..k.
 
-    Catalog and users are hashed into blocks that fill ``BLOCK_BYTES`` with vectors of ``size`` numbers; a task multiplies one
-    slice of users with one block of items, leaving out those that cannot reach a user's k-th score (``best_rows``), and returns
-    ``k`` rows per user, so scored pairs never leave the task, nothing is broadcast and the catalog may grow. Users are copied once per block of items and items once per slice of users.
+    Catalog and users are hashed into blocks and slices that fill ``BLOCK_BYTES`` with vectors of ``size`` numbers; a task
+    holds one block of items, meets one slice of users batch by batch, leaving out items that cannot reach a user's k-th score
+    (``best_rows``), and returns ``k`` rows per user, so scored pairs never leave the task, nothing is broadcast, the catalog
+    may grow and memory does not depend on the number of users. Users are copied once per block of items and items once per
+    slice of users.
     Scores are compared after rounding, ties go to the smaller item. An item whose score is not finite is ranked behind
     all others, with a null score. ``pairs`` are the interaction counts of the users; stage them, they are read here and for
     the user vectors. ``n_items`` and ``n_users`` (or upper bounds) only size the blocks.
@@ -253,22 +347,23 @@ def top_k_items(
         .agg(F.collect_list("item").alias("seen"))
     )
     left = users.select(
-        "user_id",
-        "vec",
+        F.lit(1).alias("_side"),
+        F.col("user_id").cast("long").alias("user_id"),
+        F.col("vec").alias("_uv"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
         F.pmod(F.xxhash64("user_id"), F.lit(slices)).cast("int").alias("_slice"),
     ).join(seen, ["user_id", "_block"], "left")
     right = item_vectors.select(
-        "item",
-        F.col("vec").cast("array<float>").alias("vec"),
+        F.lit(0).alias("_side"),
+        F.col("item").cast("long").alias("item"),
+        F.col("vec").cast("array<float>").alias("_iv"),
         block("item").alias("_block"),
         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"),
     )
-    best = (
-        left.groupBy("_block", "_slice")
-        .cogroup(right.groupBy("_block", "_slice"))
-        .applyInPandas(_best_of_block(k), "user_id long, item long, score double")
-    )
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("_slot", F.col("_slice") * blocks + F.col("_block"))
+    both = both.repartitionById(slices * blocks, "_slot").sortWithinPartitions("_side")
+    both = both.select("_side", "user_id", "_uv", F.col("seen").cast("array<long>").alias("seen"), "item", "_iv")
+    best = both.mapInArrow(_best_of_block(k), "user_id long, item long, score double")
     best = best.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
     order = [F.col("score").desc_nulls_last(), F.col("item")]
     return first_rows_per_key(best, ["user_id"], order, k, "rank").select("user_id", "rank", "item", "score")

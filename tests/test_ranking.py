@@ -234,3 +234,36 @@ def test_skewed_norms_take_less_than_half_of_the_products():
     assert len(found) == 10 * users and catalog.products < 0.5 * n * users
     flat = recommend.Catalog.of(np.arange(n), matrix / np.linalg.norm(matrix, axis=1, keepdims=True))
     assert len(recommend.best_rows(frame, flat, 10)) == 10 * users and flat.products <= n * users
+
+
+def test_no_vector_moves_with_a_candidate_and_keys_may_repeat(spark):
+    candidates = spark.createDataFrame(
+        [(1, 1, "a"), (1, 1, "b"), (2, 1, "c"), (None, 1, "d"), (1, None, "e"), (3, 2, "f")], "user_id int, item long, split string"
+    )
+    users = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (2, [3.0]), (None, [9.0]), (3, None)], "user_id long, vec array<double>")
+    items = spark.createDataFrame([(1, [5.0]), (1, [7.0]), (2, [1.0]), (None, [8.0])], "item long, vec array<double>")
+    scored = recommend.score_candidates(candidates, users, items)
+    got = sorted((r.split, r.score is None, r.score or 0.0) for r in scored.collect())
+    want = [("a", 5.0), ("a", 7.0), ("b", 5.0), ("b", 7.0), ("c", 10.0), ("c", 14.0), ("c", 15.0), ("c", 21.0), ("d", None), ("d", None), ("e", None), ("f", None)]
+    assert got == sorted((s, v is None, v or 0.0) for s, v in want)
+    assert dict(scored.dtypes)["user_id"] == "int"
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_a_slice_of_users_is_not_held_in_a_task():
+    """Users of one slice come batch by batch behind the items, and leave as they come."""
+    import pyarrow as pa
+
+    kinds = pa.schema([("_side", pa.int32()), ("user_id", pa.int64()), ("_uv", pa.list_(pa.float64())), ("seen", pa.list_(pa.int64())), ("item", pa.int64()), ("_iv", pa.list_(pa.float32()))])
+    items = pa.RecordBatch.from_pylist([{"_side": 0, "item": i, "_iv": [float(i)]} for i in (2, 1, 3)], kinds)
+    taken = []
+
+    def batches():
+        yield items
+        for u in range(50):
+            taken.append(u)
+            yield pa.RecordBatch.from_pylist([{"_side": 1, "user_id": u, "_uv": [1.0], "seen": [3]}], kinds)
+
+    for n, out in enumerate(recommend._best_of_block(1)(batches())):
+        assert len(taken) == n + 1 and out.to_pylist() == [{"user_id": n, "item": 2, "score": 2.0}]
