@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import components, map_texts, written
@@ -26,13 +26,13 @@ PERIOD = 8192
 SAMPLES, OCTAVES = 128, 40
 #: Characters walked side by side, and the number of walks from which they go on one by one.
 WALK_CHARS, ALONE = 16_000_000, 8
-#: Bits of a band, and bands of each kind; a walk has two kinds.
-BAND_BITS, BANDS = 20, 16
+#: Bits of a band, and bands of each kind, for up to ``FEW_NODES`` different fingerprints; a walk has two kinds.
+BAND_BITS, BANDS, FEW_NODES = 20, 16, 65_536
 #: Nodes of a band in one task (a fuller band is split into pairs of such parts), of a band compared side by side with
 #: others, and rows searched at once.
 PART_ROWS, FEW, HELD = 1024, 16, 65_536
-#: Members of a band up to which all pairs of sketches are compared.
-SMALL = 16
+#: Members of a band up to which all are compared in one task; those of a fuller one first meet its smallest.
+SMALL = 128
 LIKENESS = 0.8
 
 
@@ -324,8 +324,22 @@ def _octaves_of() -> dict[int, int]:
     return {int(octave_bytes(n).sum()): n for n in range(1, OCTAVES + 1)}
 
 
-def band_keys(packed: np.ndarray, octaves: int, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of ``BAND_BITS`` sampled bits and the row of each, for walks of the same number of octaves (packed, row by row).
+def band_shape(nodes: int, least: float) -> tuple[int, int]:
+    """Bits of a band, and bands of each kind, for so many different fingerprints.
+
+    Unrelated walks share a band of b bits once in 2^b times, so a band is one bit wider for each doubling, and a walk
+    meets as many by chance in a large corpus as in a small one. Walks of likeness ``least`` agree in (1 + least) / 2 of their
+    bits, in what a band draws from at times in less (0.05 is taken off), and in that power fewer of the wider bands. As many
+    more bands are taken, so they are found as often.
+    """
+    wider = math.ceil(math.log2(max(nodes, FEW_NODES) / FEW_NODES))
+    return BAND_BITS + wider, round(BANDS / ((1 + least) / 2 - 0.05) ** wider)
+
+
+def band_keys(
+    packed: np.ndarray, octaves: int, number: int, width: int = BAND_BITS, bands: int = BANDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of ``width`` sampled bits and the row of each, for walks of the same number of octaves (packed, row by row).
 
     Bits of longer octaves are drawn more often, as they count for more. Half of the bands take bits of the octaves before
     the last one, which a walk has passed whole. The others also take bits of the first half of the last octave, if the
@@ -337,8 +351,8 @@ def band_keys(packed: np.ndarray, octaves: int, number: int) -> tuple[np.ndarray
     bits = np.unpackbits(packed, axis=1)
     half = sizes[-1] // 2
     beyond = bits[:, first[octaves - 1] + half : first[octaves]].any(axis=1)
-    tiny = sum(sizes[:-1]) < 2 * BAND_BITS
-    power = 1 << np.arange(BAND_BITS, dtype=np.int64)
+    tiny = sum(sizes[:-1]) < 2 * width
+    power = 1 << np.arange(width, dtype=np.int64)
     keys, rows = [], []
     for kind in range(3):  # octaves before the last, more of them, with the half of the last
         held = np.flatnonzero([np.ones(len(bits), dtype=bool), ~beyond, beyond][kind])
@@ -350,10 +364,10 @@ def band_keys(packed: np.ndarray, octaves: int, number: int) -> tuple[np.ndarray
         rng = np.random.default_rng((SEED, number, octaves, kind))
         at = np.repeat(first[:upto], depth) + np.concatenate([np.arange(d) for d in depth])
         chance = np.repeat(room / np.array(depth), depth)
-        for b in range(BANDS):
-            drawn = rng.choice(at, min(BAND_BITS, len(at)), replace=False, p=chance / chance.sum())
+        for b in range(bands):
+            drawn = rng.choice(at, min(width, len(at)), replace=False, p=chance / chance.sum())
             value = bits[np.ix_(held, drawn)].astype(np.int64) @ power[: len(drawn)]
-            keys.append((((number * 64 + octaves) * 3 + kind) * BANDS + b << BAND_BITS) + value)
+            keys.append((((number * 64 + octaves) * 3 + kind) * bands + b << width) + value)
             rows.append(held)
     return np.concatenate(keys), np.concatenate(rows)
 
@@ -427,12 +441,14 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
 def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     """``rows(doc_id, fingerprint, …)`` with ``class_id``, by bit-sampled banding and verification; ``rows`` is read twice.
 
-    Rows of equal fingerprints are one node. Each walk of a node goes into several bands of sampled bits. First every member
-    of a band is compared with the band's smallest node, by a sketch of 64 sampled bits and, if that is near, by the whole
-    walks, each pair once for all bands that it shares: that takes time in proportion to the members and joins groups of
-    near copies. A band of up to ``SMALL`` members compares all pairs in this way. Then larger bands with members of more than
-    one class are searched for the other links. Their largest class is dealt to parts of ``PART_ROWS`` nodes by a hash; the members of other
-    classes are sent to each part, and all pairs of different classes are compared. Tasks return stars, never pairs.
+    Rows of equal fingerprints are one node. Each walk of a node goes into several bands of sampled bits, wider and more of
+    them as the nodes get more (``band_shape``). A band of two is left out if 64 sampled bits of both tell them apart. To the
+    members of the others, and to them alone, come their whole walks, one row for each member, never for each pair: all pairs
+    of a band of up to ``SMALL`` are compared in the task that holds it. Every member of a fuller band is first compared with the
+    band's smallest node, each pair once for all bands that it shares: that takes time in proportion to the members and joins
+    groups of near copies. Then such bands with members of more than one class are searched for the other links. Their
+    largest class is dealt to parts of ``PART_ROWS`` nodes by a hash; the members of other classes are sent to each part,
+    and all pairs of different classes are compared. Tasks return stars, never pairs.
     Banding finds a pair with a likelihood that grows with its likeness; what it links is verified. ``class_id`` is the
     smallest doc_id that links reach (null if there is none).
 
@@ -447,6 +463,7 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     # a text of one walk is like others of one walk only, so that has a number of its own
     walks = F.transform(walks, lambda w, k: F.struct(F.when(F.size(walks) == WALKS, k).otherwise(WALKS).alias("number"), F.unhex(w).alias("bits")))
     walks = nodes.where("fingerprint <> ''").select("node", F.explode(walks).alias("walk")).select("node", "walk.*")
+    width, bands = band_shape(nodes.count(), least)
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -456,7 +473,7 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
             for k, s in sorted(set(zip(number.tolist(), size.tolist(), strict=True))):
                 at = np.flatnonzero((number == k) & (size == s))
                 packed, octaves = _packed(bits[at]), _octaves_of()[s]
-                keys, row = band_keys(packed, octaves, k)
+                keys, row = band_keys(packed, octaves, k, width, bands)
                 columns = [pa.array(keys), pa.array(node[at][row]), pa.array(sketches(packed, octaves, k)[row])]
                 yield pa.RecordBatch.from_arrays(columns, names=["band", "node", "sketch"])
 
@@ -464,16 +481,14 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     # only ids move by band, and walks join the members of shared bands alone
     spark = rows.sparkSession
     banded = walks.mapInArrow(band, "band long, node long, sketch long")
-    counts = banded.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("smallest"), F.min_by("sketch", "node").alias("other")
-    )
-    shared, counted = written(counts.where("n > 1"), "edit-bands")
-    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("other"))) <= sketch_distance(least)
-    met = banded.join(shared, "band").withColumn("near", near & (F.col("node") != F.col("smallest")))
-    # two members of a band have met when both are compared
-    members, placed = written(met.where("near OR n > 2").drop("other"), "edit-members")
+    counts = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("sketch").alias("apart"))
+    shared = counts.where((F.col("n") > 2) | (F.col("n") == 2) & (F.bit_count("apart") <= sketch_distance(least)))
+    shared, counted = written(shared.select("band", "n"), "edit-bands")
+    members, placed = written(banded.select("band", "node").join(shared, "band"), "edit-members")
     delete_path(spark, counted)
-    number = F.floor(F.col("band") / F.lit((3 * BANDS * 64) << BAND_BITS)).cast("int")
+    number = F.floor(F.col("band") / F.lit((3 * bands * 64) << width)).cast("int")
+    members = members.withColumn("number", number)
+    small, full = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -485,18 +500,8 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
                 alike[at] = _alike(_packed(a[at]), _packed(b[at]), _octaves_of()[s], least)
             yield pa.RecordBatch.from_arrays([pa.array(u[alike]), pa.array(v[alike])], names=["u", "v"])
 
-    # all pairs of a small band whose sketches are near; a list has SMALL entries at most
-    small = members.where(F.col("n").between(3, SMALL)).groupBy("band")
-    small = small.agg(F.array_sort(F.collect_list(F.struct("node", "sketch"))).alias("m"))
-
-    def near_ones(a: Column, i: Column) -> Column:
-        later = F.slice("m", i + 2, SMALL)
-        later = F.filter(later, lambda b: F.bit_count(a["sketch"].bitwiseXOR(b["sketch"])) <= sketch_distance(least))
-        return F.transform(later, lambda b: F.struct(b["node"].alias("node"), a["node"].alias("smallest")))
-
-    small = small.select(number.alias("number"), F.inline(F.flatten(F.transform("m", near_ones))))
-    pairs = members.where(F.col("near") & ~F.col("n").between(3, SMALL)).select("node", "smallest", number.alias("number"))
-    pairs = pairs.unionByName(small).distinct()
+    smallest = full.groupBy("band").agg(F.min("node").alias("smallest"))
+    pairs = full.join(smallest, "band").where("node <> smallest").select("node", "smallest", "number").distinct()
     pairs = pairs.join(walks.withColumnRenamed("bits", "a"), ["node", "number"])
     other = walks.select(F.col("node").alias("smallest"), "number", F.col("bits").alias("b"))
     pairs = pairs.join(other, ["smallest", "number"]).select("node", "smallest", "a", "b")
@@ -504,21 +509,22 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
     roots = components(links, "edit-stars")
     delete_path(spark, found)
 
-    # what is left: members of other classes than the largest of their band
-    classed = members.where(F.col("n") > SMALL).select("band", "node").join(roots, "node", "left")
-    classed, labelled = written(classed.select("band", "node", F.coalesce("root", "node").alias("class")), "edit-classed")
-    delete_path(spark, placed)
+    # what is left of full bands: members of other classes than the largest
+    classed = full.join(roots, "node", "left").select("band", "node", "number", F.coalesce("root", "node").alias("class"))
+    classed, labelled = written(classed, "edit-classed")
     sizes = classed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("band").agg(
         F.max(F.struct("n", "class"))["class"].alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes")
     )
-    mixed = classed.join(sizes.where("classes > 1"), "band").withColumn("number", number).join(walks, ["node", "number"])
+    mixed = classed.join(sizes.where("classes > 1"), "band").join(walks, ["node", "number"])
     parts = F.ceil(F.col("n") / PART_ROWS).cast("int")
     mixed = mixed.withColumn("parts", parts).withColumn("at", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     every = F.when(F.col("class") == F.col("main"), F.array("at")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
     mixed = mixed.withColumn("part", F.explode(every))
     mixed = mixed.select(F.xxhash64("band", "part").alias("root"), "class", (F.col("at") == F.col("part")).alias("own"), "bits")
-    mixed = mixed.repartition("root").sortWithinPartitions("root", "class")
+    small = small.join(walks, ["node", "number"])
+    small = small.select(F.xxhash64("band").alias("root"), F.col("node").alias("class"), F.lit(True).alias("own"), "bits")
+    mixed = mixed.unionByName(small).repartition("root").sortWithinPartitions("root", "class")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -550,10 +556,12 @@ def with_classes(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
 
     links, found = written(mixed.mapInArrow(search, "u long, v long"), "edit-links")
     delete_path(spark, labelled)
-    last = components(links, "edit-classes").select(F.col("node").alias("star"), F.col("root").alias("last"))
+    delete_path(spark, placed)
+    links = links.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    last = components(links, "edit-classes")
     delete_path(spark, found)
-    named = nodes.select("node", "first").join(roots, "node", "left").withColumn("star", F.coalesce("root", "node"))
-    named = named.join(last, "star", "left").select("node", "first", F.coalesce("last", "star").alias("root"))
+    named = nodes.select("node", "first").join(last, "node", "left")
+    named = named.select("node", "first", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("class_id"))
     named = named.join(smallest, "root").select("node", "class_id")
     return rows.join(named, "node").drop("node")

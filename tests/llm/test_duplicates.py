@@ -302,3 +302,73 @@ def test_sketches_screen_only_texts_that_are_not_alike(documents):
             if len(a[n]) == len(c[n]) and editprint.walk_likeness(a[n], c[n]) < 0.3:
                 far += (sketch(a[n], n) ^ sketch(c[n], n)).bit_count() > most
     assert most == 20 and near > 60 and far > 10
+
+
+def random_prints(n, noise, seed):
+    """Fingerprints of two walks of seven octaves: unrelated ones, or copies of one with that share of bits changed."""
+    rng = np.random.default_rng(seed)
+    sizes = [len(editprint.sampled_steps(k)) for k in range(7)]
+    shape = (n, editprint.WALKS, sum(sizes))
+    bits = rng.integers(0, 2, shape[1:]) ^ (rng.random(shape) < noise) if noise else rng.integers(0, 2, shape)
+    cuts = np.cumsum(sizes)[:-1]
+    return [(i, editprint.to_text([np.split(w.astype(np.uint8), cuts) for w in walks])) for i, walks in enumerate(bits)]
+
+
+@pytest.mark.parametrize(("n", "noise"), [(12_000, 0), (100, 0.08)])
+def test_compared_rows_grow_with_the_nodes(spark, monkeypatch, n, noise):
+    # chance meetings of unrelated walks made rows with the square of their number; near copies that are not alike must not
+    monkeypatch.setattr(editprint, "FEW_NODES", 12_000, raising=False)
+    kind = type(spark.range(1))
+    plain, made = kind.mapInArrow, []
+
+    def counted(self, fn, schema, *more, **options):
+        if schema == "u long, v long":
+            made.append(self.count())
+        return plain(self, fn, schema, *more, **options)
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    rows = []
+    for size in (n, 4 * n):
+        made.clear()
+        frame = spark.createDataFrame(random_prints(size, noise, 12), "doc_id long, fingerprint string")
+        assert editprint.with_classes(frame).count() == size
+        rows.append(sum(made))
+    assert rows[0] > 100 and rows[1] < 8 * rows[0]
+
+
+@pytest.mark.parametrize("octaves", [8, 10])
+def test_wider_bands_find_as_much(octaves):
+    """Of pairs of walks near the likeness that is claimed, as many share a band of any width."""
+    rng = np.random.default_rng(13)
+    a = rng.integers(0, 2, (2000, 8 * int(editprint.octave_bytes(octaves).sum())), dtype=np.uint8)
+    packed = np.packbits(np.concatenate([a, a ^ (rng.random(a.shape) < 0.1)]), axis=1)
+    found = []
+    for times in (1, 2, 4, 16, 256):
+        keys, row = editprint.band_keys(packed, octaves, 0, *editprint.band_shape(editprint.FEW_NODES * times, 0.8))
+        keys = keys[np.lexsort((keys, row))].reshape(len(packed), -1)
+        found.append((keys[:2000] == keys[2000:]).any(axis=1).mean())
+    assert found[0] > 0.9 and min(found) > found[0] - 0.01
+
+
+def test_links_of_small_and_full_bands_meet(spark, monkeypatch):
+    # a chain whose ends are not alike, beside it a band too full to be searched at once
+    rng = np.random.default_rng(14)
+    sizes = [len(editprint.sampled_steps(k)) for k in range(9)]
+    base = rng.integers(0, 2, (editprint.WALKS, sum(sizes)), dtype=np.uint8)
+    prints = []
+    for i in range(40):
+        bits = base.copy()
+        bits[:, -1 - i % 8] ^= 1  # 40 walks, nearly equal
+        bits[:, 40 + i] ^= 1
+        prints.append(bits)
+    for _ in range(4):  # each link changes a twelfth of the last octaves
+        bits = prints[-1].copy()
+        bits[:, rng.choice(np.arange(63, sum(sizes)), sum(sizes) // 14, replace=False)] ^= 1
+        prints.append(bits)
+    texts = [editprint.to_text([np.split(w, np.cumsum(sizes)[:-1]) for w in p]) for p in prints]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, fingerprint string")
+    ends = editprint.parse(texts[0]), editprint.parse(texts[-1])
+    assert editprint.likeness(*ends) < editprint.LIKENESS
+    for most in (128, 8, 2):
+        monkeypatch.setattr(editprint, "SMALL", most)
+        assert {r.class_id for r in editprint.with_classes(frame).collect()} == {0}
